@@ -105,15 +105,23 @@ def delay_bracket(delay: Column | str) -> Column:
 def primary_cause() -> Column:
     """Cancellation cause, else the cause with most minutes (first wins a tie), else NONE."""
     peak = F.greatest(*CAUSE_COLUMNS)
-    strongest = [
-        F.when((F.col(c) == peak) & (peak > 0), label)
-        for c, label in zip(CAUSE_COLUMNS, CAUSE_LABELS, strict=True)
-    ]
+    # The first position that holds the peak: a tie goes to the earlier cause.
+    place = F.call_function("array_position", F.array(*CAUSE_COLUMNS), peak)
+    strongest = F.element_at(F.array(*[F.lit(label) for label in CAUSE_LABELS]), place.cast("int"))
     cancelled = F.concat(
         F.lit("CANCELLED_"), F.coalesce("cancellation_code", F.lit(CANCELLATION_OTHER.upper()))
     )
-    return F.when(F.col("cancelled") == 1, cancelled).otherwise(
-        F.coalesce(*strongest, F.lit(CAUSE_NONE))
+    return (
+        F.when(F.col("cancelled") == 1, cancelled)
+        .when(peak > 0, strongest)
+        .otherwise(CAUSE_NONE)
+    )
+
+
+def has_cause() -> Column:
+    """True where :func:`primary_cause` is not NONE."""
+    return F.coalesce(
+        (F.col("cancelled") == 1) | (F.greatest(*CAUSE_COLUMNS) > 0), F.lit(False)
     )
 
 
@@ -145,10 +153,10 @@ def file_name(path: Column | str) -> Column:
     return F.element_at(F.split(_column(path), "/"), -1)
 
 
-def is_missing(c: Column | str) -> Column:
-    """Null or empty text."""
+def is_missing(c: Column | str, text: bool = True) -> Column:
+    """Null or, in a text column, empty."""
     col = _column(c)
-    return col.isNull() | (col.cast("string") == "")
+    return col.isNull() | (col == "") if text else col.isNull()
 
 
 def months_mask(month: Column | str) -> Column:

@@ -39,13 +39,16 @@ def cast_columns(df: DataFrame, groups: dict[str, Sequence[str]] | None = None)
 
     A value that does not convert becomes null, whatever the session's ANSI mode.
     """
-    casts = {
-        "float": as_float,
-        "int": as_int,
-        "string": lambda c: F.col(c).cast("string"),
-    }
+    casts = {"float": as_float, "int": as_int, "string": lambda c: F.col(c).cast("string")}
     target = {c: t for t, cols in (groups or CAST_GROUPS).items() for c in cols}
-    return df.select(*[casts[target[c]](c).alias(c) if c in target else c for c in df.columns])
+    present = dict(df.dtypes)
+
+    def cast(c: str) -> Column:
+        if target.get(c, present[c]) == present[c]:
+            return F.col(c)
+        return casts[target[c]](c).alias(c)
+
+    return df.select(*[cast(c) for c in df.columns])
 
 
 def with_hour(df: DataFrame) -> DataFrame:

@@ -45,10 +45,10 @@ def profile(df: DataFrame, sparse_pct: float = 80) -> DataFrame:
     """Every per-column check in a single pass with one small buffer per task."""
     names = df.columns
     aggs: list[Column] = [F.count("*").alias("row_count")]
-    for i, name in enumerate(names):
+    for i, (name, kind) in enumerate(df.dtypes):
         c = F.col(name)
         aggs += [
-            F.count_if(is_missing(c)).alias(f"nulls_{i}"),
+            F.count_if(is_missing(c, kind == "string")).alias(f"nulls_{i}"),
             F.min(c).eqNullSafe(F.max(c)).alias(f"constant_{i}"),
         ]
     long = _rows_from(df.agg(*aggs), names, {"nulls": "nulls", "zero_variance": "constant"})
@@ -86,7 +86,9 @@ def null_report(df: DataFrame, columns: Sequence[str] = NULL_REPORT_COLUMNS) ->
 def sparse_rows(df: DataFrame, pct: float = 80) -> DataFrame:
     """Number of rows with more than ``pct`` percent missing that are not cancelled."""
     missing = reduce(
-        lambda total, c: total + is_missing(c).cast("int"), df.columns, F.lit(0)
+        lambda total, c: total + is_missing(c[0], c[1] == "string").cast("int"),
+        df.dtypes,
+        F.lit(0),
     )
     flown = F.col("cancelled").cast("string") == "0"
     return df.agg(
@@ -123,12 +125,12 @@ def approx_distinct(df: DataFrame, columns: Sequence[str], rsd: float = 0.05) ->
     return _rows_from(wide, columns, {"approx_distinct": "n"}).drop("rows")
 
 
-def redundant_ids(df: DataFrame, tolerance: float = 0.01) -> DataFrame:
+def redundant_ids(df: DataFrame, tolerance: float = 0.01, rsd: float = 0.01) -> DataFrame:
     """Id columns that tell no more than the column they are named after.
 
     An id column holds ``_id`` in its name; its base column is that name without
     ``_airport_id`` or ``_id``. Redundant means that the approximate distinct
-    counts differ by less than ``tolerance``.
+    counts differ by less than ``tolerance``; the sketch is as fine as that.
     """
     pairs = []
     for name in df.columns:
@@ -138,7 +140,7 @@ def redundant_ids(df: DataFrame, tolerance: float = 0.01) -> DataFrame:
     if not pairs:
         return df.sparkSession.createDataFrame([], "column string, base string, redundant boolean")
     needed = list(dict.fromkeys(c for pair in pairs for c in pair))
-    counts = df.agg(*[F.approx_count_distinct(c).alias(c) for c in needed])
+    counts = df.agg(*[F.approx_count_distinct(c, rsd).alias(c) for c in needed])
     items = [
         F.struct(
             F.lit(name).alias("column"),

@@ -11,6 +11,7 @@ from pyspark.sql.window import Window
 from aeropunct.functions.columns import (
     CAUSE_NONE,
     delay_band,
+    has_cause,
     months_from_mask,
     months_mask,
     primary_cause,
@@ -176,7 +177,7 @@ def band_stats(df: DataFrame) -> DataFrame:
 
 def cause_counts(df: DataFrame) -> DataFrame:
     """Frequency of each cause per airport, month and band, without NONE."""
-    named = flight_base(df).filter(F.col("primary_cause") != CAUSE_NONE)
+    named = flight_base(df.filter(has_cause()))
     return named.groupBy(*CAUSE_KEYS).agg(F.count("*").alias("cause_freq"))
 
 

@@ -21,11 +21,18 @@ def sample(df: DataFrame, fraction: float, seed: int = SEED) -> DataFrame:
     return df.sample(withReplacement=False, fraction=fraction, seed=seed)
 
 
+def _key_hash(keys: Sequence[str | Column]) -> Column:
+    """Eight hex digits that depend on the key only."""
+    return F.substring(F.md5(F.concat_ws("|", *keys)), 1, 8)
+
+
+def hash_limit(fraction: float) -> str:
+    """The hash that a share of all keys stays below."""
+    return format(int(fraction * _HASH_SPACE), "08x")
+
+
 def _hash_below(keys: Sequence[str | Column], fraction: float) -> Column:
-    digest = F.md5(F.concat_ws("|", *keys))
-    if fraction >= 1:
-        return F.lit(True)
-    return F.substring(digest, 1, 8) < format(int(fraction * _HASH_SPACE), "08x")
+    return F.lit(True) if fraction >= 1 else _key_hash(keys) < hash_limit(fraction)
 
 
 def hash_sample(df: DataFrame, keys: Sequence[str | Column], fraction: float) -> DataFrame:
@@ -39,6 +46,14 @@ def sub_samples(df: DataFrame, seed: int = SEED) -> dict[str, DataFrame]:
     return {f"flight_{pct}": sample(df, pct / 100, seed) for pct in SUB_SIZES}
 
 
+def hash_sub_samples(df: DataFrame, keys: Sequence[str | Column]) -> DataFrame:
+    """All sub-samples by key hash from one scan: each row once per sample that
+    holds it, the sample's size in ``sample_pct``. Smaller samples lie in larger ones."""
+    h = _key_hash(keys)
+    sizes = [F.when(h < hash_limit(p / 100), p) for p in SUB_SIZES]
+    return df.withColumn("sample_pct", F.explode(F.array_compact(F.array(*sizes))))
+
+
 def _repeat(df: DataFrame, times: Column) -> DataFrame:
     """Each row ``times`` times, from one scan of the table."""
     copies = df.withColumn("copy_number", F.explode(F.sequence(F.lit(1), times)))

@@ -124,6 +124,7 @@ def trends(df: DataFrame) -> DataFrame:
         F.sum("delay_n").alias("delay_n"),
         F.sum(F.when(flown, F.col("delay_sum"))).alias("flown_delay_sum"),
         F.sum(F.when(flown, F.col("delay_n"))).alias("flown_delay_n"),
+        F.sum("flights").alias("flights"),
         F.coalesce(F.sum(F.when(flown, F.col("flights"))), F.lit(0)).alias("flown"),
         F.coalesce(F.sum(F.when(called_off, F.col("flights"))), F.lit(0)).alias("cancelled"),
         *[F.sum(c).alias(c) for c in CAUSE_TITLES],
@@ -182,7 +183,7 @@ def trends(df: DataFrame) -> DataFrame:
             gid == 31,
             F.array(
                 *[
-                    entry("cause_minutes", F.lit(title), F.lit(None).cast("bigint"), F.col(c))
+                    entry("cause_minutes", F.lit(title), F.col("flights"), F.col(c))
                     for c, title in CAUSE_TITLES.items()
                 ]
             ),

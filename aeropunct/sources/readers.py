@@ -61,10 +61,11 @@ def read_delimited(
     return reader.schema(schema).csv(path)
 
 
-def read_dictionary(spark: SparkSession, path: str) -> DataFrame:
-    """Name and type of each column, from a data dictionary file."""
-    text = read_raw_text(spark, path)
-    return text.select(F.col("column").alias("column_name"), F.col("dtype").alias("data_type"))
+def read_dictionary(spark: SparkSession, path: str, extra: Sequence[str] = ()) -> DataFrame:
+    """Name and type of each column from a data dictionary file, and ``extra`` columns."""
+    return read_raw_text(spark, path).select(
+        F.col("column").alias("column_name"), F.col("dtype").alias("data_type"), *extra
+    )
 
 
 def use_database(spark: SparkSession, name: str, location: str | None = None) -> None:

@@ -129,20 +129,25 @@ def raw_flights(
     )
     carriers = table("part").selectExpr("p_partkey AS l_partkey", "p_brand")
 
-    trips = (
-        table("lineitem")
-        .select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_shipdate")
-        .join(carriers, "l_partkey")
-        .join(origins, "l_suppkey")
-        .join(dests, "l_orderkey")
-        .selectExpr("*", f"{KEY_EXPR} AS k")
-        .selectExpr("*", *_aliased(STAGE_ONE))
-        .selectExpr("*", *_aliased(STAGE_TWO))
+    # k and both delays are generated, not just projected: Spark then evaluates
+    # them once per line and lets later filters refer to them, where it would
+    # otherwise repeat their formulas inside every filter it pushes down. Such
+    # filters still run below the joins.
+    lines = table("lineitem").select(
+        "l_orderkey",
+        "l_partkey",
+        "l_suppkey",
+        "l_shipdate",
+        F.inline(F.array(F.struct(F.expr(KEY_EXPR).alias("k")))),
     )
-    if copies:
-        # A second row from the same scan, not a union that would scan and join twice.
-        times = F.when(F.expr(COPY_RULE), 2).otherwise(1)
-        trips = trips.withColumn("copy", F.explode(F.sequence(F.lit(1), times)))
+    # A copied record is a second row from the same scan, not a union that would
+    # scan and join everything twice.
+    times = F.when(F.expr(COPY_RULE), 2).otherwise(1) if copies else F.lit(1)
+    delays = F.struct("dd", *[F.expr(e).alias(n) for n, e in STAGE_TWO.items()])
+    lines = lines.selectExpr("*", *_aliased(STAGE_ONE)).select(
+        *lines.columns, F.inline(F.array_repeat(delays, times))
+    )
+    trips = lines.join(carriers, "l_partkey").join(origins, "l_suppkey").join(dests, "l_orderkey")
     exprs = {**RAW_EXPRS, **ID_EXPRS} if ids else RAW_EXPRS
     return trips.selectExpr(*_aliased(exprs))
 

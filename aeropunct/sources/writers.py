@@ -63,7 +63,7 @@ def append_run_metrics(
     with a header, so that concurrent runs cannot damage each other's rows."""
     schema = StructType()
     for name in columns:
-        kind = "double" if name.endswith("_Sec") else "bigint" if name.endswith("_Records") else None
+        kind = "double" if name.endswith("_Sec") else "long" if name.endswith("_Records") else None
         schema = schema.add(name, kind or "string")
     values = [[row[name] for name in columns] for row in rows]
     frame = spark.createDataFrame(values, schema).coalesce(1)
