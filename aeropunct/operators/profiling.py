@@ -265,7 +265,10 @@ def extremes(df: DataFrame, k: int = 50, sample: DataFrame | None = None) -> Dat
         head = pairs.orderBy(*order).limit(k)
         earlier = Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
         places = F.coalesce(F.sum("n").over(earlier), F.lit(0))
-        return head.withColumn("places", places).filter(F.col("places") < k).select(*pair)
+        head = head.withColumn("places", places).filter(F.col("places") < k)
+        # New names keep the four branches alike below, so that they share one
+        # exchange of the counted pairs.
+        return head.select(*[F.col(c).alias(f"extreme_{c}") for c in pair])
 
     parts = [
         outermost("dep_delay", "arr_delay", True),
@@ -275,7 +278,7 @@ def extremes(df: DataFrame, k: int = 50, sample: DataFrame | None = None) -> Dat
     ]
     if sample is not None:
         parts.append(sample.select(*floats).dropna())
-    return reduce(DataFrame.union, parts).distinct()
+    return reduce(DataFrame.union, parts).distinct().toDF(*pair)
 
 
 def recovery(df: DataFrame) -> DataFrame:
