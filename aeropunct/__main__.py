@@ -11,7 +11,16 @@ from aeropunct.session import build_session
 def main(argv: list[str] | None = None) -> None:
     parser = argparse.ArgumentParser(prog="aeropunct")
     parser.add_argument(
-        "job", choices=["clean", "scale", "airport-report", "route-report", "band-report", "ranking"]
+        "job",
+        choices=[
+            "clean",
+            "scale",
+            "airport-report",
+            "route-report",
+            "carrier-reports",
+            "band-report",
+            "ranking",
+        ],
     )
     parser.add_argument("input")
     parser.add_argument("output")
@@ -28,6 +37,8 @@ def main(argv: list[str] | None = None) -> None:
         jobs.run_scaling(*common)
     elif args.job == "band-report":
         jobs.run_band_report(*common, single_csv=args.single_csv)
+    elif args.job == "carrier-reports":
+        jobs.run_carrier_reports(*common)
     elif args.job == "ranking":
         jobs.run_ranking(*common)
     else:

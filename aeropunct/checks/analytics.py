@@ -11,6 +11,7 @@ from aeropunct.checks.registry import (
     DEP_SUM,
     check,
     cleaned,
+    finished,
     hundredths,
     raw,
     rounded,
@@ -65,7 +66,7 @@ def _(spark, sf_dir):
   ORDER BY sum(total_flights) DESC, op_unique_carrier LIMIT 10)""",
 )
 def _(spark, sf_dir):
-    rep = reports.carrier_ranking(cleaned(spark, sf_dir))
+    rep = finished(spark, reports.carrier_ranking(cleaned(spark, sf_dir)), "j3")
     top = selection.keep_top(rep, "op_unique_carrier", "total_flights", 10)
     return top.select("origin", "op_unique_carrier", "total_flights")
 
@@ -288,12 +289,14 @@ BAND_SHARE = "SELECT origin, " + ", ".join(
 
 @check("a20_month_heatmap", HEATMAP)
 def _(spark, sf_dir):
-    return rollups.month_heatmap(reports.band_report(cleaned(spark, sf_dir)))
+    rep = finished(spark, reports.band_report(cleaned(spark, sf_dir)), "a20")
+    return rollups.month_heatmap(rep)
 
 
 @check("a21_band_share", BAND_SHARE)
 def _(spark, sf_dir):
-    return rollups.band_share(reports.band_report(cleaned(spark, sf_dir)))
+    rep = finished(spark, reports.band_report(cleaned(spark, sf_dir)), "a21")
+    return rollups.band_share(rep)
 
 
 def _top(key: str, k: int) -> str:
@@ -310,14 +313,14 @@ FROM ranking GROUP BY op_unique_carrier"""
 
 @check("a22_diff_cells", DIFF_CELLS)
 def _(spark, sf_dir):
-    return rollups.diff_cells(reports.carrier_ranking(cleaned(spark, sf_dir)))
+    rep = finished(spark, reports.carrier_ranking(cleaned(spark, sf_dir)), "a22")
+    return rollups.diff_cells(rep)
 
 
 @check("a22_diff_matrix")
 def _(spark, sf_dir):
-    path = scratch_dir(spark, "a22")
-    writers.write_parquet(reports.carrier_ranking(cleaned(spark, sf_dir)), path)
-    return rollups.diff_matrix(readers.read_flights(spark, path))
+    rep = finished(spark, reports.carrier_ranking(cleaned(spark, sf_dir)), "a22m")
+    return rollups.diff_matrix(rep)
 
 
 @check("a23_carrier_diff_rollup", CARRIER_DIFF)
@@ -498,6 +501,21 @@ def _(spark, sf_dir):
     return jobs.run_carrier_report(spark, base, out, "check", metrics, level="route")
 
 
+@check(
+    "q3_reports_by_level",
+    f"""SELECT 'airport' AS level, Key, Value FROM ({text_lines("airport_parts", "origin")}) AS a
+UNION ALL SELECT 'route', Key, Value FROM ({text_lines("route_parts", "route")}) AS r""",
+)
+def _(spark, sf_dir):
+    base, out = clean_parquet(spark, sf_dir, "q3b"), scratch_dir(spark, "q3bout")
+    texts = jobs.run_carrier_reports(spark, base, out, "check", scratch_dir(spark, "q3bmetrics"))
+    airport, route = [
+        texts[level].select(F.lit(level).alias("level"), "Key", "Value")
+        for level in ("airport", "route")
+    ]
+    return airport.unionByName(route)
+
+
 @check("q4_band_report", BAND_REPORT)
 def _(spark, sf_dir):
     return reports.band_report(cleaned(spark, sf_dir))

@@ -13,6 +13,7 @@ from aeropunct.checks.registry import (
     cleaned,
     comparable,
     comparable_sql,
+    finished,
     raw,
     rounded,
 )
@@ -195,7 +196,7 @@ def _(spark, sf_dir):
   SELECT origin FROM band_report GROUP BY origin ORDER BY sum(total_flights) DESC, origin LIMIT 10)""",
 )
 def _(spark, sf_dir):
-    rep = reports.band_report(cleaned(spark, sf_dir))
+    rep = finished(spark, reports.band_report(cleaned(spark, sf_dir)), "p17")
     top = selection.keep_top(rep, "origin", "total_flights", 10)
     return top.select("origin", "month", "delay_band", "total_flights")
 

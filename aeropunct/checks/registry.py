@@ -11,7 +11,10 @@ from pyspark.sql import functions as F
 
 from aeropunct.operators.cleaning import clean
 from aeropunct.schema import CAUSE_COLUMNS, CLEAN_FIELDS, RAW_COLUMNS
+from aeropunct.session import scratch_dir
 from aeropunct.sources import star
+from aeropunct.sources.readers import read_flights
+from aeropunct.sources.writers import write_parquet
 
 Runner = Callable[[SparkSession, str], DataFrame]
 
@@ -49,6 +52,17 @@ def cleaned(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clean(star.raw_flights(spark, sf_dir), drop_copies=False)
 
 
+def finished(spark: SparkSession, report: DataFrame, label: str) -> DataFrame:
+    """The report written to the shared scratch folder and read back.
+
+    Roll-ups read a report several times; reading the flights as often would
+    cost as many scans of the whole table.
+    """
+    path = scratch_dir(spark, label)
+    write_parquet(report, path)
+    return read_flights(spark, path)
+
+
 def comparable(df: DataFrame) -> DataFrame:
     """Raw columns in types that every client reads alike: dates as text, and the
     causes, whole numbers with nulls, as double."""

@@ -1,5 +1,8 @@
 """Roll-ups of the finished reports.
 
+They read a report several times, so give them a written one: a report that is
+still a plan over the flights would be computed from the flights as often.
+
 Report figures have two decimals, so sums are taken over decimals: they are
 exact and do not depend on the order in which tasks finish.
 """
@@ -11,7 +14,7 @@ from pyspark.sql import functions as F
 
 from aeropunct.functions.columns import BAND_UNKNOWN, BANDS, scale_pct
 from aeropunct.operators.cleaning import exclude
-from aeropunct.operators.selection import keep_top, min_volume, top_k
+from aeropunct.operators.selection import keep_top, min_volume, top_groups, top_k
 
 # List lengths and the smallest airport of the roll-ups.
 TOP_CARRIERS = 10
@@ -122,11 +125,12 @@ def diff_cells(
 
     Both lists are taken from the whole ranking, not one after the other.
     """
-    both = keep_top(rep, "origin", "total_flights", airports)
-    tops = keep_top(rep, "op_unique_carrier", "total_flights", carriers)
-    tops = tops.select("op_unique_carrier").distinct()
-    return both.join(tops, "op_unique_carrier", "left_semi").select(
-        "origin", "op_unique_carrier", "diff_from_airport_avg"
+    busiest = top_groups(rep, "origin", "total_flights", airports)
+    largest = top_groups(rep, "op_unique_carrier", "total_flights", carriers)
+    return (
+        rep.join(busiest, "origin", "left_semi")
+        .join(largest, "op_unique_carrier", "left_semi")
+        .select("origin", "op_unique_carrier", "diff_from_airport_avg")
     )
 
 
@@ -138,8 +142,8 @@ def diff_matrix(
     The column names are the busiest carriers: at most ``carriers`` names reach
     the driver.
     """
-    heads = keep_top(rep, "op_unique_carrier", "total_flights", carriers)
-    names = sorted(r[0] for r in heads.select("op_unique_carrier").distinct().collect())
+    heads = top_groups(rep, "op_unique_carrier", "total_flights", carriers)
+    names = sorted(r.op_unique_carrier for r in heads.collect())
     cells = diff_cells(rep, airports, carriers)
     return cells.groupBy("origin").pivot("op_unique_carrier", names).agg(
         F.max("diff_from_airport_avg")

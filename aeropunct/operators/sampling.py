@@ -16,8 +16,11 @@ _HASH_SPACE = 16**8
 
 
 def sample(df: DataFrame, fraction: float, seed: int = SEED) -> DataFrame:
-    """Random rows without replacement. The same seed gives other rows when the
-    table is split into other partitions; :func:`hash_sample` does not depend on it."""
+    """Random rows without replacement, by seed and place within a partition.
+
+    Take it from a stored table. Other partitions give other rows for the same
+    seed; :func:`hash_sample` does not depend on them.
+    """
     return df.sample(withReplacement=False, fraction=fraction, seed=seed)
 
 
@@ -63,7 +66,8 @@ def _repeat(df: DataFrame, times: Column) -> DataFrame:
 def oversample_150(
     df: DataFrame, seed: int = SEED, keys: Sequence[str | Column] | None = None
 ) -> DataFrame:
-    """All rows and half of them a second time, chosen at random or by key hash."""
+    """All rows and half of them a second time, chosen at random (see :func:`sample`)
+    or by key hash."""
     again = _hash_below(keys, 0.5) if keys else F.rand(seed) < 0.5
     return _repeat(df, F.when(again, 2).otherwise(1))
 

@@ -16,6 +16,7 @@ from aeropunct.schema import (
     GENERATION_METRICS,
     RUN_METRICS,
 )
+from aeropunct.session import scratch_dir
 from aeropunct.sources import readers, writers
 
 
@@ -121,6 +122,31 @@ def run_carrier_report(
     return readers.read_keyed_text(spark, out_path)
 
 
+def run_carrier_reports(
+    spark: SparkSession,
+    in_path: str,
+    out_dir: str,
+    environment: str,
+    metrics_path: str | None = None,
+) -> dict[str, DataFrame]:
+    """Airport and route report from a single scan of the flights."""
+    paths = {level: f"{out_dir.rstrip('/')}/{level}" for level in ("airport", "route")}
+
+    def write() -> None:
+        flights = readers.read_flights(spark, in_path)
+        # Both texts come from this small table, which is kept as files: it
+        # outlives the loss of any executor.
+        kept = scratch_dir(spark, "levels")
+        writers.write_parquet(reports.carrier_stats_by_level(flights), kept)
+        levels = readers.read_flights(spark, kept)
+        for level, path in paths.items():
+            stats = levels.filter(F.col("level") == level)
+            writers.write_keyed_text(reports.format_stats(stats, "place"), path)
+
+    _recorded(spark, in_path, environment, metrics_path, write)
+    return {level: readers.read_keyed_text(spark, path) for level, path in paths.items()}
+
+
 def run_band_report(
     spark: SparkSession,
     in_path: str,
