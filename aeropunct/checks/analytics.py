@@ -42,10 +42,9 @@ def _(spark, sf_dir):
 
 @check(
     "j2_join_causes",
-    """SELECT s.origin, s.month, s.delay_band, total_flights, primary_cause,
+    """SELECT origin, month, delay_band, total_flights, primary_cause,
   CAST(cause_freq AS DOUBLE) AS cause_freq, CAST(rnk AS DOUBLE) AS rnk
-FROM band_stats s LEFT JOIN ranked_causes r
-  ON s.origin = r.origin AND s.month = r.month AND s.delay_band = r.delay_band""",
+FROM band_stats LEFT JOIN ranked_causes USING (origin, month, delay_band)""",
 )
 def _(spark, sf_dir):
     df = cleaned(spark, sf_dir)

@@ -95,11 +95,10 @@ _QUALITY = """distance > 0 AND origin IS NOT NULL AND dest IS NOT NULL AND (
   (cancelled = 0 AND cancellation_code IS NULL AND dep_delay IS NOT NULL AND arr_delay IS NOT NULL)
   OR (cancelled = 1 AND cancellation_code IS NOT NULL))"""
 
-BAND_CASE = """CASE WHEN dep_delay < 15 THEN 'LOW'
-  WHEN dep_delay >= 15 AND dep_delay <= 60 THEN 'MEDIUM'
-  WHEN dep_delay > 60 THEN 'HIGH' ELSE 'UNKNOWN' END"""
+BAND_CASE = """CASE WHEN dep_delay IS NULL THEN 'UNKNOWN' WHEN dep_delay > 60 THEN 'HIGH'
+  WHEN dep_delay < 15 THEN 'LOW' ELSE 'MEDIUM' END"""
 PEAK = "greatest(carrier_delay, weather_delay, nas_delay, security_delay, late_aircraft_delay)"
-CAUSE_CASE = f"""CASE WHEN cancelled = 1 THEN 'CANCELLED_' || coalesce(cancellation_code, 'UNKNOWN')
+CAUSE_CASE = f"""CASE WHEN cancelled = 1 THEN 'CANCELLED_' || ifnull(cancellation_code, 'UNKNOWN')
   WHEN {PEAK} <= 0 THEN 'NONE'
   WHEN carrier_delay = {PEAK} THEN 'CARRIER'
   WHEN weather_delay = {PEAK} THEN 'WEATHER'
@@ -164,17 +163,17 @@ FROM base GROUP BY origin, month, delay_band""",
 SELECT origin, month, delay_band, primary_cause, count(*) AS cause_freq FROM base
 WHERE primary_cause <> 'NONE' GROUP BY origin, month, delay_band, primary_cause""",
     "ranked_causes": """
-SELECT *, row_number() OVER (PARTITION BY origin, month, delay_band
-  ORDER BY cause_freq DESC, primary_cause) AS rnk FROM causes""",
-    "band_report": """
-SELECT s.origin, s.month, s.delay_band, s.total_flights,
-  s.dep100/100.0 AS avg_dep_delay, s.arr100/100.0 AS avg_arr_delay,
-  max(CASE WHEN rnk = 1 THEN primary_cause END) AS top_cause_1,
-  max(CASE WHEN rnk = 2 THEN primary_cause END) AS top_cause_2,
-  max(CASE WHEN rnk = 3 THEN primary_cause END) AS top_cause_3
-FROM band_stats s LEFT JOIN ranked_causes r
-  ON s.origin = r.origin AND s.month = r.month AND s.delay_band = r.delay_band
+SELECT *, row_number() OVER most_frequent AS rnk FROM causes
+WINDOW most_frequent AS (PARTITION BY origin, month, delay_band
+  ORDER BY -cause_freq, primary_cause)""",
+    "cause_lists": """
+SELECT origin, month, delay_band, list(primary_cause ORDER BY rnk) AS top FROM ranked_causes
 GROUP BY ALL""",
+    "band_report": """
+SELECT origin, month, delay_band, total_flights,
+  dep100/100.0 AS avg_dep_delay, arr100/100.0 AS avg_arr_delay,
+  top[1] AS top_cause_1, top[2] AS top_cause_2, top[3] AS top_cause_3
+FROM band_stats LEFT JOIN cause_lists USING (origin, month, delay_band)""",
     "carriers": f"""
 SELECT origin, op_unique_carrier, count(*) AS total_flights,
   {hundredths(DEP_SUM, "count(dep_delay)")} AS dep100,

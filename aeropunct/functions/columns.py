@@ -201,5 +201,5 @@ def stats_text() -> Column:
 def stats_field(value: Column | str, name: str) -> Column:
     """One field of the report text, as text; empty when it is absent."""
     label, _ = STATS_TEXT[name]
-    pattern = r"\[(.*?)\]" if name == "months_of_operation" else r"([-\d.]+)"
-    return F.regexp_extract(_column(value), rf"{label}:\s*{pattern}", 1)
+    content = r"\[([^\]]*)\]" if name == "months_of_operation" else r"(-?[0-9.]+)"
+    return F.regexp_extract(_column(value), f"{label}: *{content}", 1)

@@ -29,8 +29,8 @@ def _rows_from(wide: DataFrame, names: Sequence[str], fields: dict[str, str]) ->
     items = [
         F.struct(
             F.lit(name).alias("column"),
+            F.col("row_count").alias("rows"),
             *[F.col(f"{prefix}_{i}").alias(out) for out, prefix in fields.items()],
-            *[F.col("row_count").alias("rows")],
         )
         for i, name in enumerate(names)
     ]

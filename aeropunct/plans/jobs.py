@@ -16,7 +16,7 @@ from aeropunct.schema import (
     GENERATION_METRICS,
     RUN_METRICS,
 )
-from aeropunct.session import scratch_dir
+from aeropunct.session import scratch_dir, sized_shuffles
 from aeropunct.sources import readers, writers
 
 
@@ -39,7 +39,9 @@ def run_cleaning(
 ) -> DataFrame:
     """Raw CSV to the cleaned Parquet table; the metrics row holds the row counts."""
     raw = readers.read_raw(spark, raw_path)
-    seconds = _timed(lambda: writers.write_parquet(clean(raw), out_path))
+    # Removing copies shuffles whole records, so the partitions follow the input.
+    with sized_shuffles(spark, raw_path):
+        seconds = _timed(lambda: writers.write_parquet(clean(raw), out_path))
     cleaned = readers.read_flights(spark, out_path)
     if metrics_path:
         # The count of the written table comes from the Parquet footers.
@@ -249,22 +251,18 @@ def report_rollups(
     return combined
 
 
-# The band report as SQL text with named parameters, for SQL users.
-BAND_REPORT_SQL = """
-WITH base AS (
-  SELECT origin, month, dep_delay, arr_delay,
-    CASE WHEN dep_delay < :medium_from THEN 'LOW'
-         WHEN dep_delay <= :high_above THEN 'MEDIUM'
-         WHEN dep_delay > :high_above THEN 'HIGH'
-         ELSE 'UNKNOWN' END AS delay_band
-  FROM IDENTIFIER(:flights)
-)
-SELECT origin, month, delay_band,
+# The band statistics as SQL text with named parameters, for SQL users.
+BAND_STATS_SQL = """
+SELECT origin, month,
+  CASE WHEN dep_delay IS NULL THEN 'UNKNOWN'
+       WHEN dep_delay > :high_above THEN 'HIGH'
+       WHEN dep_delay < :medium_from THEN 'LOW'
+       ELSE 'MEDIUM' END AS delay_band,
   count(*) AS total_flights,
   round(avg(dep_delay), 2) AS avg_dep_delay,
   round(avg(arr_delay), 2) AS avg_arr_delay
-FROM base
-GROUP BY origin, month, delay_band
+FROM IDENTIFIER(:flights)
+GROUP BY ALL
 """
 
 
@@ -273,6 +271,6 @@ def band_stats_sql(
 ) -> DataFrame:
     """Band statistics of a registered table; table and band limits are parameters."""
     return spark.sql(
-        BAND_REPORT_SQL,
+        BAND_STATS_SQL,
         args={"flights": flights, "medium_from": medium_from, "high_above": high_above},
     )

@@ -4,11 +4,13 @@ from __future__ import annotations
 
 import subprocess
 import sys
+from pathlib import Path
 
 import pytest
 from conftest import ROOT, SF_DIR
 from pyspark.sql import functions as F
 
+from aeropunct import session
 from aeropunct.operators import profiling, reports
 from aeropunct.plans import jobs
 from aeropunct.schema import BAND_REPORT_SCHEMA, CLEANING_METRICS, RAW_SCHEMA, RUN_METRICS
@@ -160,6 +162,21 @@ def test_scratch_folder_comes_from_the_session(spark):
     assert first.startswith(base) and first != second
 
 
+def test_shuffle_partitions_follow_the_input(spark, raw_path, monkeypatch):
+    key = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key)
+    size = session.input_bytes(spark, raw_path)
+    files = [p for p in Path(raw_path).rglob("*") if p.is_file()]
+    # The listing leaves out hidden files.
+    assert size == sum(p.stat().st_size for p in files if p.name[0] not in "._")
+    with session.sized_shuffles(spark, raw_path) as partitions:
+        assert partitions == int(before)
+    monkeypatch.setattr(session, "PARTITION_BYTES", size / 99)
+    with session.sized_shuffles(spark, raw_path) as partitions:
+        assert partitions == int(spark.conf.get(key)) == 99
+    assert spark.conf.get(key) == before
+
+
 def test_command_line(spark, tmp_path, clean_path):
     out, metrics = tmp_path / "ranking", tmp_path / "metrics"
     command = [sys.executable, "-m", "aeropunct", "ranking", clean_path, str(out), "Local_1"]
