@@ -18,7 +18,7 @@ from aeropunct.checks.registry import (
 )
 from aeropunct.checks.scans import BAND_REPORT, RANKING, clean_parquet, raw_csv, text_lines
 from aeropunct.functions import columns as fn
-from aeropunct.operators import profiling, reports, rollups, selection, trends
+from aeropunct.operators import profiling, reports, rollups, sampling, selection, trends
 from aeropunct.plans import jobs
 from aeropunct.schema import CLEAN_COLUMNS
 from aeropunct.session import scratch_dir
@@ -466,14 +466,13 @@ def _(spark, sf_dir):
     return jobs.run_cleaning(spark, source, out, "check", metrics)
 
 
-@check("q2_scale_datasets")
-def _(spark, sf_dir):
+def _scaled(spark, sf_dir, keys=None):
     base, out, metrics = (
         clean_parquet(spark, sf_dir, "q2base"),
         scratch_dir(spark, "q2out"),
         scratch_dir(spark, "q2metrics"),
     )
-    paths = jobs.run_scaling(spark, base, out, "check", metrics)
+    paths = jobs.run_scaling(spark, base, out, "check", metrics, keys)
     counts = [
         readers.read_flights(spark, path).agg(
             F.lit(name).alias("dataset"), F.count("*").alias("flights")
@@ -486,6 +485,28 @@ def _(spark, sf_dir):
     return combined
 
 
+@check("q2_scale_datasets")
+def _(spark, sf_dir):
+    return _scaled(spark, sf_dir)
+
+
+_ROW_HASH = f"substr(md5(concat_ws('|', {', '.join(CLEAN_COLUMNS)})), 1, 8)"
+
+
+def _scaled_sql(pct: int) -> str:
+    whole, part = divmod(pct, 100)
+    sample = f"count(*) FILTER (WHERE {_ROW_HASH} < '{sampling.hash_limit(part / 100)}')"
+    return f"SELECT 'flight_{pct}' AS dataset, {whole}*count(*) + {sample} AS flights FROM clean"
+
+
+@check(
+    "q2_scale_datasets_by_hash",
+    " UNION ALL ".join(_scaled_sql(p) for p in (*sampling.SUB_SIZES, *sampling.OVER_SIZES)),
+)
+def _(spark, sf_dir):
+    return _scaled(spark, sf_dir, CLEAN_COLUMNS)
+
+
 @check("q3_airport_report", text_lines("airport_parts", "origin"))
 def _(spark, sf_dir):
     base, out = clean_parquet(spark, sf_dir, "q3"), scratch_dir(spark, "q3out")

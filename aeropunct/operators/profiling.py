@@ -174,10 +174,18 @@ def describe(df: DataFrame, columns: Sequence[str] = DESCRIBED) -> DataFrame:
     wide = floats.agg(
         F.count("*").alias("row_count"),
         *[a.alias(f"{n}_{i}") for i, c in enumerate(columns) for n, a in _moments(c).items()],
+        # One sketch per column serves its three quartiles.
         *[
-            F.percentile_approx(c, q).alias(f"{n}_{i}")
+            F.percentile_approx(c, list(QUARTILES.values())).alias(f"quartiles_{i}")
             for i, c in enumerate(columns)
-            for n, q in QUARTILES.items()
+        ],
+    )
+    wide = wide.select(
+        "*",
+        *[
+            F.get(f"quartiles_{i}", F.lit(j)).alias(f"{n}_{i}")
+            for i in range(len(columns))
+            for j, n in enumerate(QUARTILES)
         ],
     )
     fields = [*_moments("x"), *QUARTILES]

@@ -44,9 +44,14 @@ def hash_sample(df: DataFrame, keys: Sequence[str | Column], fraction: float) ->
     return df.filter(_hash_below(keys, fraction))
 
 
-def sub_samples(df: DataFrame, seed: int = SEED) -> dict[str, DataFrame]:
-    """The 10, 25, 50 and 75 percent samples by data set name."""
-    return {f"flight_{pct}": sample(df, pct / 100, seed) for pct in SUB_SIZES}
+def sub_samples(
+    df: DataFrame, seed: int = SEED, keys: Sequence[str | Column] | None = None
+) -> dict[str, DataFrame]:
+    """The 10, 25, 50 and 75 percent samples by data set name, random or by key hash."""
+    return {
+        f"flight_{pct}": hash_sample(df, keys, pct / 100) if keys else sample(df, pct / 100, seed)
+        for pct in SUB_SIZES
+    }
 
 
 def hash_sub_samples(df: DataFrame, keys: Sequence[str | Column]) -> DataFrame:
@@ -77,10 +82,12 @@ def replicate(df: DataFrame, n: int) -> DataFrame:
     return _repeat(df, F.lit(n))
 
 
-def over_samples(df: DataFrame, seed: int = SEED) -> dict[str, DataFrame]:
+def over_samples(
+    df: DataFrame, seed: int = SEED, keys: Sequence[str | Column] | None = None
+) -> dict[str, DataFrame]:
     """The 150, 200 and 300 percent tables by data set name."""
     return {
-        "flight_150": oversample_150(df, seed),
+        "flight_150": oversample_150(df, seed, keys),
         "flight_200": replicate(df, 2),
         "flight_300": replicate(df, 3),
     }

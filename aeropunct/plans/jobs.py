@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import time
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -64,13 +64,18 @@ def run_scaling(
     out_dir: str,
     environment: str,
     metrics_path: str | None = None,
+    keys: Sequence[str] | None = None,
 ) -> dict[str, str]:
     """Write the seven scaled data sets; gives their paths by name.
 
-    Each one is a single map-only pass over the Parquet base.
+    Each one is a single map-only pass over the Parquet base. With ``keys`` the
+    samples are chosen by key hash and are the same on every cluster.
     """
     base = readers.read_flights(spark, base_path)
-    family = {**sampling.sub_samples(base), **sampling.over_samples(base)}
+    family = {
+        **sampling.sub_samples(base, keys=keys),
+        **sampling.over_samples(base, keys=keys),
+    }
     paths, rows = {}, []
     for name, df in family.items():
         paths[name] = f"{out_dir.rstrip('/')}/{name}.parquet"

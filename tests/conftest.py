@@ -23,10 +23,11 @@ def spark(tmp_path_factory):
         {
             "spark.ui.enabled": "false",
             "spark.ui.showConsoleProgress": "false",
-            "spark.checkpoint.dir": str(shared),
             "spark.sql.warehouse.dir": str(shared / "warehouse"),
         },
     )
+    if not session.conf.get("spark.checkpoint.dir", None):
+        session.conf.set("spark.checkpoint.dir", str(shared))
     yield session
     session.stop()
 

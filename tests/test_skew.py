@@ -118,3 +118,59 @@ def test_hourly_means_by_brute_force(skewed, frame):
     expected = flown.groupby("hour")["dep_delay"].mean().astype(float)
     for r in trends.delay_by_hour(skewed).collect():
         assert r.avg_dep_delay == pytest.approx(expected[r.hour], rel=1e-6)
+
+
+@pytest.fixture
+def settings(spark):
+    """Session settings for one test."""
+    kept = {}
+
+    def apply(**values):
+        for key, value in values.items():
+            name = "spark.sql." + key.replace("__", ".")
+            kept[name] = spark.conf.get(name, None)
+            spark.conf.set(name, value)
+
+    yield apply
+    for name, value in kept.items():
+        spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+
+
+def test_a_hot_order_is_split_in_the_join(spark, settings):
+    from compare import TABLES, difference, duck
+    from conftest import SF_DIR
+
+    from aeropunct.checks.registry import VIEWS
+    from aeropunct.session import scratch_dir
+    from aeropunct.sources.star import raw_flights
+
+    tables = scratch_dir(spark, "hot")
+    for t in TABLES:
+        df = spark.read.parquet(f"{SF_DIR}/{t}.parquet")
+        if t == "lineitem":
+            df = df.union(df.withColumn("l_orderkey", F.lit(7).cast("bigint")))
+        df.coalesce(1).write.parquet(f"{tables}/{t}.parquet")
+
+    settings(
+        autoBroadcastJoinThreshold="-1",
+        adaptive__autoBroadcastJoinThreshold="-1",
+        adaptive__advisoryPartitionSizeInBytes="16KB",
+        adaptive__coalescePartitions__enabled="false",
+        adaptive__skewJoin__skewedPartitionThresholdInBytes="16KB",
+        adaptive__skewJoin__skewedPartitionFactor="2",
+        shuffle__partitions="16",
+    )
+    report = raw_flights(spark, tables).groupBy("origin", "dest").agg(
+        F.count("*").alias("flights"), F.sum("dep_delay").alias("minutes")
+    )
+    got = report.toPandas()
+    assert "SortMergeJoin(skew=true)" in report._jdf.queryExecution().executedPlan().toString()
+
+    con = duck(SF_DIR)
+    for t in TABLES:
+        con.sql(f"CREATE OR REPLACE VIEW {t} AS SELECT * FROM '{tables}/{t}.parquet/*.parquet'")
+    expected = con.sql(
+        "SELECT origin, dest, count(*) AS flights, sum(dep_delay) AS minutes"
+        f" FROM ({VIEWS['raw']}) AS raw GROUP BY origin, dest"
+    )
+    assert difference(got, expected.df()) is None
