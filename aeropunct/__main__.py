@@ -1,49 +1,60 @@
-"""Command line: ``spark-submit aeropunct/__main__.py JOB IN OUT ENVIRONMENT``."""
+"""Command line: ``python -m aeropunct JOB INPUT OUTPUT ENVIRONMENT``."""
 
 from __future__ import annotations
 
 import argparse
 
+from pyspark.sql import SparkSession
+
 from aeropunct.plans import jobs
 from aeropunct.session import build_session
 
+JOBS = {
+    "clean": jobs.run_cleaning,
+    "scale": jobs.run_scaling,
+    "airport-report": jobs.run_carrier_report,
+    "route-report": jobs.run_carrier_report,
+    "carrier-reports": jobs.run_carrier_reports,
+    "band-report": jobs.run_band_report,
+    "ranking": jobs.run_ranking,
+}
 
-def main(argv: list[str] | None = None) -> None:
+
+def parse(argv: list[str] | None = None) -> argparse.Namespace:
     parser = argparse.ArgumentParser(prog="aeropunct")
-    parser.add_argument(
-        "job",
-        choices=[
-            "clean",
-            "scale",
-            "airport-report",
-            "route-report",
-            "carrier-reports",
-            "band-report",
-            "ranking",
-        ],
-    )
+    parser.add_argument("job", choices=JOBS)
     parser.add_argument("input")
     parser.add_argument("output")
     parser.add_argument("environment")
     parser.add_argument("--metrics", help="folder for the run-metrics rows")
     parser.add_argument("--single-csv", help="band report: also write one CSV file here")
-    args = parser.parse_args(argv)
+    parser.add_argument("--keys", nargs="+", help="scale: choose samples by hash of these columns")
+    return parser.parse_args(argv)
+
+
+def run(spark: SparkSession, args: argparse.Namespace) -> None:
+    special = {
+        "scale": {"keys": args.keys},
+        "route-report": {"level": "route"},
+        "band-report": {"single_csv": args.single_csv},
+    }
+    JOBS[args.job](
+        spark,
+        args.input,
+        args.output,
+        args.environment,
+        args.metrics,
+        **special.get(args.job, {}),
+    )
+
 
+def main(argv: list[str] | None = None) -> None:
+    args = parse(argv)
     spark = build_session(f"aeropunct-{args.job}")
-    common = (spark, args.input, args.output, args.environment, args.metrics)
-    if args.job == "clean":
-        jobs.run_cleaning(*common)
-    elif args.job == "scale":
-        jobs.run_scaling(*common)
-    elif args.job == "band-report":
-        jobs.run_band_report(*common, single_csv=args.single_csv)
-    elif args.job == "carrier-reports":
-        jobs.run_carrier_reports(*common)
-    elif args.job == "ranking":
-        jobs.run_ranking(*common)
-    else:
-        jobs.run_carrier_report(*common, level=args.job.split("-")[0])
-    spark.stop()
+    try:
+        run(spark, args)
+    finally:
+        spark.stop()
 
 
 if __name__ == "__main__":

@@ -103,14 +103,16 @@ def trends(df: DataFrame) -> DataFrame:
         F.col("op_unique_carrier").alias("carrier"),
         as_int("month").alias("month"),
         hour.alias("hour"),
-        F.when(delay.isNotNull(), delay_bracket(delay)).alias("bracket"),
+        F.when(F.col("dep_delay").isNotNull(), delay_bracket(delay)).alias("bracket"),
         F.col("cancellation_code").alias("code"),
         F.col("cancelled").alias("state"),
+        F.col("dep_delay").isNotNull().cast("int").alias("known"),
         delay.alias("delay"),
         *[as_int(c).alias(c) for c in CAUSE_TITLES],
     )
     cube = cube.groupBy(*axes).agg(
         F.count("*").alias("flights"),
+        F.sum("known").alias("known"),
         F.sum("delay").alias("delay_sum"),
         F.count("delay").alias("delay_n"),
         *[F.sum(c).alias(c) for c in CAUSE_TITLES],
@@ -120,10 +122,12 @@ def trends(df: DataFrame) -> DataFrame:
         [[F.col(a)] for a in axes[:5]] + [[]], *[F.col(a) for a in axes[:5]]
     ).agg(
         F.grouping_id().alias("gid"),
+        F.sum("known").alias("known"),
         F.sum("delay_sum").alias("delay_sum"),
         F.sum("delay_n").alias("delay_n"),
         F.sum(F.when(flown, F.col("delay_sum"))).alias("flown_delay_sum"),
         F.sum(F.when(flown, F.col("delay_n"))).alias("flown_delay_n"),
+        F.coalesce(F.sum(F.when(flown, F.col("known"))), F.lit(0)).alias("flown_known"),
         F.sum("flights").alias("flights"),
         F.coalesce(F.sum(F.when(flown, F.col("flights"))), F.lit(0)).alias("flown"),
         F.coalesce(F.sum(F.when(called_off, F.col("flights"))), F.lit(0)).alias("cancelled"),
@@ -146,15 +150,15 @@ def trends(df: DataFrame) -> DataFrame:
     )
     in_day = F.col("hour").between(0, 23) & (F.col("flown") > 0)
     has_code = F.col("code").isNotNull() & (F.col("cancelled") > 0)
-    known = F.col("delay_n") > 0
+    has_delay = F.col("known") > 0
     rows = (
         F.when(
-            (gid == only["carrier"]) & known,
-            F.array(entry("delay_by_carrier", F.col("carrier"), F.col("delay_n"), mean)),
+            (gid == only["carrier"]) & has_delay,
+            F.array(entry("delay_by_carrier", F.col("carrier"), F.col("known"), mean)),
         )
         .when(
-            (gid == only["month"]) & known,
-            F.array(entry("delay_by_month", month_name("month"), F.col("delay_n"), mean)),
+            (gid == only["month"]) & has_delay,
+            F.array(entry("delay_by_month", month_name("month"), F.col("known"), mean)),
         )
         .when(
             (gid == only["hour"]) & in_day,
@@ -162,14 +166,14 @@ def trends(df: DataFrame) -> DataFrame:
                 entry(
                     "delay_by_hour",
                     F.col("hour"),
-                    F.coalesce("flown_delay_n", F.lit(0)),
+                    F.col("flown_known"),
                     F.try_divide("flown_delay_sum", "flown_delay_n"),
                 )
             ),
         )
         .when(
             (gid == only["bracket"]) & F.col("bracket").isNotNull(),
-            F.array(entry("bracket_share", F.col("bracket"), F.col("delay_n"), F.lit(None))),
+            F.array(entry("bracket_share", F.col("bracket"), F.col("known"), F.lit(None))),
         )
         .when(
             (gid == only["code"]) & has_code,

@@ -11,6 +11,7 @@ from conftest import ROOT, SF_DIR
 from pyspark.sql import functions as F
 
 from aeropunct import session
+from aeropunct.__main__ import JOBS, parse, run
 from aeropunct.operators import profiling, reports
 from aeropunct.plans import jobs
 from aeropunct.schema import BAND_REPORT_SCHEMA, CLEANING_METRICS, RAW_SCHEMA, RUN_METRICS
@@ -188,6 +189,19 @@ def test_command_line(spark, tmp_path, clean_path):
     assert writers.read_run_metrics(spark, str(metrics)).first().Environment == "Local_1"
 
 
+@pytest.mark.parametrize("job", sorted(JOBS))
+def test_every_job_from_its_arguments(spark, job, raw_path, clean_path):
+    out, metrics, one = (scratch_dir(spark, x) for x in ("cli", "climetrics", "clione"))
+    source = raw_path if job == "clean" else clean_path
+    args = [job, source, out, "Local_1", "--metrics", metrics, "--single-csv", one]
+    run(spark, parse([*args, "--keys", "origin", "dest", "distance"]))
+    written = spark.read.option("recursiveFileLookup", True).format("binaryFile").load(out)
+    assert written.count() > 0
+    assert writers.read_run_metrics(spark, metrics).count() == (7 if job == "scale" else 1)
+    if job == "band-report":
+        assert readers.read_delimited(spark, one).count() > 0
+
+
 def test_adapter_has_no_copies_by_default(spark):
     df = raw_flights(spark, SF_DIR)
     assert profiling.exact_dups(df).first().duplicates == 0
