@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Collection, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -44,15 +44,34 @@ def shape(df: DataFrame) -> DataFrame:
     )
 
 
-def profile(df: DataFrame, sparse_pct: float = 80) -> DataFrame:
-    """Every per-column check in a single pass with one small buffer per task."""
+def varying_columns(df: DataFrame, rows: int = 1000) -> set[str]:
+    """Columns that already vary among the first rows, and so cannot be constant.
+
+    This runs at once. It is meant for a table read from files, where the first
+    rows cost one small task.
+    """
+    checks = [(F.min(c) < F.max(c)).alias(f"varies_{i}") for i, c in enumerate(df.columns)]
+    found = df.limit(rows).agg(*checks).first()
+    return {c for c, varies in zip(df.columns, found, strict=True) if varies}
+
+
+def profile(
+    df: DataFrame, sparse_pct: float = 80, varying: Collection[str] = ()
+) -> DataFrame:
+    """Every per-column check in a single pass with one small buffer per task.
+
+    Columns in ``varying`` (see :func:`varying_columns`) are known not to be
+    constant. Leaving out their min and max keeps a wide aggregate small enough
+    for generated code, and spares two comparisons for each value.
+    """
     names = df.columns
     aggs: list[Column] = [F.count("*").alias("row_count")]
     for i, (name, kind) in enumerate(df.dtypes):
         c = F.col(name)
+        constant = F.lit(False) if name in varying else F.min(c).eqNullSafe(F.max(c))
         aggs += [
             F.count_if(is_missing(c, kind == "string")).alias(f"nulls_{i}"),
-            F.min(c).eqNullSafe(F.max(c)).alias(f"constant_{i}"),
+            constant.alias(f"constant_{i}"),
         ]
     long = _rows_from(df.agg(*aggs), names, {"nulls": "nulls", "zero_variance": "constant"})
     share = F.try_divide(F.col("nulls") * 100.0, F.col("rows"))
@@ -73,17 +92,21 @@ def zero_variance(df: DataFrame) -> DataFrame:
 
 def null_counts(df: DataFrame) -> DataFrame:
     """Null or empty values per column."""
-    return profile(df).select("column", "nulls")
+    return _nulls_only(df).select("column", "nulls")
 
 
 def sparse_columns(df: DataFrame, pct: float = 80) -> DataFrame:
     """Columns with more than ``pct`` percent missing."""
-    return profile(df, pct).filter("sparse").select("column", "nulls", "null_pct")
+    return _nulls_only(df, pct).filter("sparse").select("column", "nulls", "null_pct")
 
 
 def null_report(df: DataFrame, columns: Sequence[str] = NULL_REPORT_COLUMNS) -> DataFrame:
     """Missing values of the target columns with their share of all rows."""
-    return profile(df.select(*columns)).select("column", "nulls", "null_pct")
+    return _nulls_only(df.select(*columns)).select("column", "nulls", "null_pct")
+
+
+def _nulls_only(df: DataFrame, sparse_pct: float = 80) -> DataFrame:
+    return profile(df, sparse_pct, varying=df.columns)
 
 
 def sparse_rows(df: DataFrame, pct: float = 80) -> DataFrame:
@@ -313,7 +336,7 @@ def dictionary_of(df: DataFrame) -> DataFrame:
     """Data dictionary of a table: column, type and percentage missing."""
     types = {f.name: f.dataType.simpleString() for f in df.schema.fields}
     kinds = F.create_map(*[F.lit(x) for pair in types.items() for x in pair])
-    return profile(df).select(
+    return _nulls_only(df).select(
         "column",
         kinds[F.col("column")].alias("dtype"),
         F.round("null_pct", 2).alias("null_pct"),

@@ -19,9 +19,19 @@ from aeropunct.operators.cleaning import cancelled, operated, with_delay
 MILLION = 1_000_000
 
 
+def _minutes(df: DataFrame) -> list[Column]:
+    """The causes as numbers; in a table of text they may be anything."""
+    kinds = dict(df.dtypes)
+    return [
+        (F.col(c).try_cast("double") if kinds[c] == "string" else F.col(c)).alias(c)
+        for c in CAUSE_TITLES
+    ]
+
+
 def cause_minutes(df: DataFrame) -> DataFrame:
     """Total minutes per cause, the largest first, also in millions."""
-    totals = df.agg(*[F.sum(as_int(c)).alias(title) for c, title in CAUSE_TITLES.items()])
+    minutes = df.select(*_minutes(df))
+    totals = minutes.agg(*[F.sum(c).alias(title) for c, title in CAUSE_TITLES.items()])
     titles = list(CAUSE_TITLES.values())
     long = totals.unpivot([], titles, "delay_cause", "total_minutes")
     return long.withColumn("total_millions", F.col("total_minutes") / MILLION).orderBy(
@@ -108,7 +118,7 @@ def trends(df: DataFrame) -> DataFrame:
         F.col("cancelled").alias("state"),
         F.col("dep_delay").isNotNull().cast("int").alias("known"),
         delay.alias("delay"),
-        *[as_int(c).alias(c) for c in CAUSE_TITLES],
+        *_minutes(df),
     )
     cube = cube.groupBy(*axes).agg(
         F.count("*").alias("flights"),

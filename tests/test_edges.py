@@ -211,9 +211,25 @@ def test_profile_of_text_counts_empty_as_missing(spark):
     assert [found[c].sparse for c in "pqr"] == [False, False, True]
 
 
+def test_columns_that_vary_later_are_still_found(spark):
+    df = spark.range(3000).select(
+        F.col("id").alias("early"),
+        F.when(F.col("id") < 2900, "same").otherwise("other").alias("late"),
+        F.lit("x").alias("never"),
+        F.lit(None).cast("string").alias("void"),
+    ).coalesce(1)
+    varying = profiling.varying_columns(df, 1000)
+    assert varying == {"early"}
+    plain = {tuple(r) for r in profiling.profile(df).collect()}
+    assert {tuple(r) for r in profiling.profile(df, varying=varying).collect()} == plain
+    assert {r.column for r in profiling.profile(df, varying=varying).collect()
+            if r.zero_variance} == {"never", "void"}
+
+
 def test_profile_of_empty_table(spark):
     df = spark.createDataFrame([], "p string, q int")
     assert [r.nulls for r in profiling.profile(df).collect()] == [0, 0]
+    assert profiling.varying_columns(df) == set()
 
 
 def test_redundant_ids(spark):

@@ -65,6 +65,31 @@ def test_trends_agree_with_separate_reports(raw):
         assert together["cause_minutes", r.delay_cause] == r.total_minutes
 
 
+def test_trends_and_profile_of_text(raw):
+    """Exploration reads every column as text; the figures stay the same."""
+    text = raw.select(*[F.col(c).cast("string").alias(c) for c in raw.columns])
+    def values(df):
+        return {tuple(r) for r in df.collect()}
+
+    for report in (
+        trends.trends,
+        trends.delay_by_carrier,
+        trends.delay_by_month,
+        trends.delay_by_hour,
+        trends.cancellations_by_code,
+        trends.bracket_share,
+        trends.cause_minutes,
+        profiling.profile,
+        profiling.sparse_rows,
+        profiling.describe_exact,
+        profiling.extremes,
+        profiling.recovery,
+        profiling.logical_dups,
+        cleaning.clean,
+    ):
+        assert values(report(text)) == values(report(raw)), report.__name__
+
+
 def test_cleaned_table_has_its_schema_and_rules(cleaned):
     assert [(f.name, f.dataType) for f in cleaned.schema] == [
         (f.name, f.dataType) for f in CLEAN_SCHEMA
