@@ -239,11 +239,13 @@ def _(spark, sf_dir):
 
 @check(
     "p22_unit_scaling",
-    "SELECT 'Weather' AS delay_cause, sum(weather_delay)::DOUBLE/1000000 AS total_millions FROM raw",
+    " UNION ALL ".join(
+        f"SELECT '{title}' AS delay_cause, sum({c})::DOUBLE/1000000 AS total_millions FROM raw"
+        for c, title in fn.CAUSE_TITLES.items()
+    ),
 )
 def _(spark, sf_dir):
-    minutes = trends.cause_minutes(raw(spark, sf_dir))
-    return minutes.filter("delay_cause = 'Weather'").select("delay_cause", "total_millions")
+    return trends.cause_minutes(raw(spark, sf_dir)).select("delay_cause", "total_millions")
 
 
 # -- F: scalar functions ------------------------------------------------------

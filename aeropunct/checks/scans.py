@@ -116,17 +116,19 @@ def text_lines(parts: str, place: str) -> str:
     )
 
 
+_CSV_FIELDS = ", ".join(f"coalesce(CAST({c} AS VARCHAR), '\\N')" for c in BAND_REPORT_SCHEMA.names)
+
+
 @check(
     "s9_single_csv",
-    "SELECT origin || ',' || month || ',' || delay_band || ',' || total_flights AS line_start"
-    " FROM band_report UNION ALL SELECT 'origin,month,delay_band,total_flights'",
+    f"SELECT concat_ws(',', {_CSV_FIELDS}) AS line FROM band_report"
+    f" UNION ALL SELECT '{','.join(BAND_REPORT_SCHEMA.names)}'",
 )
 def _(spark, sf_dir):
     path = scratch_dir(spark, "s9")
     report = reports.band_report(cleaned(spark, sf_dir))
     writers.write_single_csv(report, path, reports.BAND_KEYS)
-    lines = spark.read.text(path)
-    return lines.select(F.substring_index("value", ",", 4).alias("line_start"))
+    return spark.read.text(path).withColumnRenamed("value", "line")
 
 
 @check(

@@ -31,11 +31,13 @@ def _key_hash(keys: Sequence[str | Column]) -> Column:
 
 def hash_limit(fraction: float) -> str:
     """The hash that a share of all keys stays below."""
+    if not 0 <= fraction <= 1:
+        raise ValueError("a fraction lies between 0 and 1")
     return format(int(fraction * _HASH_SPACE), "08x")
 
 
 def _hash_below(keys: Sequence[str | Column], fraction: float) -> Column:
-    return F.lit(True) if fraction >= 1 else _key_hash(keys) < hash_limit(fraction)
+    return F.lit(True) if fraction == 1 else _key_hash(keys) < hash_limit(fraction)
 
 
 def hash_sample(df: DataFrame, keys: Sequence[str | Column], fraction: float) -> DataFrame:
@@ -79,6 +81,8 @@ def oversample_150(
 
 def replicate(df: DataFrame, n: int) -> DataFrame:
     """Every row ``n`` times."""
+    if n < 1:
+        raise ValueError("a table can only be repeated once or more")
     return _repeat(df, F.lit(n))
 
 

@@ -340,3 +340,8 @@ def test_hash_sample_limits(spark):
     df = spark.range(100)
     assert sampling.hash_sample(df, ["id"], 1.0).count() == 100
     assert sampling.hash_sample(df, ["id"], 0.0).count() == 0
+    for bad in (-0.1, 1.1):
+        with pytest.raises(ValueError):
+            sampling.hash_sample(df, ["id"], bad)
+    with pytest.raises(ValueError):
+        sampling.replicate(df, 0)
