@@ -20,7 +20,7 @@ from aeropunct.checks.scans import BAND_REPORT, RANKING, clean_parquet, raw_csv,
 from aeropunct.functions import columns as fn
 from aeropunct.operators import profiling, reports, rollups, sampling, selection, trends
 from aeropunct.plans import jobs
-from aeropunct.schema import CLEAN_COLUMNS
+from aeropunct.schema import CLEAN_COLUMNS, RANKING_FIELDS
 from aeropunct.session import scratch_dir
 from aeropunct.sources import readers, star, writers
 
@@ -556,17 +556,7 @@ def _(spark, sf_dir):
 
 @check("q5_carrier_ranking_joined", RANKING)
 def _(spark, sf_dir):
-    return reports.carrier_ranking_joined(cleaned(spark, sf_dir)).select(
-        "origin",
-        "op_unique_carrier",
-        "total_flights",
-        "avg_dep_delay",
-        "avg_arr_delay",
-        "cancellation_rate",
-        "airport_avg_dep_delay",
-        "diff_from_airport_avg",
-        "carrier_rank",
-    )
+    return reports.carrier_ranking_joined(cleaned(spark, sf_dir)).select(*RANKING_FIELDS)
 
 
 @check("q5_carrier_ranking_job", RANKING)
@@ -606,7 +596,8 @@ UNION ALL
 SELECT 'bracket_share', {BRACKET_CASE}, count(*),
   count(*)::DOUBLE * 100 / sum(count(*)) OVER () FROM raw WHERE dep_delay IS NOT NULL GROUP BY 2
 UNION ALL
-SELECT 'cause_minutes', delay_cause, (SELECT count(*) FROM raw), total_minutes::DOUBLE FROM ({_CAUSES}) AS c""",
+SELECT 'cause_minutes', delay_cause, (SELECT count(*) FROM raw), total_minutes::DOUBLE
+FROM ({_CAUSES}) AS c""",
 )
 def _(spark, sf_dir):
     return trends.trends(raw(spark, sf_dir))

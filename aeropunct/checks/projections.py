@@ -42,14 +42,14 @@ def _(spark, sf_dir):
     return comparable(cleaning.prune(raw(spark, sf_dir)))
 
 
+def _kept_type(column: str) -> str:
+    return "FLOAT" if column in FLOAT_COLUMNS else "INT" if column in INT_COLUMNS else "VARCHAR"
+
+
 @check(
     "p2_cast_columns",
     f"SELECT {comparable_sql(KEPT_COLUMNS)} FROM (SELECT "
-    + ", ".join(
-        f"CAST({c} AS {'FLOAT' if c in FLOAT_COLUMNS else 'INT' if c in INT_COLUMNS else 'VARCHAR'})"
-        f" AS {c}"
-        for c in KEPT_COLUMNS
-    )
+    + ", ".join(f"CAST({c} AS {_kept_type(c)}) AS {c}" for c in KEPT_COLUMNS)
     + " FROM raw) AS casted",
 )
 def _(spark, sf_dir):
@@ -193,7 +193,8 @@ def _(spark, sf_dir):
 @check(
     "p17_keep_top",
     """SELECT origin, month, delay_band, total_flights FROM band_report WHERE origin IN (
-  SELECT origin FROM band_report GROUP BY origin ORDER BY sum(total_flights) DESC, origin LIMIT 10)""",
+  SELECT origin FROM band_report GROUP BY origin
+  ORDER BY sum(total_flights) DESC, origin LIMIT 10)""",
 )
 def _(spark, sf_dir):
     rep = finished(spark, reports.band_report(cleaned(spark, sf_dir)), "p17")
@@ -225,7 +226,10 @@ def _(spark, sf_dir):
     )
 
 
-@check("p20_month_name", f"SELECT fl_date::VARCHAR AS fl_date, month, {MONTH_CASE} AS month_name FROM raw")
+@check(
+    "p20_month_name",
+    f"SELECT fl_date::VARCHAR AS fl_date, month, {MONTH_CASE} AS month_name FROM raw",
+)
 def _(spark, sf_dir):
     df = comparable(raw(spark, sf_dir))
     return df.select("fl_date", "month", fn.month_name("month").alias("month_name"))
@@ -348,8 +352,8 @@ def _(spark, sf_dir):
 
 @check(
     "f10_format",
-    """SELECT printf('%d', month) || ' ' || printf('%.2f', CAST(distance AS DOUBLE)) || ' 100%' AS text
-FROM clean""",
+    """SELECT printf('%d', month) || ' ' || printf('%.2f', CAST(distance AS DOUBLE)) || ' 100%'
+  AS text FROM clean""",
 )
 def _(spark, sf_dir):
     text = F.format_string("%d %.2f 100%%", "month", F.col("distance").cast("double"))
@@ -396,5 +400,6 @@ def _(spark, sf_dir):
 
 @check("f14_file_name", "SELECT '/data/' || Dataset AS path, Dataset AS file FROM runs")
 def _(spark, sf_dir):
-    paths = star.run_metrics(spark, sf_dir).select(F.concat(F.lit("/data/"), "Dataset").alias("path"))
+    path = F.concat(F.lit("/data/"), "Dataset")
+    paths = star.run_metrics(spark, sf_dir).select(path.alias("path"))
     return paths.withColumn("file", fn.file_name("path"))

@@ -15,7 +15,13 @@ from aeropunct.checks.registry import (
 )
 from aeropunct.operators import profiling, reports, selection
 from aeropunct.plans import jobs
-from aeropunct.schema import BAND_REPORT_SCHEMA, CLEAN_COLUMNS, RANKING_FIELDS, RAW_COLUMNS, RAW_FIELDS
+from aeropunct.schema import (
+    BAND_REPORT_SCHEMA,
+    CLEAN_COLUMNS,
+    RANKING_FIELDS,
+    RAW_COLUMNS,
+    RAW_FIELDS,
+)
 from aeropunct.session import scratch_dir
 from aeropunct.sources import readers, writers
 

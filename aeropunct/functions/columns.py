@@ -181,7 +181,8 @@ def months_from_mask(mask: Column | str) -> Column:
 
 def months_text(months: Column | str) -> Column:
     """``[1, 2, 3]``."""
-    return F.concat(F.lit("["), F.array_join(_column(months).cast("array<string>"), ", "), F.lit("]"))
+    listed = F.array_join(_column(months).cast("array<string>"), ", ")
+    return F.concat(F.lit("["), listed, F.lit("]"))
 
 
 def stats_text() -> Column:

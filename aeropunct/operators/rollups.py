@@ -189,7 +189,10 @@ def run_summary(
 ) -> DataFrame:
     """Both views of the run metrics: (view, Framework, label, avg_sec)."""
     out = scale_out(metrics, dataset).select(
-        F.lit("scale_out").alias("view"), "Framework", F.col("Environment").alias("label"), "avg_sec"
+        F.lit("scale_out").alias("view"),
+        "Framework",
+        F.col("Environment").alias("label"),
+        "avg_sec",
     )
     up = scale_up(metrics, environment).select(
         F.lit("scale_up").alias("view"),

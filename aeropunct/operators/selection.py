@@ -13,7 +13,9 @@ def preview(df: DataFrame, n: int, order: Sequence[str | Column]) -> DataFrame:
     return df.orderBy(*order).limit(n)
 
 
-def top_k(df: DataFrame, by: str, k: int, ties: Sequence[str], descending: bool = True) -> DataFrame:
+def top_k(
+    df: DataFrame, by: str, k: int, ties: Sequence[str], descending: bool = True
+) -> DataFrame:
     """The k rows with the largest (or smallest) value; ``ties`` settles equal ones."""
     first = F.desc_nulls_last(by) if descending else F.asc_nulls_last(by)
     return df.orderBy(first, *ties).limit(k)

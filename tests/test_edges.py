@@ -142,7 +142,8 @@ def test_hourly_report_drops_hour_24(flights):
 
 
 def test_casts_of_bad_text_give_null(spark):
-    df = spark.createDataFrame([("12.0", "x"), ("abc", "3.5"), ("-7.9", None)], "i string, f string")
+    values = [("12.0", "x"), ("abc", "3.5"), ("-7.9", None)]
+    df = spark.createDataFrame(values, "i string, f string")
     out = cleaning.cast_columns(df, {"int": ["i"], "float": ["f"]})
     assert rows(out) == [(12, None), (None, 3.5), (-7, None)]
     assert dict(out.dtypes) == {"i": "int", "f": "float"}
@@ -283,7 +284,8 @@ def test_report_text(flights):
 
 
 def test_parse_of_foreign_text(spark):
-    df = spark.createDataFrame([("AA,JFK", "something else"), ("AA", "")], "Key string, Value string")
+    lines = [("AA,JFK", "something else"), ("AA", "")]
+    df = spark.createDataFrame(lines, "Key string, Value string")
     first, second = reports.parse_stats(df).collect()
     assert (first.op_unique_carrier, first.origin, first.total_flights) == ("AA", "JFK", None)
     assert second.origin is None
