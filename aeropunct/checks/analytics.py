@@ -369,9 +369,9 @@ def _(spark, sf_dir):
 # -- O: sorts and top-k -------------------------------------------------------
 
 
-@check("o1_sort_by_keys", BAND_REPORT)
+@check("o1_sort_by_keys", f"SELECT {_CARRIERS} FROM carriers ORDER BY origin, op_unique_carrier")
 def _(spark, sf_dir):
-    return reports.band_report_joined(cleaned(spark, sf_dir)).orderBy(*reports.BAND_KEYS)
+    return reports.carrier_stats(cleaned(spark, sf_dir)).orderBy("origin", "op_unique_carrier")
 
 
 @check(
