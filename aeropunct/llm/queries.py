@@ -10,9 +10,11 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from aeropunct.llm.attention_quality import quality_scores
 from aeropunct.llm.common import ship_package, table
 from aeropunct.llm.packing import pack
 from aeropunct.llm.repetition import repetition
+from aeropunct.llm.string_kernel import toxicity_scores
 from aeropunct.llm.token_counts import token_counts
 
 PIECE_MODEL = "piece_bpe_32k.model"
@@ -33,6 +35,14 @@ def op3_bounded_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed(table(spark, sf_dir, "documents"))
 
 
+def op6_string_kernel_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op8_attention_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path(PIECE_MODEL))
 
@@ -51,7 +61,13 @@ def _with_package(query: Query) -> Query:
 
 QUERIES: dict[str, Query] = {
     query.__name__: _with_package(query)
-    for query in (op2_suffix_repetition, op3_bounded_packing, op9_token_counts)
+    for query in (
+        op2_suffix_repetition,
+        op3_bounded_packing,
+        op6_string_kernel_toxicity,
+        op8_attention_quality,
+        op9_token_counts,
+    )
 }
 
 ORACLE_SQL: dict[str, str] = {}
