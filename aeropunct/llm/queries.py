@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from aeropunct.llm.attention_quality import quality_scores
 from aeropunct.llm.common import ship_package, table
+from aeropunct.llm.minhash import near_duplicates
 from aeropunct.llm.packing import pack
 from aeropunct.llm.repetition import repetition
 from aeropunct.llm.string_kernel import toxicity_scores
@@ -47,6 +48,10 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path(PIECE_MODEL))
 
 
+def op10_min_max_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -67,6 +72,7 @@ QUERIES: dict[str, Query] = {
         op6_string_kernel_toxicity,
         op8_attention_quality,
         op9_token_counts,
+        op10_min_max_near_duplicates,
     )
 }
 
