@@ -12,11 +12,13 @@ from pyspark.sql import functions as F
 
 from aeropunct.llm.attention_quality import quality_scores
 from aeropunct.llm.common import ship_package, table
+from aeropunct.llm.iterative_quantisation import linked_vectors
 from aeropunct.llm.minhash import near_duplicates
 from aeropunct.llm.packing import pack
 from aeropunct.llm.repetition import repetition
 from aeropunct.llm.string_kernel import toxicity_scores
 from aeropunct.llm.token_counts import token_counts
+from aeropunct.llm.warc import archived_pages
 
 PIECE_MODEL = "piece_bpe_32k.model"
 WORD_TOKENIZER = "word_bpe_49k.json"
@@ -36,10 +38,18 @@ def op3_bounded_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed(table(spark, sf_dir, "documents"))
 
 
+def op4_indexed_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return archived_pages(spark, table(spark, sf_dir, "pages")).drop("url")
+
+
 def op6_string_kernel_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op7_quantised_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return linked_vectors(table(spark, sf_dir, "embeddings"))
+
+
 def op8_attention_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -69,7 +79,9 @@ QUERIES: dict[str, Query] = {
     for query in (
         op2_suffix_repetition,
         op3_bounded_packing,
+        op4_indexed_warc,
         op6_string_kernel_toxicity,
+        op7_quantised_near_duplicates,
         op8_attention_quality,
         op9_token_counts,
         op10_min_max_near_duplicates,
