@@ -17,7 +17,7 @@ from aeropunct.llm.components import connected_components, ranked
 # million cases, (1 - 0.8**6)**40; 120 permutations give the 240 values.
 BANDS, BAND_VALUES = 40, 6
 PERMUTATIONS = BANDS * BAND_VALUES // 2
-SHINGLE_WORDS, THRESHOLD_PERCENT = 4, 80
+SHINGLE_WORDS, THRESHOLD_PERCENT = 5, 80
 # Documents of a block when the documents of a family are compared with each other.
 BLOCK = 256
 

@@ -15,15 +15,22 @@ from aeropunct.llm.common import ship_package, table
 from aeropunct.llm.iterative_quantisation import linked_vectors
 from aeropunct.llm.minhash import near_duplicates
 from aeropunct.llm.packing import pack
+from aeropunct.llm.pareto_mix import ORACLE as PARETO_SQL
+from aeropunct.llm.pareto_mix import mixed
 from aeropunct.llm.repetition import repetition
 from aeropunct.llm.string_kernel import toxicity_scores
 from aeropunct.llm.token_counts import token_counts
 from aeropunct.llm.warc import archived_pages
+from aeropunct.llm.weak_pii import personal_data
 
 PIECE_MODEL = "piece_bpe_32k.model"
 WORD_TOKENIZER = "word_bpe_49k.json"
 
 
+def op1_pareto_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixed(table(spark, sf_dir, "documents"))
+
+
 def op2_suffix_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repetition(table(spark, sf_dir, "documents"))
 
@@ -42,6 +49,10 @@ def op4_indexed_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return archived_pages(spark, table(spark, sf_dir, "pages")).drop("url")
 
 
+def op5_weak_supervision_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return personal_data(table(spark, sf_dir, "documents"))
+
+
 def op6_string_kernel_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -59,7 +70,7 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_min_max_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_duplicates(table(spark, sf_dir, "documents"))
+    return near_duplicates(table(spark, sf_dir, "documents"), shingle_words=4)
 
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -77,9 +88,11 @@ def _with_package(query: Query) -> Query:
 QUERIES: dict[str, Query] = {
     query.__name__: _with_package(query)
     for query in (
+        op1_pareto_mix,
         op2_suffix_repetition,
         op3_bounded_packing,
         op4_indexed_warc,
+        op5_weak_supervision_pii,
         op6_string_kernel_toxicity,
         op7_quantised_near_duplicates,
         op8_attention_quality,
@@ -88,4 +101,4 @@ QUERIES: dict[str, Query] = {
     )
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op1_pareto_mix": PARETO_SQL}

@@ -17,12 +17,13 @@ from functools import lru_cache
 from itertools import product
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from aeropunct.llm.arrays import bounds, chunks
-from aeropunct.llm.common import held_out
+from aeropunct.llm.common import Scratch, held_out
 from aeropunct.llm.training import training_sample
 
 # Bounds of the training sample: documents of either label, characters of each.
@@ -34,6 +35,7 @@ LANDMARKS = 192
 ROUNDS = 3
 DECAY = 0.6
 MAX_UNIT = 24
+DECISION = 0.5
 
 # Letter codes: 0 ends a word, 1 to 26 are Latin letters without accents, 27 to 30
 # other letters, 31 the beginning of a unit.
@@ -365,21 +367,30 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, label: str = "toxic") ->
     Repeated rows are scored each; documents without a label are scored too. Without
     labels of both kinds all texts get one constant. A null id counts as held out.
     """
-    model = train(training_sample(docs, labels, label, PER_CLASS, MAX_CHARS))
-    shared = docs.sparkSession.sparkContext.broadcast(model)
-
-    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in chunks(batches):
-            best, _ = shared.value.best(["" if t is None else t for t in batch.column(1).to_pylist()])
-            found = pa.array(shared.value.probability(best))
-            yield pa.RecordBatch.from_arrays([batch.column(0), found], ["doc_id", "score"])
-
-    narrow = docs.select("doc_id", "text")
-    kind = narrow.schema[0].dataType.simpleString()
-    scored = narrow.mapInArrow(score, f"doc_id {kind}, score double")
+    scored = toxicity(docs.select("doc_id", "text"), docs, labels, label)
     return scored.select(
         "doc_id",
         held_out(F.col("doc_id")).alias("held_out"),
-        "score",
-        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+        F.col("_toxicity").alias("score"),
+        (F.col("_toxicity") >= DECISION).cast("int").alias("predicted"),
     )
+
+
+def toxicity(rows: DataFrame, docs: DataFrame, labels: DataFrame, label: str = "toxic") -> DataFrame:
+    """Adds ``_toxicity`` to ``rows(text, ...)``, learnt from ``docs`` and ``labels``.
+
+    Only the texts go to Python, the other columns stay where they are.
+    """
+    sample = Scratch(docs.sparkSession, "toxicity").keep(
+        training_sample(docs, labels, label, PER_CLASS, MAX_CHARS), "sample"
+    )
+    shared = docs.sparkSession.sparkContext.broadcast(train(sample))
+
+    def score(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for series in texts:
+            whole = pa.array(series.fillna("").tolist(), pa.large_string())
+            parts = chunks(iter([pa.RecordBatch.from_arrays([whole], ["text"])]))
+            found = [shared.value.best(part.column(0).to_pylist())[0] for part in parts]
+            yield pd.Series(shared.value.probability(np.concatenate([[], *found])))
+
+    return rows.withColumn("_toxicity", F.pandas_udf(score, "double")("text"))

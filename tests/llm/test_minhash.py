@@ -71,7 +71,7 @@ def corpus():
 def test_matches_brute_force(spark, monkeypatch, block):
     monkeypatch.setattr(minhash, "BLOCK", block)
     rows = corpus()
-    got = minhash.near_duplicates(spark.createDataFrame(rows, SCHEMA).repartition(3)).collect()
+    got = minhash.near_duplicates(spark.createDataFrame(rows, SCHEMA).repartition(3), shingle_words=4).collect()
     assert sorted(map(tuple, got), key=repr) == brute(rows)
 
 
