@@ -17,6 +17,9 @@ JOBS = {
     "carrier-reports": jobs.run_carrier_reports,
     "band-report": jobs.run_band_report,
     "ranking": jobs.run_ranking,
+    "profile": jobs.run_profile,
+    "trends": jobs.run_trends,
+    "rollups": jobs.run_rollups,
 }
 
 
@@ -28,6 +31,12 @@ def parse(argv: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("environment")
     parser.add_argument("--metrics", help="folder for the run-metrics rows")
     parser.add_argument("--single-csv", help="band report: also write one CSV file here")
+    parser.add_argument(
+        "--single-file", action="store_true", help="carrier reports: one sorted file each"
+    )
+    parser.add_argument(
+        "--shuffle-partitions", type=int, help="initial shuffle partitions of the session"
+    )
     parser.add_argument("--keys", nargs="+", help="scale: choose samples by hash of these columns")
     return parser.parse_args(argv)
 
@@ -35,7 +44,9 @@ def parse(argv: list[str] | None = None) -> argparse.Namespace:
 def run(spark: SparkSession, args: argparse.Namespace) -> None:
     special = {
         "scale": {"keys": args.keys},
-        "route-report": {"level": "route"},
+        "airport-report": {"single_file": args.single_file},
+        "route-report": {"level": "route", "single_file": args.single_file},
+        "carrier-reports": {"single_file": args.single_file},
         "band-report": {"single_csv": args.single_csv},
     }
     JOBS[args.job](
@@ -50,7 +61,9 @@ def run(spark: SparkSession, args: argparse.Namespace) -> None:
 
 def main(argv: list[str] | None = None) -> None:
     args = parse(argv)
-    spark = build_session(f"aeropunct-{args.job}")
+    spark = build_session(
+        f"aeropunct-{args.job}", shuffle_partitions=args.shuffle_partitions
+    )
     try:
         run(spark, args)
     finally:

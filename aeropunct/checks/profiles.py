@@ -10,8 +10,18 @@ from aeropunct.operators import cleaning, profiling, sampling
 from aeropunct.schema import CLEAN_COLUMNS, LOGICAL_KEY, RAW_COLUMNS
 from aeropunct.sources import readers, star
 
-KEY_HASH = """substr(md5(concat_ws('|', fl_date, crs_dep_time, op_unique_carrier,
-  CAST(op_carrier_fl_num AS BIGINT), origin, dest)), 1, 8)"""
+_KEY_PARTS = ", ".join(
+    f"coalesce(CAST({c} AS VARCHAR), '{sampling.NULL_KEY}')"
+    for c in (
+        "fl_date",
+        "crs_dep_time",
+        "op_unique_carrier",
+        "CAST(op_carrier_fl_num AS BIGINT)",
+        "origin",
+        "dest",
+    )
+)
+KEY_HASH = f"substr(md5(concat_ws('|', {_KEY_PARTS})), 1, 8)"
 
 
 def key_columns():

@@ -366,8 +366,9 @@ def _(spark, sf_dir):
 FROM clean GROUP BY dest""",
 )
 def _(spark, sf_dir):
-    masks = cleaned(spark, sf_dir).groupBy("dest").agg(fn.months_mask("month").alias("mask"))
-    return masks.select("dest", fn.months_text(fn.months_from_mask("mask")).alias("months"))
+    pairs = cleaned(spark, sf_dir).select("dest", "month").distinct()
+    months = pairs.groupBy("dest").agg(F.array_sort(F.collect_set("month")).alias("months"))
+    return months.select("dest", fn.months_text("months").alias("months"))
 
 
 @check(

@@ -159,26 +159,6 @@ def is_missing(c: Column | str, text: bool = True) -> Column:
     return col.isNull() | (col == "") if text else col.isNull()
 
 
-def months_mask(month: Column | str) -> Column:
-    """Aggregate: the set of months as bits of one long.
-
-    A fixed-width buffer keeps the whole aggregate in generated hash code, where
-    a collected set would fall back to sorting all input. Months are 1 to 12; a
-    number that no bit can hold stops the job instead of being lost.
-    """
-    m = _column(month)
-    bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), m)
-    refused = F.raise_error(F.concat(F.lit("month out of range: "), m.cast("string")))
-    return F.bit_or(F.when(m.between(0, 62), bit).when(m.isNotNull(), refused.cast("bigint")))
-
-
-def months_from_mask(mask: Column | str) -> Column:
-    """Ascending array of the months in a mask."""
-    bits = F.sequence(F.lit(0), F.lit(62))
-    m = _column(mask)
-    return F.filter(bits, lambda i: F.call_function("getbit", m, i) == 1)
-
-
 def months_text(months: Column | str) -> Column:
     """``[1, 2, 3]``."""
     listed = F.array_join(_column(months).cast("array<string>"), ", ")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Collection, Sequence
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -17,11 +17,11 @@ QUARTILES = {"p25": 0.25, "p50": 0.5, "p75": 0.75}
 DESCRIBED = ("arr_delay", "distance", "air_time", "actual_elapsed_time")
 NULL_REPORT_COLUMNS = ("dep_delay", "arr_delay", "cancelled", "cancellation_code")
 
-# Log2 of the registers of a distinct-count sketch: a relative error of 0.5 percent.
-SKETCH_SIZE = 15
+# Declared pairs: id columns and the columns they should say the same as.
+ID_PAIRS = {"origin_airport_id": "origin", "dest_airport_id": "dest"}
 
-# Width of the value ranges in which exact quartiles count rows first.
-RANGE_WIDTH = 64
+# Value ranges per column in which exact quartiles count rows first.
+SPANS = 1000
 
 
 def _rows_from(wide: DataFrame, names: Sequence[str], fields: dict[str, str]) -> DataFrame:
@@ -44,31 +44,17 @@ def shape(df: DataFrame) -> DataFrame:
     )
 
 
-def varying_columns(df: DataFrame, rows: int = 1000) -> set[str]:
-    """Columns that already vary among the first rows, and so cannot be constant.
-
-    This runs at once. It is meant for a table read from files, where the first
-    rows cost one small task.
-    """
-    checks = [(F.min(c) < F.max(c)).alias(f"varies_{i}") for i, c in enumerate(df.columns)]
-    found = df.limit(rows).agg(*checks).first()
-    return {c for c, varies in zip(df.columns, found, strict=True) if varies}
-
-
-def profile(
-    df: DataFrame, sparse_pct: float = 80, varying: Collection[str] = ()
-) -> DataFrame:
+def profile(df: DataFrame, sparse_pct: float = 80, nulls_only: bool = False) -> DataFrame:
     """Every per-column check in a single pass with one small buffer per task.
 
-    Columns in ``varying`` (see :func:`varying_columns`) are known not to be
-    constant. Leaving out their min and max keeps a wide aggregate small enough
-    for generated code, and spares two comparisons for each value.
+    ``nulls_only`` leaves out the search for constant columns; ``zero_variance`` is
+    then false.
     """
     names = df.columns
     aggs: list[Column] = [F.count("*").alias("row_count")]
     for i, (name, kind) in enumerate(df.dtypes):
         c = F.col(name)
-        constant = F.lit(False) if name in varying else F.min(c).eqNullSafe(F.max(c))
+        constant = F.lit(False) if nulls_only else F.min(c).eqNullSafe(F.max(c))
         aggs += [
             F.count_if(is_missing(c, kind == "string")).alias(f"nulls_{i}"),
             constant.alias(f"constant_{i}"),
@@ -106,7 +92,7 @@ def null_report(df: DataFrame, columns: Sequence[str] = NULL_REPORT_COLUMNS) ->
 
 
 def _nulls_only(df: DataFrame, sparse_pct: float = 80) -> DataFrame:
-    return profile(df, sparse_pct, varying=df.columns)
+    return profile(df, sparse_pct, nulls_only=True)
 
 
 def sparse_rows(df: DataFrame, pct: float = 80) -> DataFrame:
@@ -151,40 +137,40 @@ def approx_distinct(df: DataFrame, columns: Sequence[str], rsd: float = 0.05) ->
     return _rows_from(wide, columns, {"approx_distinct": "n"}).drop("rows")
 
 
-def redundant_ids(df: DataFrame, tolerance: float = 0.01) -> DataFrame:
-    """Id columns that tell no more than the column they are named after.
+def redundant_ids(
+    df: DataFrame, pairs: Mapping[str, str] = ID_PAIRS, tolerance: float = 0.01
+) -> DataFrame:
+    """Id columns that tell no more than the column they stand for.
 
-    An id column holds ``_id`` in its name; its base column is that name without
-    ``_airport_id`` or ``_id``. Redundant means that the approximate distinct
-    counts differ by less than ``tolerance``. The sketch keeps few values as they
-    are and errs by less than the tolerance on many.
+    ``pairs`` maps ids to their base columns; pairs that the table lacks are left
+    out. Redundant means that the exact distinct counts differ by less than
+    ``tolerance``. Rows are first reduced to the pairs of values that occur.
     """
-    pairs = []
-    for name in df.columns:
-        base = name.lower().replace("_airport_id", "").replace("_id", "")
-        if "_id" in name.lower() and base in df.columns:
-            pairs.append((name, base))
-    if not pairs:
+    found = [(i, base) for i, base in pairs.items() if i in df.columns and base in df.columns]
+    if not found:
         return df.sparkSession.createDataFrame([], "column string, base string, redundant boolean")
-    needed = list(dict.fromkeys(c for pair in pairs for c in pair))
-    counts = df.agg(
-        *[
-            F.hll_sketch_estimate(F.hll_sketch_agg(F.col(c).cast("string"), SKETCH_SIZE)).alias(c)
-            for c in needed
-        ]
-    )
-    items = [
-        F.struct(
-            F.lit(name).alias("column"),
-            F.lit(base).alias("base"),
-            F.coalesce(
-                F.try_divide(F.abs(F.col(name) - F.col(base)), F.col(name)) < tolerance,
-                F.lit(False),
-            ).alias("redundant"),
+    values = df.select(
+        F.inline(
+            F.array(
+                *[
+                    F.struct(
+                        F.lit(i).alias("column"),
+                        F.lit(base).alias("base"),
+                        F.col(i).cast("string").alias("id"),
+                        F.col(base).cast("string").alias("value"),
+                    )
+                    for i, base in found
+                ]
+            )
         )
-        for name, base in pairs
-    ]
-    return counts.select(F.inline(F.array(*items)))
+    ).distinct()
+    counts = values.groupBy("column", "base").agg(
+        F.count_distinct("id").alias("ids"), F.count_distinct("value").alias("bases")
+    )
+    apart = F.try_divide(F.abs(F.col("ids") - F.col("bases")), F.col("ids"))
+    return counts.select(
+        "column", "base", F.coalesce(apart < tolerance, F.lit(False)).alias("redundant")
+    )
 
 
 def describe(df: DataFrame, columns: Sequence[str] = DESCRIBED) -> DataFrame:
@@ -233,16 +219,22 @@ def describe_exact(df: DataFrame, columns: Sequence[str] = DESCRIBED) -> DataFra
     Rows are first counted per distinct value, which partial aggregation does
     inside each task. Ranks are then found in two steps, so no window holds a
     whole column: a running count over value ranges, then one inside each range.
+    The ranges come from a bounded sketch of the distinct values, so there are at
+    most ``SPANS`` of them and none holds much more than its share.
     """
     values = df.select(
         F.inline(
             F.array(*[F.struct(F.lit(c).alias("column"), as_float(c).alias("v")) for c in columns])
         )
     ).filter("v IS NOT NULL")
-    counted = (
-        values.groupBy("column", "v")
-        .agg(F.count("*").alias("n"))
-        .withColumn("span", F.floor(F.col("v") / RANGE_WIDTH))
+    counts = values.groupBy("column", "v").agg(F.count("*").alias("n"))
+    shares = [k / SPANS for k in range(1, SPANS)]
+    cuts = counts.groupBy("column").agg(
+        F.array_distinct(F.percentile_approx("v", shares)).alias("cuts")
+    )
+    # One row a column, of at most SPANS numbers.
+    counted = counts.join(F.broadcast(cuts), "column").select(
+        "column", "v", "n", _span(F.col("v"), F.col("cuts")).alias("span")
     )
     spans = counted.groupBy("column", "span").agg(F.sum("n").alias("span_rows"))
     per_column = Window.partitionBy("column")
@@ -287,6 +279,27 @@ def describe_exact(df: DataFrame, columns: Sequence[str] = DESCRIBED) -> DataFra
     return _rounded(long)
 
 
+def _span(value: Column, cuts: Column) -> Column:
+    """Number of the range between ascending ``cuts`` that holds the value, by bisection."""
+    steps = F.sequence(F.lit(0), F.lit(SPANS.bit_length()))
+    halve = lambda s, _: F.when(s["low"] >= s["high"], s).otherwise(
+        F.when(
+            F.get(cuts, F.floor((s["low"] + s["high"]) / 2).cast("int")) <= value,
+            F.struct(
+                (F.floor((s["low"] + s["high"]) / 2) + 1).cast("int").alias("low"),
+                s["high"].alias("high"),
+            ),
+        ).otherwise(
+            F.struct(
+                s["low"].alias("low"),
+                F.floor((s["low"] + s["high"]) / 2).cast("int").alias("high"),
+            )
+        )
+    )
+    start = F.struct(F.lit(0).alias("low"), F.size(cuts).alias("high"))
+    return F.aggregate(steps, start, halve, lambda s: s["low"])
+
+
 def extremes(df: DataFrame, k: int = 50, sample: DataFrame | None = None) -> DataFrame:
     """Distinct delay pairs of the k highest and k lowest rows by each delay.
 

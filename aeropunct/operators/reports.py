@@ -12,8 +12,6 @@ from aeropunct.functions.columns import (
     CAUSE_NONE,
     delay_band,
     has_cause,
-    months_from_mask,
-    months_mask,
     primary_cause,
     stats_field,
     stats_text,
@@ -24,6 +22,10 @@ AIRPORT_REQUIRED = ("op_unique_carrier", "origin", "cancelled", "month")
 ROUTE_REQUIRED = ("op_unique_carrier", "origin", "dest", "cancelled", "month")
 BAND_KEYS = ("origin", "month", "delay_band")
 CAUSE_KEYS = (*BAND_KEYS, "primary_cause")
+LEVEL_KEYS = {
+    "airport": ("op_unique_carrier", "origin"),
+    "route": ("op_unique_carrier", "origin", "dest"),
+}
 TOP_CAUSES = 3
 
 
@@ -33,6 +35,9 @@ TOP_CAUSES = 3
 def _punctuality_parts() -> list[Column]:
     """Mergeable parts: the statistics of a larger group follow from those of its parts.
 
+    Rows are grouped by month too, in fixed-width buffers; the months of a larger
+    group are then collected from these few rows, whatever numbers they are.
+
     A flight that was not cancelled counts with its arrival delay, or with 0
     when that is unknown.
     """
@@ -40,13 +45,12 @@ def _punctuality_parts() -> list[Column]:
         F.col("cancelled") != 1, F.coalesce("arr_delay", F.lit(0.0)).cast("double")
     )
     return [
-        F.count("*").alias("flights"),
+        F.count("cancelled").alias("flights"),
         F.count_if(F.col("cancelled") == 1).alias("cancellations"),
         F.count(flown).alias("flown"),
         F.sum(flown).alias("delay_sum"),
         F.min(flown).alias("delay_min"),
         F.max(flown).alias("delay_max"),
-        months_mask("month").alias("months"),
     ]
 
 
@@ -59,9 +63,9 @@ def _merged_parts() -> list[Column]:
         "delay_sum": F.sum,
         "delay_min": F.min,
         "delay_max": F.max,
-        "months": F.bit_or,
     }
-    return [f(name).alias(name) for name, f in merge.items()]
+    months = F.array_sort(F.collect_set("month")).alias("months")
+    return [*[f(name).alias(name) for name, f in merge.items()], months]
 
 
 def _punctuality_columns() -> list[Column]:
@@ -72,7 +76,7 @@ def _punctuality_columns() -> list[Column]:
         F.coalesce("delay_max", zero).alias("max_arr_delay"),
         F.coalesce(F.try_divide("delay_sum", "flown"), zero).alias("avg_arr_delay"),
         (F.col("cancellations") * 100.0 / F.col("flights")).alias("cancelation_rate"),
-        months_from_mask("months").alias("months_of_operation"),
+        F.col("months").alias("months_of_operation"),
     ]
 
 
@@ -95,15 +99,59 @@ def carrier_airport_stats(df: DataFrame) -> DataFrame:
     took off shows delays of 0.
     """
     keys = ("op_unique_carrier", "origin")
-    parts = _complete(df, AIRPORT_REQUIRED).groupBy(*keys).agg(*_punctuality_parts())
-    return parts.select(*keys, *_punctuality_columns())
+    return stats_of_parts(punctuality_parts(_complete(df, AIRPORT_REQUIRED), keys), keys)
 
 
 def carrier_route_stats(df: DataFrame) -> DataFrame:
     """As :func:`carrier_airport_stats` for each carrier and route."""
     keys = ("op_unique_carrier", "origin", "dest")
-    parts = _complete(df, ROUTE_REQUIRED).groupBy(*keys).agg(*_punctuality_parts())
-    return parts.select("op_unique_carrier", route_name().alias("route"), *_punctuality_columns())
+    stats = stats_of_parts(punctuality_parts(_complete(df, ROUTE_REQUIRED), keys), keys)
+    return _with_route(stats)
+
+
+def _with_route(stats: DataFrame) -> DataFrame:
+    measures = [c for c in stats.columns if c not in ("op_unique_carrier", "origin", "dest")]
+    return stats.select("op_unique_carrier", route_name().alias("route"), *measures)
+
+
+def punctuality_parts(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Parts per group and month. Rows that miss a required field are only counted.
+
+    ``skipped`` has the rows of a group whose cancellation flag is null; groups with
+    a null key or month hold skipped rows only.
+    """
+    known = F.col("cancelled").isNotNull()
+    measured = df.select(
+        *keys,
+        "month",
+        "arr_delay",
+        "cancelled",
+        known.alias("known"),
+    )
+    parts = [*_punctuality_parts(), F.count_if(~F.col("known")).alias("skipped")]
+    return measured.groupBy(*keys, "month").agg(*parts)
+
+
+def stats_of_parts(parts: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Statistics of the groups whose rows have every required field."""
+    whole = _complete(parts.filter("flights > 0"), [*keys, "month"])
+    return whole.groupBy(*keys).agg(*_merged_parts()).select(*keys, *_punctuality_columns())
+
+
+def skipped_rows(parts: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """One row with the number of rows that the statistics leave out."""
+    missing = F.lit(False)
+    for c in (*keys, "month"):
+        missing = missing | F.col(c).isNull()
+    lost = F.col("skipped") + F.when(missing, F.col("flights")).otherwise(0)
+    return parts.agg(F.coalesce(F.sum(lost), F.lit(0)).alias("skipped_rows"))
+
+
+def report_of_parts(parts: DataFrame, level: str) -> DataFrame:
+    """Report text of one level from the parts by route (or, for airports, by airport)."""
+    keys = LEVEL_KEYS[level]
+    stats = stats_of_parts(parts, keys)
+    return format_stats(_with_route(stats), "route") if level == "route" else format_stats(stats)
 
 
 def carrier_stats_by_level(df: DataFrame) -> DataFrame:
@@ -112,8 +160,8 @@ def carrier_stats_by_level(df: DataFrame) -> DataFrame:
     Rows are aggregated to routes once; the airport level merges these few rows.
     Rows without a destination count for their airport only.
     """
-    keys = ("op_unique_carrier", "origin", "dest")
-    parts = _complete(df, AIRPORT_REQUIRED).groupBy(*keys).agg(*_punctuality_parts())
+    keys = LEVEL_KEYS["route"]
+    parts = punctuality_parts(_complete(df, AIRPORT_REQUIRED), keys)
     # One grouping-sets step over the route parts gives both levels.
     levels = parts.groupingSets(
         [[F.col(c) for c in keys], [F.col(c) for c in keys[:2]]], *[F.col(c) for c in keys]
@@ -141,7 +189,7 @@ def parse_stats(text: DataFrame, place: str = "origin") -> DataFrame:
     return text.select(
         F.get(key, F.lit(0)).alias("op_unique_carrier"),
         F.get(key, F.lit(1)).alias(place),
-        stats_field("Value", "total_flights").try_cast("int").alias("total_flights"),
+        stats_field("Value", "total_flights").try_cast("bigint").alias("total_flights"),
         *[stats_field("Value", n).try_cast("float").alias(n) for n in numbers],
         stats_field("Value", "months_of_operation").alias("months_of_operation"),
     )

@@ -15,6 +15,10 @@ SEED = 42
 _HASH_SPACE = 16**8
 
 
+# Stands for null in the hashed key.
+NULL_KEY = "\\N"
+
+
 def sample(df: DataFrame, fraction: float, seed: int = SEED) -> DataFrame:
     """Random rows without replacement, by seed and place within a partition.
 
@@ -25,8 +29,10 @@ def sample(df: DataFrame, fraction: float, seed: int = SEED) -> DataFrame:
 
 
 def _key_hash(keys: Sequence[str | Column]) -> Column:
-    """Eight hex digits that depend on the key only."""
-    return F.substring(F.md5(F.concat_ws("|", *keys)), 1, 8)
+    """Eight hex digits that depend on the key only; null is a value of its own."""
+    columns = [F.col(k) if isinstance(k, str) else k for k in keys]
+    parts = [F.coalesce(c.cast("string"), F.lit(NULL_KEY)) for c in columns]
+    return F.substring(F.md5(F.concat_ws("|", *parts)), 1, 8)
 
 
 def hash_limit(fraction: float) -> str:

@@ -4,19 +4,21 @@ from __future__ import annotations
 
 import time
 from collections.abc import Callable, Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from aeropunct.operators import reports, rollups, sampling
-from aeropunct.operators.cleaning import clean
+from aeropunct.operators import profiling, reports, rollups, sampling, trends
+from aeropunct.operators.cleaning import clean, row_accounting
 from aeropunct.schema import (
     BAND_REPORT_SCHEMA,
     CLEANING_METRICS,
     GENERATION_METRICS,
     RUN_METRICS,
+    SKIPPING_METRICS,
 )
-from aeropunct.session import scratch_dir, sized_shuffles
+from aeropunct.session import remove, scratch_dir
 from aeropunct.sources import readers, writers
 
 
@@ -39,9 +41,8 @@ def run_cleaning(
 ) -> DataFrame:
     """Raw CSV to the cleaned Parquet table; the metrics row holds the row counts."""
     raw = readers.read_raw(spark, raw_path)
-    # Removing copies shuffles whole records, so the partitions follow the input.
-    with sized_shuffles(spark, raw_path):
-        seconds = _timed(lambda: writers.write_parquet(clean(raw), out_path))
+    # Removing copies shuffles whole records: see build_session for the partitions.
+    seconds = _timed(lambda: writers.write_parquet(clean(raw), out_path))
     cleaned = readers.read_flights(spark, out_path)
     if metrics_path:
         # The count of the written table comes from the Parquet footers.
@@ -98,6 +99,7 @@ def _recorded(
     environment: str,
     metrics_path: str | None,
     action: Callable[[], object],
+    skipped: Callable[[], int] | None = None,
 ) -> None:
     seconds = _timed(action)
     if metrics_path:
@@ -106,7 +108,43 @@ def _recorded(
             "Dataset": _dataset(in_path),
             "Execution_Time_Sec": seconds,
         }
-        writers.append_run_metrics(spark, metrics_path, [row], RUN_METRICS)
+        if skipped:
+            row["Skipped_Records"] = skipped()
+        columns = SKIPPING_METRICS if skipped else RUN_METRICS
+        writers.append_run_metrics(spark, metrics_path, [row], columns)
+
+
+def _carrier_reports(
+    spark: SparkSession,
+    in_path: str,
+    paths: dict[str, str],
+    environment: str,
+    metrics_path: str | None,
+    single_file: bool,
+) -> None:
+    """Reports of one or both levels and the count of skipped rows, from one scan.
+
+    All of them follow from a small table of parts, which is kept as files while the
+    job runs, so that a lost executor does not cost another scan.
+    """
+    keys = reports.LEVEL_KEYS["route" if "route" in paths else "airport"]
+    # A row is skipped by the strictest report that was asked for.
+    kept = scratch_dir(spark, "parts")
+    try:
+
+        def write() -> None:
+            flights = readers.read_flights(spark, in_path)
+            writers.write_parquet(reports.punctuality_parts(flights, keys), kept)
+            parts = readers.read_flights(spark, kept)
+            for level, path in paths.items():
+                writers.write_keyed_text(reports.report_of_parts(parts, level), path, single_file)
+
+        def skipped() -> int:
+            return reports.skipped_rows(readers.read_flights(spark, kept), keys).first()[0]
+
+        _recorded(spark, in_path, environment, metrics_path, write, skipped)
+    finally:
+        remove(spark, kept)
 
 
 def run_carrier_report(
@@ -116,16 +154,15 @@ def run_carrier_report(
     environment: str,
     metrics_path: str | None = None,
     level: str = "airport",
+    single_file: bool = False,
 ) -> DataFrame:
-    """Carrier statistics per airport or route as sorted report text."""
-    flights = readers.read_flights(spark, in_path)
-    if level == "airport":
-        text = reports.format_stats(reports.carrier_airport_stats(flights), "origin")
-    else:
-        text = reports.format_stats(reports.carrier_route_stats(flights), "route")
-    _recorded(
-        spark, in_path, environment, metrics_path, lambda: writers.write_keyed_text(text, out_path)
-    )
+    """Carrier statistics per airport or route as sorted report text.
+
+    The metrics row holds the number of rows skipped for want of a required field.
+    """
+    if level not in reports.LEVEL_KEYS:
+        raise ValueError(f"level is one of {', '.join(reports.LEVEL_KEYS)}, not {level!r}")
+    _carrier_reports(spark, in_path, {level: out_path}, environment, metrics_path, single_file)
     return readers.read_keyed_text(spark, out_path)
 
 
@@ -135,22 +172,11 @@ def run_carrier_reports(
     out_dir: str,
     environment: str,
     metrics_path: str | None = None,
+    single_file: bool = False,
 ) -> dict[str, DataFrame]:
     """Airport and route report from a single scan of the flights."""
-    paths = {level: f"{out_dir.rstrip('/')}/{level}" for level in ("airport", "route")}
-
-    def write() -> None:
-        flights = readers.read_flights(spark, in_path)
-        # Both texts come from this small table, which is kept as files: it
-        # outlives the loss of any executor.
-        kept = scratch_dir(spark, "levels")
-        writers.write_parquet(reports.carrier_stats_by_level(flights), kept)
-        levels = readers.read_flights(spark, kept)
-        for level, path in paths.items():
-            stats = levels.filter(F.col("level") == level)
-            writers.write_keyed_text(reports.format_stats(stats, "place"), path)
-
-    _recorded(spark, in_path, environment, metrics_path, write)
+    paths = {level: f"{out_dir.rstrip('/')}/{level}" for level in reports.LEVEL_KEYS}
+    _carrier_reports(spark, in_path, paths, environment, metrics_path, single_file)
     return {level: readers.read_keyed_text(spark, path) for level, path in paths.items()}
 
 
@@ -188,6 +214,96 @@ def run_ranking(
     return readers.read_flights(spark, out_path)
 
 
+def whole_profile(raw: DataFrame) -> DataFrame:
+    """Every figure of the profile as (report, label, item, value).
+
+    Shape, per-column figures, copies, sparse rows, description with exact quartiles,
+    extremes, row accounting and recovery of a raw table.
+    """
+
+    def long(report: str, df: DataFrame, label: Column) -> DataFrame:
+        values = [c for c, kind in df.dtypes if c not in ("column", "step", "base")]
+        stacked = F.array(
+            *[F.struct(F.lit(c).alias("item"), F.col(c).cast("double").alias("value")) for c in values]
+        )
+        return df.select(F.lit(report).alias("report"), label.alias("label"), F.inline(stacked))
+
+    table = F.lit("table")
+    ends = profiling.extremes(raw).agg(
+        F.count("*").alias("pairs"),
+        *[f(c).alias(f"{n}_{c}") for c in ("dep_delay", "arr_delay") for n, f in (("min", F.min), ("max", F.max))],
+    )
+    parts = [
+        long("shape", profiling.shape(raw), table),
+        long("columns", profiling.profile(raw), F.col("column")),
+        long("redundant_ids", profiling.redundant_ids(raw), F.col("column")),
+        long("exact_copies", profiling.exact_dups(raw), table),
+        long("logical_copies", profiling.logical_dups(raw), table),
+        long("sparse_rows", profiling.sparse_rows(raw), table),
+        long("description", profiling.describe_exact(raw), F.col("column")),
+        long("extremes", ends, table),
+        long("row_accounting", row_accounting(raw), F.col("step")),
+        long("recovery", profiling.recovery(raw), table),
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def run_profile(
+    spark: SparkSession,
+    raw_path: str,
+    out_path: str,
+    environment: str,
+    metrics_path: str | None = None,
+) -> DataFrame:
+    """The whole profile of raw CSV, as Parquet."""
+    found = whole_profile(readers.read_raw(spark, raw_path))
+    _recorded(
+        spark, raw_path, environment, metrics_path, lambda: writers.write_parquet(found, out_path)
+    )
+    return readers.read_flights(spark, out_path)
+
+
+def run_trends(
+    spark: SparkSession,
+    raw_path: str,
+    out_path: str,
+    environment: str,
+    metrics_path: str | None = None,
+) -> DataFrame:
+    """The one- and two-variable statistics of raw CSV, as Parquet."""
+    found = trends.trends(readers.read_raw(spark, raw_path))
+    _recorded(
+        spark, raw_path, environment, metrics_path, lambda: writers.write_parquet(found, out_path)
+    )
+    return readers.read_flights(spark, out_path)
+
+
+def run_rollups(
+    spark: SparkSession,
+    in_path: str,
+    out_path: str,
+    environment: str,
+    metrics_path: str | None = None,
+) -> DataFrame:
+    """All reports of a cleaned table and their roll-ups, as Parquet, below one folder."""
+    base = out_path.rstrip("/")
+
+    def write() -> None:
+        text = run_carrier_reports(spark, in_path, f"{base}/carriers", environment)
+        band = run_band_report(spark, in_path, f"{base}/bands", environment)
+        ranking = run_ranking(spark, in_path, f"{base}/ranking", environment)
+        found = report_rollups(
+            reports.parse_stats(text["airport"]),
+            reports.parse_stats(text["route"], "route"),
+            band,
+            ranking,
+        )
+        writers.write_parquet(found, f"{base}/rollups")
+
+    _recorded(spark, in_path, environment, metrics_path, write)
+    return readers.read_flights(spark, f"{base}/rollups")
+
+
 def report_rollups(
     airport_report: DataFrame,
     route_report: DataFrame,

@@ -131,6 +131,7 @@ CLEANING_METRICS = (
 )
 GENERATION_METRICS = ("Environment", "Generated_Dataset", "Execution_Time_Sec")
 RUN_METRICS = ("Environment", "Dataset", "Execution_Time_Sec")
+SKIPPING_METRICS = (*RUN_METRICS, "Skipped_Records")
 # ---------------------------------------------------------------------------
 
 

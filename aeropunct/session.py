@@ -2,19 +2,10 @@
 
 from __future__ import annotations
 
-import math
 import tempfile
-from collections.abc import Iterator
-from contextlib import contextmanager
 from uuid import uuid4
 
 from pyspark.sql import SparkSession
-from pyspark.sql import functions as F
-
-# Input per shuffle partition of a job that shuffles whole records, and the most
-# partitions worth having: beyond that they grow and spill instead.
-PARTITION_BYTES = 256 * 1024**2
-MAX_PARTITIONS = 50_000
 
 
 def build_session(
@@ -26,8 +17,10 @@ def build_session(
     """Session with adaptive execution; the cluster's own settings win elsewhere.
 
     ``shuffle_partitions`` is the *initial* count: adaptive execution merges
-    small partitions and splits skewed join partitions, so on a cluster it
-    should be set high (two to three times the cores) and locally to the cores.
+    small partitions and splits skewed join partitions, but adds none. On a cluster
+    set it to at least two to three times the cores, and for jobs that shuffle whole
+    records (cleaning, exact copies, row accounting) to one partition for each 128 to
+    256 MB of raw text. It covers every job of the session.
     """
     builder = SparkSession.builder.appName(app_name)
     if master:
@@ -62,25 +55,7 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
     return f"{base.rstrip('/')}/{label}-{uuid4().hex}"
 
 
-def input_bytes(spark: SparkSession, path: str) -> int:
-    """Total size of the files below a path, from their listing only."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
-    return files.agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0]
-
-
-@contextmanager
-def sized_shuffles(spark: SparkSession, path: str) -> Iterator[int]:
-    """Raise the number of shuffle partitions to fit the input for the jobs inside.
-
-    Adaptive execution can merge shuffle partitions but never add any, so a
-    fixed default would leave a large input with partitions of many gigabytes.
-    """
-    key = "spark.sql.shuffle.partitions"
-    before = spark.conf.get(key)
-    fitting = min(MAX_PARTITIONS, math.ceil(input_bytes(spark, path) / PARTITION_BYTES))
-    partitions = max(int(before), fitting)
-    spark.conf.set(key, str(partitions))
-    try:
-        yield partitions
-    finally:
-        spark.conf.set(key, before)
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete an intermediate table, through the file system it lies in."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)

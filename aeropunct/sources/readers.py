@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import DataType, StructType
 
+from aeropunct.functions.columns import as_float, as_int
 from aeropunct.schema import BAND_REPORT_SCHEMA, CLEAN_SCHEMA, RAW_SCHEMA
 
 # Fixed value: how the delimited reports write null.
@@ -20,12 +21,35 @@ def read_raw(
     """Raw CSV with a header.
 
     The declared schema is the default, since inference reads the whole input
-    once more. The header must name the declared columns in their order.
+    once more. Cells are read as text and converted: whole numbers may be written
+    with a decimal point, and a cell that does not convert is null and counted by
+    :func:`unconverted_cells`. The header must name the declared columns in their
+    order.
     """
     reader = spark.read.option("header", True)
     if infer:
         return reader.option("inferSchema", True).csv(path)
-    return reader.option("enforceSchema", False).schema(schema).csv(path)
+    names = StructType()
+    for field in schema:
+        names = names.add(field.name, "string")
+    text = reader.option("enforceSchema", False).schema(names).csv(path)
+    return text.select(*[_converted(f.name, f.dataType).alias(f.name) for f in schema])
+
+
+def _converted(name: str, kind: DataType) -> Column:
+    plain = {"string": F.col, "int": as_int, "float": as_float}
+    return plain.get(kind.simpleString(), lambda c: F.col(c).try_cast(kind))(name)
+
+
+def unconverted_cells(text: DataFrame, schema: StructType = RAW_SCHEMA) -> DataFrame:
+    """(column, cells): cells that hold text which is no value of the declared type."""
+    lost = [
+        F.count_if((F.trim(F.col(f.name)) != "") & _converted(f.name, f.dataType).isNull()).alias(
+            f.name
+        )
+        for f in schema
+    ]
+    return text.agg(*lost).unpivot([], list(schema.names), "column", "cells")
 
 
 def read_raw_text(spark: SparkSession, path: str) -> DataFrame:
@@ -82,6 +106,7 @@ def register_flights(
 
     An earlier table of that name is dropped first; its files stay.
     """
-    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    quoted = ".".join(f"`{part.replace('`', '``')}`" for part in name.split("."))
+    spark.sql(f"DROP TABLE IF EXISTS {quoted}")
     spark.catalog.createTable(name, path=path, source="parquet", schema=schema)
     return spark.table(name)

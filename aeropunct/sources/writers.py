@@ -9,6 +9,7 @@ number of flights. The work before the last step stays parallel there too.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -44,11 +45,11 @@ def write_single_csv(df: DataFrame, path: str, order: Sequence[str]) -> None:
     )
 
 
-def write_keyed_text(df: DataFrame, path: str, single_file: bool = True) -> None:
+def write_keyed_text(df: DataFrame, path: str, single_file: bool = False) -> None:
     """Lines of key, tab and value in byte order of the key.
 
-    ``single_file=False`` range-partitions the keys: the parts, read in order of
-    their names, hold the same lines.
+    The keys are range-partitioned: the parts, read in order of their names, are one
+    sorted list. ``single_file`` writes one part, in one task; for small reports.
     """
     ordered = _one_partition(df, ["Key"]) if single_file else df.orderBy("Key")
     ordered.select(F.concat_ws("\t", "Key", "Value").alias("value")).write.mode("overwrite").text(
@@ -63,6 +64,7 @@ def append_run_metrics(
     with a header, so that concurrent runs cannot damage each other's rows."""
     schema = StructType()
     for name in columns:
+        # One kind per suffix, so that the folders of all jobs can be read together.
         kind = "double" if name.endswith("_Sec") else "long" if name.endswith("_Records") else None
         schema = schema.add(name, kind or "string")
     values = [[row[name] for name in columns] for row in rows]
@@ -73,3 +75,17 @@ def append_run_metrics(
 def read_run_metrics(spark: SparkSession, path: str) -> DataFrame:
     """All appended run-metrics rows."""
     return spark.read.csv(path, header=True, inferSchema=True)
+
+
+def read_labelled_metrics(spark: SparkSession, folders: Mapping[str, str]) -> DataFrame:
+    """Run metrics of several jobs, ``folders`` by label, with the label as Framework."""
+    parts = [
+        read_run_metrics(spark, path).select(
+            F.lit(label).alias("Framework"),
+            "Environment",
+            "Dataset",
+            F.col("Execution_Time_Sec").cast("double"),
+        )
+        for label, path in folders.items()
+    ]
+    return reduce(DataFrame.unionByName, parts)

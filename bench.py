@@ -71,7 +71,7 @@ def main() -> None:
 
     def profile() -> None:
         text = readers.read_raw_text(spark, raw_csv)
-        noop(profiling.profile(text, varying=profiling.varying_columns(text)))
+        noop(profiling.profile(text))
 
     steps = {
         "q1_clean": lambda: jobs.run_cleaning(spark, raw_csv, table, "bench"),

@@ -4,17 +4,15 @@ from __future__ import annotations
 
 import subprocess
 import sys
-from pathlib import Path
 
 import pytest
 from conftest import ROOT, SF_DIR
 from pyspark.sql import functions as F
 
-from aeropunct import session
 from aeropunct.__main__ import JOBS, parse, run
-from aeropunct.operators import profiling, reports
+from aeropunct.operators import profiling, reports, rollups
 from aeropunct.plans import jobs
-from aeropunct.schema import BAND_REPORT_SCHEMA, CLEANING_METRICS, RAW_SCHEMA, RUN_METRICS
+from aeropunct.schema import BAND_REPORT_SCHEMA, CLEANING_METRICS, RAW_SCHEMA, SKIPPING_METRICS
 from aeropunct.session import scratch_dir
 from aeropunct.sources import readers, writers
 from aeropunct.sources.star import raw_flights
@@ -91,12 +89,14 @@ def test_scaling_job(spark, clean_path, cleaned):
 
 def test_carrier_report_job_is_one_sorted_file(spark, clean_path, cleaned):
     out, metrics = scratch_dir(spark, "text"), scratch_dir(spark, "metrics")
-    text = jobs.run_carrier_report(spark, clean_path, out, "Local_1", metrics, level="route")
+    text = jobs.run_carrier_report(
+        spark, clean_path, out, "Local_1", metrics, level="route", single_file=True
+    )
     assert len(text.inputFiles()) == 1
     keys = [line.value.split("\t")[0] for line in spark.read.text(out).collect()]
     assert keys == sorted(keys, key=lambda k: k.encode())
     assert len(keys) == reports.carrier_route_stats(cleaned).count()
-    assert tuple(writers.read_run_metrics(spark, metrics).columns) == RUN_METRICS
+    assert tuple(writers.read_run_metrics(spark, metrics).columns) == SKIPPING_METRICS
 
 
 def test_keyed_text_parts_are_in_order(spark, cleaned):
@@ -163,19 +163,53 @@ def test_scratch_folder_comes_from_the_session(spark):
     assert first.startswith(base) and first != second
 
 
-def test_shuffle_partitions_follow_the_input(spark, raw_path, monkeypatch):
-    key = "spark.sql.shuffle.partitions"
-    before = spark.conf.get(key)
-    size = session.input_bytes(spark, raw_path)
-    files = [p for p in Path(raw_path).rglob("*") if p.is_file()]
-    # The listing leaves out hidden files.
-    assert size == sum(p.stat().st_size for p in files if p.name[0] not in "._")
-    with session.sized_shuffles(spark, raw_path) as partitions:
-        assert partitions == int(before)
-    monkeypatch.setattr(session, "PARTITION_BYTES", size / 99)
-    with session.sized_shuffles(spark, raw_path) as partitions:
-        assert partitions == int(spark.conf.get(key)) == 99
-    assert spark.conf.get(key) == before
+def test_whole_numbers_with_a_decimal_point_are_kept(spark, tmp_path):
+    path = tmp_path / "raw.csv"
+    cells = dict.fromkeys(RAW_SCHEMA.names, "") | {
+        "fl_date": "2024-01-02", "month": "1.0", "crs_dep_time": "930.0", "cancelled": "0.0",
+        "op_unique_carrier": "AA", "origin": "JFK", "dest": "LAX", "distance": "100",
+        "dep_delay": "x", "arr_delay": "2.5",
+    }
+    good = cells | {"dep_delay": "1"}
+    lines = [",".join(row[c] for c in RAW_SCHEMA.names) for row in (cells, good)]
+    path.write_text("\n".join([",".join(RAW_SCHEMA.names), *lines]) + "\n")
+    table = jobs.run_cleaning(spark, str(path), str(tmp_path / "out"), "Local_1")
+    assert [(r.month, r.cancelled, r.hour) for r in table.collect()] == [(1, 0, 9)]
+    lost = readers.unconverted_cells(readers.read_raw_text(spark, str(path)))
+    assert [tuple(r) for r in lost.filter("cells > 0").collect()] == [("dep_delay", 1)]
+
+
+def test_skipped_rows_reach_the_metrics(spark, flights, tmp_path):
+    path = str(tmp_path / "flights")
+    rows = [{}, {"month": None}, {"dest": None}, {"cancelled": None}, {"origin": None, "month": None}]
+    writers.write_parquet(flights(*rows), path)
+    metrics = {x: str(tmp_path / f"m{x}") for x in ("airport", "route", "both")}
+    for level in ("airport", "route"):
+        jobs.run_carrier_report(
+            spark, path, str(tmp_path / level), "Local_1", metrics[level], level=level
+        )
+    both = jobs.run_carrier_reports(spark, path, str(tmp_path / "both"), "Local_1", metrics["both"])
+    skipped = {x: writers.read_run_metrics(spark, m).first().Skipped_Records for x, m in metrics.items()}
+    assert skipped == {"airport": 3, "route": 4, "both": 4}
+    text = {x: df.first().Value.split(" | ")[0] for x, df in both.items()}
+    assert text == {"airport": "Flights Operated: 2", "route": "Flights Operated: 1"}
+    with pytest.raises(ValueError, match="level"):
+        jobs.run_carrier_report(spark, path, str(tmp_path / "x"), "Local_1", level="town")
+
+
+def test_metrics_to_summary(spark, clean_path, tmp_path):
+    folders = {"hive": str(tmp_path / "a"), "spark": str(tmp_path / "b")}
+    named = str(tmp_path / "flight_100.parquet")
+    writers.write_parquet(readers.read_flights(spark, clean_path), named)
+    jobs.run_band_report(spark, named, str(tmp_path / "band"), "Local_1", folders["hive"])
+    jobs.run_carrier_report(spark, named, str(tmp_path / "air"), "Local_1", folders["spark"])
+    metrics = writers.read_labelled_metrics(spark, folders)
+    summary = rollups.run_summary(metrics, environment="Local_1")
+    assert {(r.view, r.Framework, r.label) for r in summary.collect()} == {
+        (view, name, label)
+        for view, label in (("scale_out", "Local_1"), ("scale_up", "100"))
+        for name in folders
+    }
 
 
 def test_command_line(spark, tmp_path, clean_path):
@@ -192,7 +226,7 @@ def test_command_line(spark, tmp_path, clean_path):
 @pytest.mark.parametrize("job", sorted(JOBS))
 def test_every_job_from_its_arguments(spark, job, raw_path, clean_path):
     out, metrics, one = (scratch_dir(spark, x) for x in ("cli", "climetrics", "clione"))
-    source = raw_path if job == "clean" else clean_path
+    source = raw_path if job in ("clean", "profile", "trends") else clean_path
     args = [job, source, out, "Local_1", "--metrics", metrics, "--single-csv", one]
     run(spark, parse([*args, "--keys", "origin", "dest", "distance"]))
     written = spark.read.option("recursiveFileLookup", True).format("binaryFile").load(out)
