@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from aeropunct.checks.profiles import copies, per_column
+from aeropunct.checks.profiles import copies, per_column, sample_bounds, sample_bounds_sql
 from aeropunct.checks.projections import BRACKET_CASE, MONTH_CASE, SCALE_CASE
 from aeropunct.checks.registry import (
     ARR_SUM,
@@ -312,7 +312,11 @@ def _(spark, sf_dir):
     return rollups.diff_cells(rep)
 
 
-@check("a22_diff_matrix")
+@check(
+    "a22_diff_matrix",
+    f"""SELECT * FROM (PIVOT ({DIFF_CELLS}) ON op_unique_carrier
+  USING max(diff_from_airport_avg) GROUP BY origin) AS matrix""",
+)
 def _(spark, sf_dir):
     rep = finished(spark, reports.carrier_ranking(cleaned(spark, sf_dir)), "a22m")
     return rollups.diff_matrix(rep)
@@ -462,13 +466,17 @@ def _(spark, sf_dir):
     return jobs.run_cleaning(spark, source, out, "check", metrics)
 
 
-def _scaled(spark, sf_dir, keys=None):
+def _scaled_paths(spark, sf_dir, keys=None):
     base, out, metrics = (
         clean_parquet(spark, sf_dir, "q2base"),
         scratch_dir(spark, "q2out"),
         scratch_dir(spark, "q2metrics"),
     )
-    paths = jobs.run_scaling(spark, base, out, "check", metrics, keys)
+    return base, jobs.run_scaling(spark, base, out, "check", metrics, keys)
+
+
+def _scaled(spark, sf_dir, keys):
+    paths = _scaled_paths(spark, sf_dir, keys)[1]
     counts = [
         readers.read_flights(spark, path).agg(
             F.lit(name).alias("dataset"), F.count("*").alias("flights")
@@ -481,12 +489,23 @@ def _scaled(spark, sf_dir, keys=None):
     return combined
 
 
-@check("q2_scale_datasets")
+_SCALES = (*sampling.SUB_SIZES, *sampling.OVER_SIZES)
+
+
+@check("q2_scale_datasets", sample_bounds_sql([f"flight_{pct}" for pct in _SCALES]))
 def _(spark, sf_dir):
-    return _scaled(spark, sf_dir)
+    base, paths = _scaled_paths(spark, sf_dir)
+    named = {}
+    for name, path in paths.items():
+        pct = int(name.split("_")[1])
+        named[name] = (readers.read_flights(spark, path), pct / 100, pct // 100)
+    return sample_bounds(readers.read_flights(spark, base), named)
 
 
-_ROW_HASH = f"substr(md5(concat_ws('|', {', '.join(CLEAN_COLUMNS)})), 1, 8)"
+_ROW_PARTS = ", ".join(
+    f"coalesce(CAST({c} AS VARCHAR), '{sampling.NULL_KEY}')" for c in CLEAN_COLUMNS
+)
+_ROW_HASH = f"substr(md5(concat_ws('|', {_ROW_PARTS})), 1, 8)"
 
 
 def _scaled_sql(pct: int) -> str:
@@ -497,7 +516,7 @@ def _scaled_sql(pct: int) -> str:
 
 @check(
     "q2_scale_datasets_by_hash",
-    " UNION ALL ".join(_scaled_sql(p) for p in (*sampling.SUB_SIZES, *sampling.OVER_SIZES)),
+    " UNION ALL ".join(_scaled_sql(p) for p in _SCALES),
 )
 def _(spark, sf_dir):
     return _scaled(spark, sf_dir, CLEAN_COLUMNS)

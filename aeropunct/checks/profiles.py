@@ -55,11 +55,52 @@ def _(spark, sf_dir):
     return profiling.logical_dups(copies(spark, sf_dir))
 
 
-@check("d4_random_sample")
+def sample_bounds(base, named):
+    """Size and content of random samples as facts that hold for any seed.
+
+    ``named`` maps a name to (sample, fraction, whole copies of the base in it). A
+    sample may deviate by six standard deviations, and no row may come more often
+    than the base and the whole copies allow.
+    """
+    columns = base.columns
+    have = base.groupBy(*columns).agg(F.count("*").alias("have"))
+    parts = []
+    for name, (df, fraction, whole) in named.items():
+        taken = df.groupBy(*columns).agg(F.count("*").alias("taken"))
+        same = F.lit(True)
+        for c in columns:
+            same = same & F.col(f"h.{c}").eqNullSafe(F.col(f"t.{c}"))
+        merged = have.alias("h").join(taken.alias("t"), same, "full")
+        n, got = F.coalesce(F.sum("have"), F.lit(0)), F.coalesce(F.sum("taken"), F.lit(0))
+        spread = 6 * F.sqrt(n * (fraction - whole) * (1 + whole - fraction)) + 1
+        most = F.coalesce("have", F.lit(0)) * (whole + (1 if fraction > whole else 0))
+        parts.append(
+            merged.agg(
+                F.lit(name).alias("dataset"),
+                n.alias("base_rows"),
+                (F.abs(got - n * fraction) <= spread).alias("size_within_bounds"),
+                F.bool_and(F.coalesce("taken", F.lit(0)) <= most).alias("rows_from_base"),
+            )
+        )
+    combined = parts[0]
+    for part in parts[1:]:
+        combined = combined.unionByName(part)
+    return combined
+
+
+def sample_bounds_sql(names) -> str:
+    return " UNION ALL ".join(
+        f"""SELECT '{name}' AS dataset, count(*) AS base_rows, true AS size_within_bounds,
+  true AS rows_from_base FROM clean"""
+        for name in names
+    )
+
+
+@check("d4_random_sample", sample_bounds_sql(["sample"]))
 def _(spark, sf_dir):
     # From a written table: its rows keep their places when a task runs again.
     base = readers.read_flights(spark, clean_parquet(spark, sf_dir, "d4"))
-    return sampling.sample(base, 0.10)
+    return sample_bounds(base, {"sample": (sampling.sample(base, 0.10), 0.10, 0)})
 
 
 @check(
@@ -70,17 +111,11 @@ def _(spark, sf_dir):
     return comparable(sampling.hash_sample(raw(spark, sf_dir), key_columns(), 0.10))
 
 
-@check("d5_sub_samples")
+@check("d5_sub_samples", sample_bounds_sql([f"flight_{pct}" for pct in sampling.SUB_SIZES]))
 def _(spark, sf_dir):
     base = readers.read_flights(spark, clean_parquet(spark, sf_dir, "d5"))
-    counts = [
-        df.agg(F.lit(name).alias("dataset"), F.count("*").alias("flights"))
-        for name, df in sampling.sub_samples(base).items()
-    ]
-    combined = counts[0]
-    for part in counts[1:]:
-        combined = combined.unionByName(part)
-    return combined
+    family = sampling.sub_samples(base)
+    return sample_bounds(base, {n: (df, int(n.split("_")[1]) / 100, 0) for n, df in family.items()})
 
 
 @check(
@@ -98,10 +133,10 @@ def _(spark, sf_dir):
     )
 
 
-@check("d6_oversample_150")
+@check("d6_oversample_150", sample_bounds_sql(["flight_150"]))
 def _(spark, sf_dir):
     base = readers.read_flights(spark, clean_parquet(spark, sf_dir, "d6"))
-    return sampling.oversample_150(base)
+    return sample_bounds(base, {"flight_150": (sampling.oversample_150(base), 1.5, 1)})
 
 
 @check(
@@ -211,9 +246,42 @@ def _(spark, sf_dir):
     return profiling.null_report(raw(spark, sf_dir))
 
 
-@check("d15_describe")
+_EXACT_QUARTILES = " UNION ALL ".join(
+    f"""SELECT '{c}' AS "column", count({c}) AS "count", min({c}) AS min, max({c}) AS max,
+  {rounded(f"sum(CAST({c} AS BIGINT))", f"count({c})")} AS mean, true AS quartiles_within_error
+FROM raw"""
+    for c in profiling.DESCRIBED
+)
+
+
+@check("d15_describe", _EXACT_QUARTILES)
 def _(spark, sf_dir):
-    return profiling.describe(raw(spark, sf_dir))
+    # Each sketched quartile must be a value whose rank is near the one asked for: the
+    # share of rows below it may be too small, and that up to it too large, by the error.
+    df = raw(spark, sf_dir)
+    found = profiling.describe(df)
+    values = df.select(
+        F.inline(
+            F.array(
+                *[
+                    F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("v"))
+                    for c in profiling.DESCRIBED
+                ]
+            )
+        )
+    ).filter("v IS NOT NULL")
+    counted = values.groupBy("column", "v").agg(F.count("*").alias("n"))
+    error, near = 0.001, F.lit(True)
+    ranks = []
+    for name, share in profiling.QUARTILES.items():
+        below = F.sum(F.when(F.round("v", 2) < F.col(name), F.col("n")).otherwise(0))
+        upto = F.sum(F.when(F.round("v", 2) <= F.col(name), F.col("n")).otherwise(0))
+        ranks += [below.alias(f"below_{name}"), upto.alias(f"upto_{name}")]
+        near = near & (F.col(f"below_{name}") <= (share + error) * F.col("count") + 1)
+        near = near & (F.col(f"upto_{name}") >= (share - error) * F.col("count") - 1)
+    keys = ["column", "count", "min", "max", "mean"]
+    measured = counted.join(F.broadcast(found), "column").groupBy(*keys).agg(*ranks)
+    return measured.select(*keys, near.alias("quartiles_within_error"))
 
 
 @check(
@@ -291,7 +359,35 @@ def _(spark, sf_dir):
     return found.withColumn("correlation", F.round("correlation", 6))
 
 
-@check("a16_approx_distinct")
+_COUNTED = ("op_unique_carrier", "origin", "dest", "op_carrier_fl_num")
+
+
+@check(
+    "a16_approx_distinct",
+    " UNION ALL ".join(
+        f"""SELECT '{c}' AS "column", count(DISTINCT {c}) AS exact_distinct,
+  true AS within_error FROM raw"""
+        for c in _COUNTED
+    ),
+)
 def _(spark, sf_dir):
-    columns = ["op_unique_carrier", "origin", "dest", "op_carrier_fl_num"]
-    return profiling.approx_distinct(raw(spark, sf_dir), columns)
+    # Three times the relative standard deviation that was asked for.
+    df = raw(spark, sf_dir)
+    found = profiling.approx_distinct(df, list(_COUNTED), 0.05)
+    exact = df.select(
+        F.inline(
+            F.array(
+                *[
+                    F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("v"))
+                    for c in _COUNTED
+                ]
+            )
+        )
+    )
+    counts = exact.groupBy("column").agg(F.count_distinct("v").alias("exact_distinct"))
+    apart = F.abs(F.col("approx_distinct") - F.col("exact_distinct"))
+    return counts.join(F.broadcast(found), "column").select(
+        "column",
+        "exact_distinct",
+        (apart <= 0.15 * F.col("exact_distinct")).alias("within_error"),
+    )
