@@ -14,7 +14,8 @@ import pandas as pd
 
 sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
 
-TABLES = "region nation customer supplier part orders lineitem events".split()
+TABLES = """region nation customer supplier part orders lineitem events documents embeddings
+pages benchmark labels conversations""".split()
 
 
 def duck(sf_dir: str) -> duckdb.DuckDBPyConnection:

@@ -7,7 +7,8 @@ import re
 import pytest
 from conftest import SF_DIR
 
-from __spark_entry__ import queries
+import __spark_entry__  # noqa: F401  registers the queries
+from aeropunct.checks.registry import CHECKS
 from aeropunct.operators import profiling, reports, sampling, selection, trends
 from aeropunct.operators.cleaning import clean
 from aeropunct.sources import readers
@@ -30,9 +31,9 @@ def optimized(df):
     return df._jdf.queryExecution().optimizedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(n for n in queries() if n[0] in "padjwoutf"))
+@pytest.mark.parametrize("name", sorted(CHECKS))
 def test_no_cross_join_and_no_python(spark, name):
-    text = plan(queries()[name](spark, SF_DIR))
+    text = plan(CHECKS[name].run(spark, SF_DIR))
     for node in ("CartesianProduct", "BroadcastNestedLoopJoin", "Python", "InPandas"):
         assert node not in text
 
@@ -56,6 +57,12 @@ def test_one_scan(cleaned, report):
     assert scans(report(cleaned)) == 1
 
 
+def test_profile_has_no_limit_and_no_single_task_but_for_its_result(cleaned):
+    text = plan(profiling.profile(cleaned))
+    assert "Limit" not in text
+    assert len(re.findall("SinglePartition", text.split("Initial Plan")[-1])) == 1
+
+
 def test_ranking_reads_only_its_columns(cleaned):
     scan = re.search(r"ReadSchema: struct<([^>]*)>", plan(reports.carrier_ranking(cleaned)))
     names = {c.split(":")[0] for c in scan.group(1).split(",")}
