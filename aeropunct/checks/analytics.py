@@ -4,7 +4,17 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from aeropunct.checks.profiles import copies, per_column, sample_bounds, sample_bounds_sql
+from aeropunct.checks.profiles import (
+    DESCRIPTION,
+    EXTREMES,
+    RECOVERY,
+    copies,
+    per_column,
+    sample_bounds,
+    sample_bounds_sql,
+    sparse_rows_sql,
+    surplus_sql,
+)
 from aeropunct.checks.projections import BRACKET_CASE, MONTH_CASE, SCALE_CASE
 from aeropunct.checks.registry import (
     ARR_SUM,
@@ -20,7 +30,7 @@ from aeropunct.checks.scans import BAND_REPORT, RANKING, clean_parquet, raw_csv,
 from aeropunct.functions import columns as fn
 from aeropunct.operators import profiling, reports, rollups, sampling, selection, trends
 from aeropunct.plans import jobs
-from aeropunct.schema import CLEAN_COLUMNS, RANKING_FIELDS
+from aeropunct.schema import CLEAN_COLUMNS, LOGICAL_KEY, RANKING_FIELDS
 from aeropunct.session import scratch_dir
 from aeropunct.sources import readers, star, writers
 
@@ -593,6 +603,60 @@ def _(spark, sf_dir):
     return profiling.profile(text)
 
 
+def _long(report: str, body: str, items: str, label: str = "'table'") -> str:
+    """A row per item of each row of ``body``."""
+    rows = ", ".join(
+        f"{{'item': '{i}', 'value': round(CAST(\"{i}\" AS DOUBLE), 6)}}" for i in items.split()
+    )
+    return f"""SELECT '{report}' AS report, {label} AS label, unnest([{rows}], recursive := true)
+FROM ({body}) AS {report}"""
+
+
+_STEPS = """SELECT 'duplicates' AS step, a AS before, b AS after, a - b AS dropped FROM counts
+UNION ALL SELECT 'quality', b, c, b - c FROM counts
+UNION ALL SELECT 'total', a, c, a - c FROM counts""".replace(
+    "FROM counts",
+    """FROM (SELECT (SELECT count(*) FROM raw) AS a,
+  (SELECT count(*) FROM (SELECT DISTINCT * FROM raw) AS d) AS b,
+  (SELECT count(*) FROM clean) AS c) AS counts""",
+)
+_WHOLE_PROFILE = (
+    _long("shape", "SELECT count(*) AS total_rows, 35 AS total_columns FROM raw", "total_rows total_columns"),
+    _long(
+        "columns",
+        per_column(
+            """c, total AS rows, total - n AS nulls, (total - n)::DOUBLE * 100 / total AS null_pct,
+  CAST(z AS INT) AS zero_variance, CAST((total - n)*100.0/total > 80 AS INT) AS sparse"""
+        ),
+        "rows nulls null_pct zero_variance sparse",
+        "c",
+    ),
+    _long("exact_copies", surplus_sql("*", "raw"), "total_rows distinct_rows duplicates"),
+    _long(
+        "logical_copies",
+        surplus_sql(", ".join(LOGICAL_KEY), "raw"),
+        "total_rows distinct_rows duplicates",
+    ),
+    _long("sparse_rows", sparse_rows_sql(80), "sparse_rows"),
+    _long("description", DESCRIPTION, "count min p25 p50 p75 max mean", '"column"'),
+    _long(
+        "extremes",
+        f"""SELECT count(*) AS pairs, min(dep_delay) AS min_dep_delay, max(dep_delay) AS max_dep_delay,
+  min(arr_delay) AS min_arr_delay, max(arr_delay) AS max_arr_delay FROM ({EXTREMES}) AS x""",
+        "pairs min_dep_delay max_dep_delay min_arr_delay max_arr_delay",
+    ),
+    _long("row_accounting", _STEPS, "before after dropped", "step"),
+    _long("recovery", RECOVERY, "pairs recovered correlation"),
+)
+
+
+@check("q6_whole_profile", " UNION ALL ".join(_WHOLE_PROFILE))
+def _(spark, sf_dir):
+    source, out = raw_csv(spark, sf_dir, "q6whole"), scratch_dir(spark, "q6out")
+    found = jobs.run_profile(spark, source, out, "check", scratch_dir(spark, "q6metrics"))
+    return found.withColumn("value", F.round("value", 6))
+
+
 @check(
     "q7_trends",
     f"""

@@ -38,19 +38,19 @@ def _(spark, sf_dir):
     return comparable(cleaning.dedup(copies(spark, sf_dir)))
 
 
-def _surplus(columns: str) -> str:
+def surplus_sql(columns: str, source: str = "raw_copies") -> str:
     return f"""SELECT count(*) AS total_rows,
-  (SELECT count(*) FROM (SELECT DISTINCT {columns} FROM raw_copies) AS d) AS distinct_rows,
-  count(*) - (SELECT count(*) FROM (SELECT DISTINCT {columns} FROM raw_copies) AS d) AS duplicates
-FROM raw_copies"""
+  (SELECT count(*) FROM (SELECT DISTINCT {columns} FROM {source}) AS d) AS distinct_rows,
+  count(*) - (SELECT count(*) FROM (SELECT DISTINCT {columns} FROM {source}) AS d) AS duplicates
+FROM {source}"""
 
 
-@check("d2_exact_dups", _surplus("*"))
+@check("d2_exact_dups", surplus_sql("*"))
 def _(spark, sf_dir):
     return profiling.exact_dups(copies(spark, sf_dir))
 
 
-@check("d3_logical_dups", _surplus(", ".join(LOGICAL_KEY)))
+@check("d3_logical_dups", surplus_sql(", ".join(LOGICAL_KEY)))
 def _(spark, sf_dir):
     return profiling.logical_dups(copies(spark, sf_dir))
 
@@ -221,17 +221,17 @@ def _(spark, sf_dir):
 _MISSING = " + ".join(f"CASE WHEN {c} IS NULL THEN 1 ELSE 0 END" for c in RAW_COLUMNS)
 
 
-def _sparse_rows(pct: int) -> str:
+def sparse_rows_sql(pct: int) -> str:
     return f"""SELECT count(*) AS sparse_rows FROM raw
 WHERE ({_MISSING})*100.0/35 > {pct} AND cancelled = 0"""
 
 
-@check("d13_sparse_rows", _sparse_rows(80))
+@check("d13_sparse_rows", sparse_rows_sql(80))
 def _(spark, sf_dir):
     return profiling.sparse_rows(raw(spark, sf_dir))
 
 
-@check("d13_sparse_rows_30", _sparse_rows(30))
+@check("d13_sparse_rows_30", sparse_rows_sql(30))
 def _(spark, sf_dir):
     return profiling.sparse_rows(raw(spark, sf_dir), 30)
 
@@ -284,16 +284,16 @@ def _(spark, sf_dir):
     return measured.select(*keys, near.alias("quartiles_within_error"))
 
 
-@check(
-    "d15_describe_exact",
-    " UNION ALL ".join(
-        f"""SELECT '{c}' AS "column", count({c}) AS "count", min({c}) AS min,
+DESCRIPTION = " UNION ALL ".join(
+    f"""SELECT '{c}' AS "column", count({c}) AS "count", min({c}) AS min,
   round(quantile_cont({c}, 0.25), 2) AS p25, round(quantile_cont({c}, 0.5), 2) AS p50,
   round(quantile_cont({c}, 0.75), 2) AS p75, max({c}) AS max,
   {rounded(f"sum(CAST({c} AS BIGINT))", f"count({c})")} AS mean FROM raw"""
-        for c in profiling.DESCRIBED
-    ),
+    for c in profiling.DESCRIBED
 )
+
+
+@check("d15_describe_exact", DESCRIPTION)
 def _(spark, sf_dir):
     return profiling.describe_exact(raw(spark, sf_dir))
 
@@ -312,10 +312,10 @@ _PAIRS = """SELECT CAST(dep_delay AS FLOAT) AS dep_delay, CAST(arr_delay AS FLOA
   FROM raw WHERE dep_delay IS NOT NULL AND arr_delay IS NOT NULL"""
 
 
-@check(
-    "d16_extremes",
-    f"SELECT * FROM ({_EXTREMES}) AS e".replace("FROM pairs", f"FROM ({_PAIRS}) AS pairs"),
-)
+EXTREMES = f"SELECT * FROM ({_EXTREMES}) AS e".replace("FROM pairs", f"FROM ({_PAIRS}) AS pairs")
+
+
+@check("d16_extremes", EXTREMES)
 def _(spark, sf_dir):
     return profiling.extremes(raw(spark, sf_dir))
 
@@ -348,12 +348,13 @@ def _(spark, sf_dir):
     return cleaning.row_accounting(copies(spark, sf_dir))
 
 
-@check(
-    "d19_recovery",
-    """SELECT count(*) AS pairs, count(*) FILTER (WHERE arr_delay < dep_delay) AS recovered,
+RECOVERY = """SELECT count(*) AS pairs,
+  count(*) FILTER (WHERE arr_delay < dep_delay) AS recovered,
   round(corr(dep_delay, arr_delay), 6) AS correlation
-FROM raw WHERE dep_delay IS NOT NULL AND arr_delay IS NOT NULL""",
-)
+FROM raw WHERE dep_delay IS NOT NULL AND arr_delay IS NOT NULL"""
+
+
+@check("d19_recovery", RECOVERY)
 def _(spark, sf_dir):
     found = profiling.recovery(raw(spark, sf_dir))
     return found.withColumn("correlation", F.round("correlation", 6))
