@@ -14,7 +14,7 @@ from functools import lru_cache
 import regex
 
 # Entries of the cache of merged pre-tokens in one Python worker.
-CACHE_ENTRIES = 700_000
+CACHE_ENTRIES = 300_000
 
 
 def _byte_alphabet() -> dict[int, str]:

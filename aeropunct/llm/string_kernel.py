@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from aeropunct.llm.arrays import bounds, chunks
+from aeropunct.llm.arrays import CHUNK_BYTES, chunks
 from aeropunct.llm.common import Scratch, held_out
 from aeropunct.llm.training import training_sample
 
@@ -376,6 +376,19 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, label: str = "toxic") ->
     )
 
 
+def _parts(texts: list[str | None]) -> Iterator[list[str]]:
+    """Runs of texts with about ``CHUNK_BYTES / 2`` characters, so that arrays stay small."""
+    part, size = [], 0
+    for text in texts:
+        part.append(text or "")
+        size += len(text or "")
+        if size >= CHUNK_BYTES // 2:
+            yield part
+            part, size = [], 0
+    if part:
+        yield part
+
+
 def toxicity(rows: DataFrame, docs: DataFrame, labels: DataFrame, label: str = "toxic") -> DataFrame:
     """Adds ``_toxicity`` to ``rows(text, ...)``, learnt from ``docs`` and ``labels``.
 
@@ -388,9 +401,7 @@ def toxicity(rows: DataFrame, docs: DataFrame, labels: DataFrame, label: str = "
 
     def score(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for series in texts:
-            whole = pa.array(series.fillna("").tolist(), pa.large_string())
-            parts = chunks(iter([pa.RecordBatch.from_arrays([whole], ["text"])]))
-            found = [shared.value.best(part.column(0).to_pylist())[0] for part in parts]
+            found = [shared.value.best(part)[0] for part in _parts(series.tolist())]
             yield pd.Series(shared.value.probability(np.concatenate([[], *found])))
 
     return rows.withColumn("_toxicity", F.pandas_udf(score, "double")("text"))
