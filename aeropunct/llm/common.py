@@ -9,7 +9,7 @@ from pathlib import Path
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from aeropunct.session import scratch_dir
+from aeropunct.session import remove, scratch_dir
 
 # A word is a maximal run of characters that are no ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -41,13 +41,15 @@ class Scratch:
     """Intermediate tables of one job, in the shared folder the cluster names.
 
     A written table cuts the lineage: a lost executor costs the tasks of the
-    current step only. Tables that no later step reads are removed with ``drop``.
+    current step only. Tables that a returned DataFrame reads stay until whoever
+    runs the job clears the folder.
     """
 
     def __init__(self, spark: SparkSession, label: str):
         self.spark = spark
         self.root = scratch_dir(spark, label)
         self.count = 0
+        self.kept: dict[str, DataFrame] = {}
 
     def path(self, name: str) -> str:
         self.count += 1
@@ -58,14 +60,17 @@ class Scratch:
         path = self.path(name)
         df.write.option("compression", codec).parquet(path)
         kept = self.spark.read.schema(df.schema).parquet(path)
-        kept._scratch_path = path
+        self.kept[path] = kept
         return kept
 
     def drop(self, *tables: DataFrame) -> None:
-        for df in tables:
-            path = self.spark._jvm.org.apache.hadoop.fs.Path(df._scratch_path)
-            conf = self.spark.sparkContext._jsc.hadoopConfiguration()
-            path.getFileSystem(conf).delete(path, True)
+        """Removes tables that no later step reads."""
+        for path in [p for p, df in self.kept.items() if any(df is t for t in tables)]:
+            del self.kept[path]
+            remove(self.spark, path)
+
+    def drop_all_but(self, *tables: DataFrame) -> None:
+        self.drop(*[df for df in self.kept.values() if not any(df is t for t in tables)])
 
 
 def uniform(*keys: Column) -> Column:

@@ -263,6 +263,7 @@ def linked_vectors(
         ),
         "links",
     )
+    scratch.drop_all_but(rows, links)
     linked = usable.join(links, "embedding").select("vec_id", "n_links", "component_id")
     alone = rows.filter(
         F.col("vec_id").isNull() | ~F.coalesce(finite & F.exists("embedding", lambda x: x != 0), F.lit(False))

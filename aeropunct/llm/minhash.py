@@ -311,6 +311,7 @@ def near_duplicates(
     )
     found = connected_components(scratch, near.unionByName(rest).unionByName(tied))
     found = scratch.keep(found.select(F.col("id").alias("rep"), "component"), "components")
+    scratch.drop_all_but(signed, members, found)
     linked = members.join(found, "rep", "left").select(
         "doc_id", "n_shingles", F.coalesce("component", "rep").alias("component_id")
     )
