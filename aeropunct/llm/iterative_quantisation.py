@@ -19,9 +19,7 @@ FIT_VECTORS = 20_000
 # tables of 20 bits: buckets keep their size and the recall.
 TABLES, TABLE_BITS = 20, 12
 THRESHOLD = 0.9
-# Pairs that differ in more bits are not reranked: over five standard deviations
-# beyond what vectors at the threshold differ in.
-MOST_BITS = 70
+MEASURED_PAIRS = 2_000
 BLOCK = 256
 
 
@@ -57,6 +55,58 @@ class Quantiser:
         return np.packbits((vectors - self.mean) @ self.matrix > 0, axis=1)
 
 
+def pairs_at(sample: np.ndarray, threshold: float) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Pairs of unit vectors at cosine ``threshold``, made from the sample in two ways.
+
+    The second vector is the first one turned about the sample's mean towards another
+    vector of the sample, or the first one with noise of no direction.
+    """
+    rng = np.random.default_rng(11)
+    x = sample[rng.integers(len(sample), size=MEASURED_PAIRS)]
+    noise = rng.normal(size=x.shape)
+    noise -= (noise * x).sum(1, keepdims=True) * x
+    length = np.sqrt((noise**2).sum(1, keepdims=True))
+    even = length[:, 0] > 1e-9
+    y = threshold * x[even] + np.sqrt(1 - threshold**2) * noise[even] / length[even]
+    found = [(x[even], y)]
+
+    mean = sample.mean(0)
+    a, b = x - mean, sample[rng.integers(len(sample), size=len(x))] - mean
+    size = np.sqrt((a**2).sum(1, keepdims=True))
+    b -= (b * a).sum(1, keepdims=True) / np.maximum(size, 1e-9) ** 2 * a
+    length = np.sqrt((b**2).sum(1, keepdims=True))
+    turns = (size[:, 0] > 1e-6) & (length[:, 0] > 1e-6)
+    x, a, b = x[turns], a[turns], (b * size / np.maximum(length, 1e-9))[turns]
+
+    def turned(angle: np.ndarray) -> np.ndarray:
+        out = mean + np.cos(angle)[:, None] * a + np.sin(angle)[:, None] * b
+        return out / np.maximum(np.sqrt((out**2).sum(1, keepdims=True)), 1e-9)
+
+    # Half a turn at most: where the mean is longer than all the rest, no pair is as far
+    # apart as the threshold, and the pair furthest apart is taken.
+    low, high = np.zeros(len(x)), np.full(len(x), np.pi)
+    for _ in range(40):
+        middle = (low + high) / 2
+        near = (turned(middle) * x).sum(1) >= threshold
+        low, high = np.where(near, middle, low), np.where(near, high, middle)
+    return [p for p in (*found, (x, turned(low))) if len(p[0])]
+
+
+def _differing(model: Quantiser, pairs: tuple[np.ndarray, np.ndarray], bits: int) -> np.ndarray:
+    x, y = (np.unpackbits(model.codes(v), axis=1)[:, :bits] for v in pairs)
+    return x != y
+
+
+def fitted(sample: np.ndarray, threshold: float, tables: int, table_bits: int) -> tuple[Quantiser, int]:
+    """Quantiser, and the most bits in which a pair is compared: five standard
+    deviations beyond the mean of what pairs at the threshold differ in."""
+    model = Quantiser(sample, tables * table_bits)
+    apart = [_differing(model, p, tables * table_bits) for p in pairs_at(sample, threshold)]
+    counts = [d.sum(1) for d in apart]
+    limit = max((int(np.ceil(c.mean() + 5 * c.std())) for c in counts), default=tables * table_bits)
+    return model, limit
+
+
 def _rows(column: pa.Array, width: int) -> np.ndarray:
     """Vectors as unit rows in double precision, filled up or cut to ``width``."""
     out = np.zeros((len(column), width))
@@ -91,7 +141,7 @@ def _encoder(model: Quantiser, tables: int, table_bits: int):
     return encode
 
 
-def _candidates(table: pa.Table) -> np.ndarray:
+def _candidates(table: pa.Table, most_bits: int) -> np.ndarray:
     """Pairs of a cell to rerank: same bucket, no bucket of an earlier table in common,
     few differing bits. Row number of the smaller place first."""
     side, bucket = table["side"].to_numpy(), table["bucket"].to_numpy()
@@ -106,7 +156,7 @@ def _candidates(table: pa.Table) -> np.ndarray:
             ys = ys[ys > x]
         if len(ys):
             apart = np.bitwise_count(codes[ys] ^ codes[x]).sum(1, dtype=np.int64)
-            ys = ys[apart <= MOST_BITS]
+            ys = ys[apart <= most_bits]
             pairs.append(np.stack([np.full(len(ys), x), ys], axis=1))
     return np.concatenate(pairs) if pairs else np.zeros((0, 2), np.int64)
 
@@ -125,19 +175,19 @@ def _first_meeting(table: pa.Table, pairs: np.ndarray, tables: int, table_bits:
     return pairs[keep]
 
 
-def _shortlister(tables: int, table_bits: int):
+def _shortlister(tables: int, table_bits: int, most_bits: int):
     def shortlist(table: pa.Table) -> pa.Table:
         """Rows of a cell that have a pair to rerank."""
-        pairs = _first_meeting(table, _candidates(table), tables, table_bits)
+        pairs = _first_meeting(table, _candidates(table, most_bits), tables, table_bits)
         return table.take(pa.array(np.unique(pairs), pa.int64()))
 
     return shortlist
 
 
-def _reranker(tables: int, table_bits: int, threshold: float):
+def _reranker(tables: int, table_bits: int, most_bits: int, threshold: float):
     def rerank(table: pa.Table) -> pa.Table:
         """Links found in a cell: how many each vector gains, and edges that span them."""
-        pairs = _first_meeting(table, _candidates(table), tables, table_bits)
+        pairs = _first_meeting(table, _candidates(table, most_bits), tables, table_bits)
         lists = table["embedding"].to_pylist()
         unit = _rows(table["embedding"], max(map(len, lists), default=1))
         keep = np.zeros(len(pairs), bool)
@@ -211,7 +261,7 @@ def linked_vectors(
     sample = [r.embedding for r in by_hash.select("embedding").collect()]
     width = max(map(len, sample), default=1)
     unit = _rows(pa.array(sample, pa.list_(pa.float64())), width) if sample else np.eye(1)
-    model = Quantiser(unit, tables * table_bits)
+    model, most_bits = fitted(unit, threshold, tables, table_bits)
 
     codes = classes.select("id", "embedding", F.size("embedding").alias("size")).mapInArrow(
         _encoder(model, tables, table_bits), "id long, code binary, buckets array<long>"
@@ -243,12 +293,12 @@ def linked_vectors(
         )
     )
     close = scratch.keep(
-        cells.groupBy("i", "j").applyInArrow(_shortlister(tables, table_bits), cells.schema), "close"
+        cells.groupBy("i", "j").applyInArrow(_shortlister(tables, table_bits, most_bits), cells.schema), "close"
     )
     found = scratch.keep(
         close.join(classes, "id")
         .groupBy("i", "j")
-        .applyInArrow(_reranker(tables, table_bits, threshold), "id long, other long, gain long"),
+        .applyInArrow(_reranker(tables, table_bits, most_bits, threshold), "id long, other long, gain long"),
         "found",
     )
     gains = found.groupBy("id").agg(F.sum("gain").alias("gain"))

@@ -91,6 +91,32 @@ def test_odd_vectors_alone(spark):
     assert itq.linked_vectors(spark.createDataFrame([], VECTORS)).count() == 0
 
 
+def shifted_pairs(common, pairs=150, width=64):
+    """Pairs at cosines of 0.9 to 0.93 among vectors whose mean cosine is ``common``."""
+    rng = np.random.default_rng(3)
+    mean = np.zeros(width)
+    mean[0] = np.sqrt(common)
+
+    def directions(n):
+        v = rng.normal(size=(n, width))
+        v[:, 0] = 0
+        return v / np.linalg.norm(v, axis=1, keepdims=True)
+
+    a, b = directions(pairs), directions(pairs)
+    b -= (a * b).sum(1, keepdims=True) * a
+    b /= np.linalg.norm(b, axis=1, keepdims=True)
+    near = (rng.uniform(0.9005, 0.93, size=(pairs, 1)) - common) / (1 - common)
+    near = near * a + np.sqrt(1 - near**2) * b
+    rest = np.sqrt(1 - common)
+    return np.concatenate([mean + rest * a, mean + rest * near, mean + rest * directions(1500)])
+
+
+def test_pairs_of_long_codes_are_compared(spark):
+    rows = [(i, [float(x) for x in v], "x") for i, v in enumerate(shifted_pairs(0.0, 60)[:400])]
+    got = itq.linked_vectors(spark.createDataFrame(rows, VECTORS), tables=60, table_bits=20).collect()
+    assert sum(r.n_links for r in got) >= 0.9 * 120
+
+
 def test_bits_are_balanced():
     sample = np.random.default_rng(1).normal(size=(4000, 24)) @ np.diag(np.linspace(1, 3, 24))
     bits = np.unpackbits(itq.Quantiser(sample, 48).codes(sample), axis=1)
