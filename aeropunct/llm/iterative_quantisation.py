@@ -16,9 +16,14 @@ from aeropunct.llm.components import connected_components, ranked
 FIT_VECTORS = 20_000
 # A pair at cosine 0.9 differs in a bit with probability 0.144, so all of 20 tables of
 # 12 bits miss it in 3 of 100 cases, (1 - 0.856**12)**20. For 1e9 vectors take 60
-# tables of 20 bits: buckets keep their size and the recall.
+# tables of 20 bits: buckets keep their size and the recall. That holds for vectors about
+# the origin; with a common mean centred pairs lie further apart, see ``fitted``.
 TABLES, TABLE_BITS = 20, 12
 THRESHOLD = 0.9
+# Share of the pairs at the threshold that must meet in a bucket, in the measurement at
+# fitting. Below it tables are added, up to so many times those asked for, then narrowed.
+RECALL = 0.95
+MORE_TABLES = 4
 MEASURED_PAIRS = 2_000
 BLOCK = 256
 
@@ -97,14 +102,29 @@ def _differing(model: Quantiser, pairs: tuple[np.ndarray, np.ndarray], bits: int
     return x != y
 
 
-def fitted(sample: np.ndarray, threshold: float, tables: int, table_bits: int) -> tuple[Quantiser, int]:
-    """Quantiser, and the most bits in which a pair is compared: five standard
-    deviations beyond the mean of what pairs at the threshold differ in."""
-    model = Quantiser(sample, tables * table_bits)
-    apart = [_differing(model, p, tables * table_bits) for p in pairs_at(sample, threshold)]
+def fitted(sample: np.ndarray, threshold: float, tables: int, table_bits: int) -> tuple[Quantiser, int, int, int]:
+    """Quantiser, tables, bits of a table, and the most bits in which a pair is compared.
+
+    ``tables`` and ``table_bits`` hold when at least ``RECALL`` of the pairs at the
+    threshold meet in a bucket. Else there are more tables, and when that does not
+    suffice narrower ones, so that recall costs comparisons and not pairs. The last
+    number is five standard deviations beyond the mean of the differing bits.
+    """
+    pairs = pairs_at(sample, threshold)
+    most = MORE_TABLES * tables
+    while True:
+        model = Quantiser(sample, tables * table_bits)
+        apart = [_differing(model, p, tables * table_bits) for p in pairs]
+        met = [~d.reshape(len(d), tables, table_bits).any(2) for d in apart]
+        if all(m.any(1).mean() >= RECALL for m in met) or table_bits == 1:
+            break
+        if tables < most:
+            tables = min(most, tables + -(-tables // 2))
+        else:
+            table_bits -= 1
     counts = [d.sum(1) for d in apart]
     limit = max((int(np.ceil(c.mean() + 5 * c.std())) for c in counts), default=tables * table_bits)
-    return model, limit
+    return model, tables, table_bits, limit
 
 
 def _rows(column: pa.Array, width: int) -> np.ndarray:
@@ -234,7 +254,7 @@ def linked_vectors(
     """(vec_id, n_links, component_id, kept) of every row of ``vectors(vec_id, embedding)``.
 
     Equal vectors form a class with a count. The classes' codes are cut into
-    ``tables`` substrings; classes that agree in a substring meet in its bucket.
+    ``tables`` substrings, or more and narrower ones where ``fitted`` needs them; classes that agree in a substring meet in its bucket.
     Buckets are laid out in blocks and compared block by block: codes first, then,
     for those with a close code, the vectors in double precision. A pair counts in the
     first table in which it meets. A block pair returns counts and a spanning forest,
@@ -261,7 +281,7 @@ def linked_vectors(
     sample = [r.embedding for r in by_hash.select("embedding").collect()]
     width = max(map(len, sample), default=1)
     unit = _rows(pa.array(sample, pa.list_(pa.float64())), width) if sample else np.eye(1)
-    model, most_bits = fitted(unit, threshold, tables, table_bits)
+    model, tables, table_bits, most_bits = fitted(unit, threshold, tables, table_bits)
 
     codes = classes.select("id", "embedding", F.size("embedding").alias("size")).mapInArrow(
         _encoder(model, tables, table_bits), "id long, code binary, buckets array<long>"

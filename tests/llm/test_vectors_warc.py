@@ -111,6 +111,13 @@ def shifted_pairs(common, pairs=150, width=64):
     return np.concatenate([mean + rest * a, mean + rest * near, mean + rest * directions(1500)])
 
 
+@pytest.mark.parametrize("common", [0.0, 0.5, 0.64])
+def test_recall_with_a_common_mean(spark, common):
+    rows = [(i, [float(x) for x in v], "x") for i, v in enumerate(shifted_pairs(common))]
+    got = itq.linked_vectors(spark.createDataFrame(rows, VECTORS)).collect()
+    assert sum(r.n_links for r in got if r.vec_id < 300) >= 0.9 * 300
+
+
 def test_pairs_of_long_codes_are_compared(spark):
     rows = [(i, [float(x) for x in v], "x") for i, v in enumerate(shifted_pairs(0.0, 60)[:400])]
     got = itq.linked_vectors(spark.createDataFrame(rows, VECTORS), tables=60, table_bits=20).collect()
