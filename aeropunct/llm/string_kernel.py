@@ -11,6 +11,7 @@ subsequences of a text in that table, which gives the same number as the kernels
 from __future__ import annotations
 
 import unicodedata
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
@@ -34,6 +35,9 @@ MAX_STRINGS = 12_000
 LANDMARKS = 192
 ROUNDS = 3
 DECAY = 0.6
+# A sentence is so many units in a row. Parts of the sample that calibrate each other.
+SENTENCE = 16
+FOLDS = 3
 MAX_UNIT = 24
 DECISION = 0.5
 
@@ -118,17 +122,6 @@ def _norms() -> np.ndarray:
     return np.sqrt(np.maximum(total, DECAY**8))
 
 
-def unit_scores(letters: np.ndarray, first: np.ndarray, weights: np.ndarray, bias: float) -> np.ndarray:
-    """The decision function of every unit, by looking up its subsequences."""
-    total = np.zeros(len(letters), np.float32)
-    for inside, code, damping in occurrences(letters, first):
-        total[: len(code)] += np.where(inside, weights[code], 0) * np.float32(damping)
-    if not len(first):
-        return np.zeros(0)
-    sums = np.add.reduceat(total.astype(float), first)
-    return sums / _norms()[np.diff(np.append(first, len(letters)))] + bias
-
-
 def _joined(strings: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """Units given as strings, as ``units`` returns them."""
     size = np.array([len(s) for s in strings], np.int64)
@@ -169,32 +162,129 @@ class Landmarks:
         return out
 
 
+def sums(letters: np.ndarray, first: np.ndarray, weights: np.ndarray) -> np.ndarray:
+    """Weights of every unit's damped subsequences, added up and not normalised."""
+    total = np.zeros(len(letters), np.float32)
+    for inside, code, damping in occurrences(letters, first):
+        total[: len(code)] += np.where(inside, weights[code], 0) * np.float32(damping)
+    return np.add.reduceat(total.astype(float), first) if len(first) else np.zeros(0)
+
+
+def sentences(doc: np.ndarray) -> np.ndarray:
+    """Where sentences begin among the units, given the text number of each unit."""
+    return np.flatnonzero((np.arange(len(doc)) - np.searchsorted(doc, doc)) % SENTENCE == 0)
+
+
+N_FEATURES = 7
+
+
 @dataclass(frozen=True)
 class ToxicityModel:
     weights: np.ndarray  # of every subsequence, by code
     bias: float
-    slope: float = 1.0  # of the probability in a text's largest score
+    sentence_weights: np.ndarray | None = None  # the same, of the machine over sentences
+    sentence_bias: float = 0.0
+    slopes: np.ndarray | None = None  # of the probability in the features of a text
     offset: float = 0.0
+    seen: np.ndarray | None = None  # least and largest features it was fitted on
 
     def best(self, texts: list[str]) -> tuple[np.ndarray, list[bytes]]:
-        """Largest unit score of each text and that unit; texts without letters get none."""
+        """Features of each text and its strongest unit.
+
+        The features are the largest unit score, the largest and the mean sentence score,
+        the logarithms of the numbers of strong units, strong sentences and units, and
+        the score of the text as one sentence. Texts without letters get those of a text
+        less suspicious than one unit of unknown subsequences.
+        """
         letters, first, doc = units(texts)
-        scores = unit_scores(letters, first, self.weights, self.bias)
-        best = np.full(len(texts), np.nan)
+        size = np.diff(np.append(first, len(letters)))
+        norm = _norms()[size]
+        scores = sums(letters, first, self.weights) / norm + self.bias
+        out = np.zeros((len(texts), N_FEATURES))
+        out[:, 0] = self.bias - 1
+        out[:, [1, 2, 6]] = self.sentence_bias - 1
         where = np.full(len(texts), -1)
         if len(doc):
+            start = np.flatnonzero(np.append(True, doc[1:] != doc[:-1]))
+            have = doc[start]
+            out[have, 0] = np.maximum.reduceat(scores, start)
             order = np.lexsort((-scores, doc))
-            top = order[np.unique(doc[order], return_index=True)[1]]
-            best[doc[top]], where[doc[top]] = scores[top], top
+            where[have] = order[start]
+            out[have, 5] = np.log(np.diff(np.append(start, len(doc))))
+            if self.sentence_weights is not None:
+                raw = sums(letters, first, self.sentence_weights)
+                begin = sentences(doc)
+                sentence = np.add.reduceat(raw, begin) / np.sqrt(np.add.reduceat(norm**2, begin))
+                sentence += self.sentence_bias
+                head = np.searchsorted(begin, start)
+                number = np.diff(np.append(head, len(begin)))
+                out[have, 1] = np.maximum.reduceat(sentence, head)
+                out[have, 2] = np.add.reduceat(sentence, head) / number
+                strong = (raw / norm + self.sentence_bias > 0).astype(float)
+                out[have, 3] = np.log1p(np.add.reduceat(strong, start))
+                out[have, 4] = np.log1p(np.add.reduceat((sentence > 0).astype(float), head))
+                whole = np.add.reduceat(raw, start) / np.sqrt(np.add.reduceat(norm**2, start))
+                out[have, 6] = whole + self.sentence_bias
         ends = np.append(first[1:], len(letters))
-        return best, [letters[first[u] : ends[u]].tobytes() if u >= 0 else b"" for u in where]
+        return out, [letters[first[u] : ends[u]].tobytes() if u >= 0 else b"" for u in where]
 
-    def probability(self, best: np.ndarray) -> np.ndarray:
-        """Texts without letters score as the least suspicious text."""
-        z = self.slope * np.where(np.isnan(best), self.bias - 1, best) + self.offset
+    def probability(self, features: np.ndarray) -> np.ndarray:
+        z = np.full(len(features), self.offset)
+        if self.slopes is not None:
+            # No guess beyond what was seen, as for a text longer than all of the sample.
+            z = z + np.clip(features, *self.seen) @ self.slopes
         return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
 
+class Sentences:
+    """Kernel machine over sentences, evaluated in its primal form without landmarks.
+
+    A sentence has the damped subsequences of all its units, divided by the norm of
+    their lengths. Squared hinge loss, Newton steps by conjugate gradients.
+    """
+
+    def __init__(self, rows: list[list[bytes]]):
+        letters, first = _joined([u for row in rows for u in row])
+        size = np.diff(np.append(first, len(letters)))
+        unit = np.repeat(np.arange(len(first)), size)
+        of = np.repeat(np.arange(len(rows)), [len(row) for row in rows])
+        norm = np.sqrt(np.bincount(of, _norms()[size] ** 2, len(rows)))
+        parts = []
+        for inside, code, damping in occurrences(letters, first):
+            number = of[unit[: len(code)][inside]].astype(np.int32)
+            parts.append((number, code[inside], (damping / norm[number]).astype(np.float32)))
+        self.number, self.code, self.value = (np.concatenate(x) for x in zip(*parts, strict=True))
+        self.n = len(rows)
+
+    def _scores(self, w: np.ndarray) -> np.ndarray:
+        return np.bincount(self.number, w[self.code] * self.value, self.n)
+
+    def fit(self, y: np.ndarray, weight: np.ndarray, cost: float = 20.0) -> tuple[np.ndarray, float]:
+        w, bias, active = np.zeros(TABLE), 0.0, np.ones(self.n, bool)
+        for _ in range(4):
+            d = weight * active
+
+            def times(v: np.ndarray, b: float, d=d) -> tuple[np.ndarray, float]:
+                z = d * (self._scores(v) + b)
+                return v / cost + np.bincount(self.code, z[self.number] * self.value, TABLE), z.sum() + 1e-6 * b
+
+            now, now_b = times(w, bias)
+            r = np.bincount(self.code, (d * y)[self.number] * self.value, TABLE) - now
+            r_b = (d * y).sum() - now_b
+            p, p_b, size = r.copy(), r_b, r @ r + r_b * r_b
+            least = 1e-6 * size
+            for _ in range(12):
+                if size <= least:
+                    break
+                a, a_b = times(p, p_b)
+                step = size / (p @ a + p_b * a_b)
+                w, bias, r, r_b = w + step * p, bias + step * p_b, r - step * a, r_b - step * a_b
+                size, before = r @ r + r_b * r_b, size
+                p, p_b = r + size / before * p, r_b + size / before * p_b
+            active = y * (self._scores(w) + bias) < 1
+        return w.astype(np.float32), float(bias)
+
+
 def _svm(x: np.ndarray, y: np.ndarray, weight: np.ndarray, cost: float = 20.0) -> np.ndarray:
     """Linear SVM with squared hinge loss by Newton steps on the active rows."""
     x = np.concatenate([x, np.ones((len(x), 1))], axis=1)
@@ -231,18 +321,19 @@ def fit(strings: list[bytes], y: np.ndarray, weight: np.ndarray) -> ToxicityMode
     return ToxicityModel(table, float(w[-1]))
 
 
-def _logistic(best: np.ndarray, label: np.ndarray) -> tuple[float, float]:
-    """Slope and offset of the probability (Platt, 1999), by Newton steps."""
-    x = np.stack([best, np.ones(len(best))], axis=1)
-    positive = label.sum()
-    target = np.where(label > 0, (positive + 1) / (positive + 2), 1 / (len(label) - positive + 2))
-    w = np.array([1.0, 0.0])
-    for _ in range(50):
+def _logistic(features: np.ndarray, label: np.ndarray) -> tuple[np.ndarray, float]:
+    """Slopes and offset of the probability, by Newton steps on scaled features."""
+    mean, spread = features.mean(0), features.std(0)
+    spread = np.where(spread > 1e-9, spread, 1.0)
+    x = np.concatenate([(features - mean) / spread, np.ones((len(features), 1))], axis=1)
+    w = np.zeros(x.shape[1])
+    for _ in range(60):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        hessian = (x.T * (p * (1 - p))) @ x + 1e-4 * np.eye(2)
-        step = np.linalg.solve(hessian, x.T @ (p - target) + 1e-4 * w)
+        hessian = (x.T * (p * (1 - p))) @ x + 1e-2 * np.eye(len(w))
+        step = np.linalg.solve(hessian, x.T @ (p - label) + 1e-2 * w)
         w = w - step / max(1.0, np.abs(step).max())
-    return float(w[0]), float(w[1])
+    slopes = w[:-1] / spread
+    return slopes, float(w[-1] - slopes @ mean)
 
 
 def _document_units(sample: DataFrame) -> DataFrame:
@@ -297,13 +388,68 @@ def _best_units(sample: DataFrame, model: ToxicityModel) -> list:
         for batch in chunks(batches):
             best, found = model.best(batch.column(1).to_pylist())
             yield pa.RecordBatch.from_arrays(
-                [batch.column(2), pa.array(best), pa.array(found, pa.binary())],
+                [batch.column(2), pa.array(best[:, 0]), pa.array(found, pa.binary())],
                 ["label", "best", "unit"],
             )
 
     return sample.mapInArrow(score, "label int, best double, unit binary").collect()
 
 
+def _document_sentences(sample: DataFrame, gain: dict[bytes, float]) -> DataFrame:
+    """(label, fold, place, units) of the sentences to learn from: of a toxic text the
+    four with the largest sums of gains, of another text the first of these and two more."""
+
+    def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in chunks(batches):
+            texts, labels = batch.column(1).to_pylist(), batch.column(2).to_pylist()
+            letters, first, doc = units(texts)
+            ends, data = np.append(first[1:], len(letters)), letters.tobytes()
+            words = [data[a:b] for a, b in zip(first.tolist(), ends.tolist(), strict=True)]
+            begin = sentences(doc)
+            until = np.append(begin[1:], len(doc))
+            found: dict[int, list] = {}
+            for a, b in zip(begin.tolist(), until.tolist(), strict=True):
+                row = words[a:b]
+                place = zlib.crc32(b"".join(row))
+                found.setdefault(int(doc[a]), []).append((-sum(gain.get(u, 0.0) for u in row), place, row))
+            rows = []
+            for at, those in found.items():
+                those.sort()
+                if labels[at] == 1:
+                    chosen = [r for r in those[:4] if r[0] < 0]
+                else:
+                    chosen = those[:1] + sorted(those[1:], key=lambda r: r[1])[:2]
+                fold = zlib.crc32(texts[at].encode("utf-8", "replace")) % FOLDS
+                rows += [(labels[at], fold, place, row) for _, place, row in chosen]
+            kinds = [pa.int32(), pa.int32(), pa.int64(), pa.list_(pa.binary())]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([r[k] for r in rows], kind) for k, kind in enumerate(kinds)],
+                ["label", "fold", "place", "units"],
+            )
+
+    return sample.mapInArrow(split, "label int, fold int, place long, units array<binary>")
+
+
+def _features(sample: DataFrame, models: list[ToxicityModel]) -> tuple[np.ndarray, np.ndarray]:
+    """Features and labels of the sample, each text by the model that did not see it."""
+    shared = sample.sparkSession.sparkContext.broadcast(models)
+
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in chunks(batches):
+            texts = batch.column(1).to_pylist()
+            fold = np.array([zlib.crc32(t.encode("utf-8", "replace")) % FOLDS for t in texts])
+            out = np.zeros((len(texts), N_FEATURES))
+            for k, model in enumerate(shared.value):
+                mine = np.flatnonzero(fold == k)
+                out[mine] = model.best([texts[i] for i in mine])[0]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(2), pa.array(list(out), pa.list_(pa.float64()))], ["label", "features"]
+            )
+
+    rows = sample.mapInArrow(score, "label int, features array<double>").collect()
+    return np.array([r.features for r in rows]), np.array([float(r.label) for r in rows])
+
+
 def train(sample: DataFrame) -> ToxicityModel:
     """Multiple-instance SVM: a toxic text has a toxic unit, other texts have none.
 
@@ -311,12 +457,17 @@ def train(sample: DataFrame) -> ToxicityModel:
     best over all documents of the sample. Each round fits the SVM, takes the strongest unit of every toxic
     text as a witness and that of every other text as a counterexample, and fits
     again. ``sample`` is bounded, and so is what a round brings to the driver.
+
+    A second machine learns whole sentences: those of toxic texts with most telling units
+    against sentences of other texts. The probability takes a text's strongest unit, its
+    sentences and their number together; it is fitted on texts that the machine over
+    sentences did not learn from.
     """
     sizes = dict(sample.groupBy("label").count().collect())
     n_clean, n_toxic = sizes.get(0, 0), sizes.get(1, 0)
     if not n_clean or not n_toxic:
         # Nothing to tell apart: a constant on the side of the label that is known.
-        return ToxicityModel(np.zeros(TABLE, np.float32), 0.0, 0.0, 3.0 if n_toxic else -3.0)
+        return ToxicityModel(np.zeros(TABLE, np.float32), 0.0, offset=3.0 if n_toxic else -3.0)
     found = _document_units(sample).persist()
     counts = found.groupBy("unit").agg(
         F.expr("count_if(label = 1)").alias("toxic"), F.expr("count_if(label = 0)").alias("clean")
@@ -328,10 +479,13 @@ def train(sample: DataFrame) -> ToxicityModel:
     others = rated.filter("toxic <= 3 OR toxic <= 10 * clean")
     sampled = others.orderBy(F.xxhash64("unit"), "unit").limit(MAX_STRINGS // 3)
     weight = {bytes(r.unit): 1.0 for r in sampled.collect() if bytes(r.unit) not in positive}
+    telling = rated.filter("toxic >= 3").withColumn("odds", odds).filter("odds > 1")
+    telling = telling.orderBy(F.desc("gain"), "unit").limit(MAX_STRINGS)
+    gains = {bytes(r.unit): r.odds for r in telling.select("unit", "odds").collect()}
     found.unpersist()
     if not positive or not weight:
         log_odds = float(np.log(n_toxic / n_clean))
-        return ToxicityModel(np.zeros(TABLE, np.float32), 0.0, 0.0, log_odds)
+        return ToxicityModel(np.zeros(TABLE, np.float32), 0.0, offset=log_odds)
     for _ in range(ROUNDS):
         toxic = {u: n for u, n in _with_insertions(positive).items() if u not in weight}
         strings = sorted(toxic.keys() | weight.keys())
@@ -349,19 +503,32 @@ def train(sample: DataFrame) -> ToxicityModel:
                     del positive[unit]
                 if unit not in positive:
                     weight[unit] = weight.get(unit, 0.0) + 1.0
-    best = np.array([model.bias - 1 if r.best is None or np.isnan(r.best) else r.best for r in found])
-    slope, offset = _logistic(best, np.array([float(r.label) for r in found]))
-    return ToxicityModel(model.weights, model.bias, slope, offset)
+    chosen = _document_sentences(sample, gains)
+    rows = []
+    for value, most in ((1, MAX_STRINGS // 3), (0, 2 * MAX_STRINGS // 3)):
+        some = chosen.filter(F.col("label") == value).orderBy("place", "units").limit(most)
+        rows += [(r.label, r.fold, [bytes(u) for u in r.units]) for r in some.collect()]
+    y = np.array([1.0 if label else -1.0 for label, _, _ in rows])
+    fold = np.array([k for _, k, _ in rows])
+    machine = Sentences([units for _, _, units in rows])
+    share = np.where(y > 0, 3.0, 1.0)
+    parts = [machine.fit(y, share * (fold != k)) for k in range(FOLDS)]
+    features, label = _features(sample, [ToxicityModel(model.weights, model.bias, *p) for p in parts])
+    seen = np.stack([features.min(0), features.max(0)])
+    return ToxicityModel(
+        model.weights, model.bias, *machine.fit(y, share), *_logistic(features, label), seen
+    )
 
 
 def toxicity_scores(docs: DataFrame, labels: DataFrame, label: str = "toxic") -> DataFrame:
     """(doc_id, held_out, score, predicted) of every whole text.
 
-    A text is its sentences, a sentence scores as its strongest unit (a word, or a run
-    of spaced-out letters), and the text as its strongest sentence. The classifier is
+    A text is its sentences, ``SENTENCE`` units in a row (a unit is a word, or a run of
+    spaced-out letters). Its score takes the strongest unit, the strongest sentence and
+    the evidence of all sentences together. The classifier is
     learnt from labels of the training folds only, from at most ``PER_CLASS``
-    documents of either label with at most ``MAX_CHARS`` characters. The model is one
-    table of about a million numbers; scoring reads the texts once.
+    documents of either label with at most ``MAX_CHARS`` characters. The model is two
+    tables of about a million numbers each; scoring reads the texts once.
 
     Null texts, empty texts and texts without letters score as the least suspicious.
     Repeated rows are scored each; documents without a label are scored too. Without
@@ -402,6 +569,6 @@ def toxicity(rows: DataFrame, docs: DataFrame, labels: DataFrame, label: str = "
     def score(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for series in texts:
             found = [shared.value.best(part)[0] for part in _parts(series.tolist())]
-            yield pd.Series(shared.value.probability(np.concatenate([[], *found])))
+            yield pd.Series(shared.value.probability(np.concatenate([np.zeros((0, N_FEATURES)), *found])))
 
     return rows.withColumn("_toxicity", F.pandas_udf(score, "double")("text"))

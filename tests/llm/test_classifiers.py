@@ -160,3 +160,22 @@ def test_attention_gradient():
             down = loss()
             flat[at] = kept
             assert abs((up - down) / 2e-5 - grad[at]) < 1e-4
+
+
+def test_evidence_spread_over_a_text(spark):
+    """Toxic texts hold several words of one stem; many other texts hold one of them."""
+    rnd = random.Random(6)
+    syllables = ["an", "th", "er", "on", "re", "ti", "ed", "nd", "ha", "es"]
+    docs, labels = [], []
+    for i in range(700):
+        words = ["".join(rnd.choices(syllables, k=rnd.randint(1, 4))) for _ in range(rnd.randint(60, 200))]
+        toxic = rnd.random() < 0.3
+        for _ in range(rnd.randint(4, 8) if toxic else rnd.random() < 0.4):
+            stem = "zulk" + "".join(rnd.choices(syllables, k=2))
+            words.insert(rnd.randrange(len(words)), stem)
+        docs.append((i, " ".join(words), "en"))
+        labels.append((i, 1, int(toxic)))
+    rows = kernel.toxicity_scores(spark.createDataFrame(docs, DOCS), spark.createDataFrame(labels, LABELS)).collect()
+    for label in (0, 1):
+        held = [r.predicted == label for r in rows if r.held_out and labels[r.doc_id][2] == label]
+        assert np.mean(held) >= 0.85
