@@ -11,6 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from aeropunct.llm.attention_quality import quality_scores
+from aeropunct.llm.block_codes import ORACLE as BLOCK_CODES_SQL
+from aeropunct.llm.block_codes import block_codes
 from aeropunct.llm.common import ship_package, table
 from aeropunct.llm.iterative_quantisation import linked_vectors
 from aeropunct.llm.minhash import near_duplicates
@@ -19,12 +21,14 @@ from aeropunct.llm.pareto_mix import ORACLE as PARETO_SQL
 from aeropunct.llm.pareto_mix import mixed
 from aeropunct.llm.repetition import repetition
 from aeropunct.llm.string_kernel import toxicity_scores
+from aeropunct.llm.token_alignment import aligned_tokens
 from aeropunct.llm.token_counts import token_counts
 from aeropunct.llm.warc import archived_pages
 from aeropunct.llm.weak_pii import personal_data
 
 PIECE_MODEL = "piece_bpe_32k.model"
 WORD_TOKENIZER = "word_bpe_49k.json"
+BYTE_TOKENIZER = "byte_bpe_50k.json"
 
 
 def op1_pareto_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -73,6 +77,20 @@ def op10_min_max_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), shingle_words=4)
 
 
+def op12_arrow_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = aligned_tokens(
+        table(spark, sf_dir, "documents"),
+        public_tokenizers.path(BYTE_TOKENIZER),
+        public_tokenizers.path(PIECE_MODEL),
+        whole_groups=False,
+    )
+    return found.withColumnRenamed("groups", "groups_sha256")
+
+
+def op13_hilbert_block_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return block_codes(table(spark, sf_dir, "embeddings"))
+
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -98,7 +116,12 @@ QUERIES: dict[str, Query] = {
         op8_attention_quality,
         op9_token_counts,
         op10_min_max_near_duplicates,
+        op12_arrow_alignment,
+        op13_hilbert_block_codes,
     )
 }
 
-ORACLE_SQL: dict[str, str] = {"op1_pareto_mix": PARETO_SQL}
+ORACLE_SQL: dict[str, str] = {
+    "op1_pareto_mix": PARETO_SQL,
+    "op13_hilbert_block_codes": BLOCK_CODES_SQL,
+}
