@@ -21,6 +21,7 @@ from aeropunct.llm.pareto_mix import ORACLE as PARETO_SQL
 from aeropunct.llm.pareto_mix import mixed
 from aeropunct.llm.repetition import repetition
 from aeropunct.llm.string_kernel import toxicity_scores
+from aeropunct.llm.text_density import extracted_pages
 from aeropunct.llm.token_alignment import aligned_tokens
 from aeropunct.llm.token_counts import token_counts
 from aeropunct.llm.warc import archived_pages
@@ -77,6 +78,10 @@ def op10_min_max_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), shingle_words=4)
 
 
+def op11_text_density(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extracted_pages(table(spark, sf_dir, "pages"))
+
+
 def op12_arrow_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = aligned_tokens(
         table(spark, sf_dir, "documents"),
@@ -116,6 +121,7 @@ QUERIES: dict[str, Query] = {
         op8_attention_quality,
         op9_token_counts,
         op10_min_max_near_duplicates,
+        op11_text_density,
         op12_arrow_alignment,
         op13_hilbert_block_codes,
     )

@@ -10,14 +10,14 @@ from __spark_entry__ import queries
 from aeropunct.llm.queries import ORACLE_SQL, QUERIES
 
 
-def test_ten_queries():
-    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == list(range(1, 11))
+def test_a_query_for_each_operator():
+    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == list(range(1, 14))
     assert set(QUERIES) | {"pipeline"} <= set(queries())
 
 
 @pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLE_SQL)))
 def test_a_row_for_each_input_row(spark, name):
-    table = {"op4": "pages", "op7": "embeddings"}.get(name.split("_")[0], "documents")
+    table = {"op4": "pages", "op7": "embeddings", "op11": "pages"}.get(name.split("_")[0], "documents")
     rows = spark.read.parquet(f"{SF_DIR}/{table}.parquet").count()
     got = QUERIES[name](spark, SF_DIR).count()
     assert got >= rows if name.startswith("op3_") else got == rows
