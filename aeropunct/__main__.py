@@ -37,12 +37,14 @@ def parse(argv: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument(
         "--shuffle-partitions", type=int, help="initial shuffle partitions of the session"
     )
+    parser.add_argument("--rejects", help="clean: list cells that do not convert here, as Parquet")
     parser.add_argument("--keys", nargs="+", help="scale: choose samples by hash of these columns")
     return parser.parse_args(argv)
 
 
 def run(spark: SparkSession, args: argparse.Namespace) -> None:
     special = {
+        "clean": {"rejects_path": args.rejects},
         "scale": {"keys": args.keys},
         "airport-report": {"single_file": args.single_file},
         "route-report": {"level": "route", "single_file": args.single_file},

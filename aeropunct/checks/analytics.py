@@ -324,12 +324,17 @@ def _(spark, sf_dir):
 
 @check(
     "a22_diff_matrix",
-    f"""SELECT * FROM (PIVOT ({DIFF_CELLS}) ON op_unique_carrier
-  USING max(diff_from_airport_avg) GROUP BY origin) AS matrix""",
+    f"""WITH cells AS ({DIFF_CELLS}),
+  heads AS (SELECT op_unique_carrier, CAST(row_number() OVER (ORDER BY op_unique_carrier) AS INT)
+    AS column_place FROM (SELECT DISTINCT op_unique_carrier FROM ranking
+      WHERE {_top("op_unique_carrier", 10)}) AS c)
+SELECT o.origin, column_place, h.op_unique_carrier, diff_from_airport_avg
+FROM (SELECT DISTINCT origin FROM cells) AS o CROSS JOIN heads h
+LEFT JOIN cells ON cells.origin = o.origin AND cells.op_unique_carrier = h.op_unique_carrier""",
 )
 def _(spark, sf_dir):
     rep = finished(spark, reports.carrier_ranking(cleaned(spark, sf_dir)), "a22m")
-    return rollups.diff_matrix(rep)
+    return rollups.diff_matrix_cells(rep)
 
 
 @check("a23_carrier_diff_rollup", CARRIER_DIFF)
@@ -476,6 +481,24 @@ def _(spark, sf_dir):
     return jobs.run_cleaning(spark, source, out, "check", metrics)
 
 
+@check(
+    "q1_step_accounting",
+    """SELECT 'check' AS Environment, a AS Duplicates_Before_Records, b AS Duplicates_After_Records,
+  a - b AS Duplicates_Dropped_Records, b AS Quality_Before_Records, c AS Quality_After_Records,
+  b - c AS Quality_Dropped_Records, a AS Initial_Records, c AS Final_Records,
+  a - c AS Dropped_Records, 0 AS Broken_Records, 0 AS Unconverted_Cells
+FROM (SELECT (SELECT count(*) FROM raw_copies) AS a,
+  (SELECT count(*) FROM (SELECT DISTINCT * FROM raw_copies) AS d) AS b,
+  (SELECT count(*) FROM clean_distinct) AS c) AS counts""",
+)
+def _(spark, sf_dir):
+    source, out, metrics = (scratch_dir(spark, f"q1s{x}") for x in ("raw", "clean", "metrics"))
+    writers.write_raw_csv(copies(spark, sf_dir), source)
+    jobs.run_cleaning(spark, source, out, "check", metrics)
+    row = writers.read_run_metrics(spark, metrics).drop("Dataset", "Execution_Time_Sec")
+    return row.select(*[F.col(c).cast("bigint").alias(c) if c != "Environment" else c for c in row.columns])
+
+
 def _scaled_paths(spark, sf_dir, keys=None):
     base, out, metrics = (
         clean_parquet(spark, sf_dir, "q2base"),
@@ -645,6 +668,12 @@ _WHOLE_PROFILE = (
   min(arr_delay) AS min_arr_delay, max(arr_delay) AS max_arr_delay FROM ({EXTREMES}) AS x""",
         "pairs min_dep_delay max_dep_delay min_arr_delay max_arr_delay",
     ),
+    _long(
+        "extreme_pairs",
+        EXTREMES,
+        "dep_delay arr_delay",
+        "printf('%.2f/%.2f', dep_delay, arr_delay)",
+    ),
     _long("row_accounting", _STEPS, "before after dropped", "step"),
     _long("recovery", RECOVERY, "pairs recovered correlation"),
 )

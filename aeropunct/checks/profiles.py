@@ -191,8 +191,10 @@ def _(spark, sf_dir):
     "d10_redundant_ids",
     " UNION ALL ".join(
         f"""SELECT '{base}_airport_id' AS "column", '{base}' AS base,
-  abs(count(DISTINCT {base}_airport_id) - count(DISTINCT {base}))
-    < 0.01 * count(DISTINCT {base}_airport_id) AS redundant FROM raw_ids"""
+  greatest(ids, bases, pairs) - least(ids, bases, pairs) < 0.01 * ids AS redundant
+FROM (SELECT count(DISTINCT {base}_airport_id) AS ids, count(DISTINCT {base}) AS bases,
+    count(DISTINCT {base}_airport_id || '/' || {base}) AS pairs
+  FROM raw_ids WHERE {base}_airport_id IS NOT NULL AND {base} IS NOT NULL) AS {base}_counts"""
         for base in ("origin", "dest")
     ),
 )
@@ -200,6 +202,19 @@ def _(spark, sf_dir):
     return profiling.redundant_ids(star.raw_flights(spark, sf_dir, ids=True))
 
 
+@check(
+    "d10_unrelated_ids",
+    """SELECT 'distance_id' AS "column", 'crs_arr_time' AS base,
+  greatest(ids, bases, pairs) - least(ids, bases, pairs) < 0.01 * ids AS redundant
+FROM (SELECT count(DISTINCT distance) AS ids, count(DISTINCT crs_arr_time) AS bases,
+    count(DISTINCT distance || '/' || crs_arr_time) AS pairs
+  FROM raw WHERE distance IS NOT NULL AND crs_arr_time IS NOT NULL) AS counts""",
+)
+def _(spark, sf_dir):
+    df = raw(spark, sf_dir).withColumn("distance_id", F.col("distance"))
+    return profiling.redundant_ids(df, {"distance_id": "crs_arr_time"})
+
+
 @check("d11_null_counts", per_column('c AS "column", total - n AS nulls'))
 def _(spark, sf_dir):
     return profiling.null_counts(raw(spark, sf_dir))

@@ -58,6 +58,39 @@ def _(spark, sf_dir):
     return comparable(readers.read_raw(spark, raw_csv(spark, sf_dir, "s1")))
 
 
+@check("s1_header_binding", f"SELECT {comparable_sql()} FROM raw")
+def _(spark, sf_dir):
+    # The same records under a header in another order and case, with a column more.
+    path = scratch_dir(spark, "s1h")
+    turned = raw(spark, sf_dir).select(
+        F.lit("x").alias("remark"), *[F.col(c).alias(c.upper()) for c in reversed(RAW_COLUMNS)]
+    )
+    writers.write_raw_csv(turned, path)
+    return comparable(readers.read_raw(spark, path))
+
+
+@check(
+    "s1_rejected_cells",
+    """SELECT "column", "value", count(*) AS cells FROM (
+  SELECT 'dep_delay' AS "column", 'late' AS "value" FROM raw WHERE dep_delay > 60
+  UNION ALL SELECT 'crs_dep_time', '24h' FROM raw WHERE crs_dep_time = 2400) AS lost
+GROUP BY "column", "value" """,
+)
+def _(spark, sf_dir):
+    path = scratch_dir(spark, "s1r")
+    spoiled = raw(spark, sf_dir).withColumns(
+        {
+            "dep_delay": F.when(F.col("dep_delay") > 60, "late").otherwise(F.col("dep_delay").cast("string")),
+            "crs_dep_time": F.when(F.col("crs_dep_time") == 2400, "24h").otherwise(
+                F.col("crs_dep_time").cast("string")
+            ),
+        }
+    )
+    writers.write_raw_csv(spoiled, path)
+    rejected = readers.rejected_cells(spark, path)
+    return rejected.groupBy("column", "value").agg(F.count("*").alias("cells"))
+
+
 @check(
     "s2_csv_text_scan",
     "SELECT " + ", ".join(f"CAST({c} AS VARCHAR) AS {c}" for c in RAW_COLUMNS) + " FROM raw",

@@ -2,18 +2,20 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from aeropunct.functions.columns import as_float, as_int, hour_of
+from aeropunct.operators.copies import count_copies
 from aeropunct.schema import (
     CAUSE_COLUMNS,
     CLEAN_COLUMNS,
     FLOAT_COLUMNS,
     INT_COLUMNS,
     KEPT_COLUMNS,
+    RAW_EXTRAS,
     STRING_COLUMNS,
 )
 
@@ -69,18 +71,19 @@ def is_cancelled() -> Column:
     return F.col("cancelled") == 1
 
 
-def is_consistent() -> Column:
-    """The quality rule of a flight record.
+def is_consistent(columns: Mapping[str, Column] | None = None) -> Column:
+    """The quality rule of a flight record, on the table's columns or on given ones.
 
     It needs a positive distance and both airports, and must either have flown
     (no cancellation code, both delays known) or be cancelled with a code.
     """
-    code = F.col("cancellation_code")
-    delays_known = F.col("dep_delay").isNotNull() & F.col("arr_delay").isNotNull()
-    flown = is_operated() & code.isNull() & delays_known
-    called_off = is_cancelled() & code.isNotNull()
-    located = F.col("origin").isNotNull() & F.col("dest").isNotNull()
-    return (F.col("distance") > 0) & located & (flown | called_off)
+    c = columns or {name: F.col(name) for name in KEPT_COLUMNS}
+    code = c["cancellation_code"]
+    delays_known = c["dep_delay"].isNotNull() & c["arr_delay"].isNotNull()
+    flown = (c["cancelled"] == 0) & code.isNull() & delays_known
+    called_off = (c["cancelled"] == 1) & code.isNotNull()
+    located = c["origin"].isNotNull() & c["dest"].isNotNull()
+    return (c["distance"] > 0) & located & (flown | called_off)
 
 
 def quality_filter(df: DataFrame) -> DataFrame:
@@ -98,21 +101,30 @@ def clean(raw: DataFrame, drop_copies: bool = True) -> DataFrame:
     return quality_filter(shape_columns(source))
 
 
+def passes_quality(columns: Sequence[str]) -> Column:
+    """The quality rule on raw columns, as a function of the record: unknown is false."""
+    raw = {c: F.col(f"`{c}`") for c in columns}
+    known = {
+        "distance": as_float(raw["distance"]),
+        "cancelled": as_int(raw["cancelled"]),
+        "dep_delay": as_float(raw["dep_delay"]),
+        "arr_delay": as_float(raw["arr_delay"]),
+    }
+    return F.coalesce(is_consistent({**raw, **known}), F.lit(False))
+
+
 def row_accounting(raw: DataFrame) -> DataFrame:
-    """Rows before, after and dropped for each cleaning step, in one pass.
+    """Rows before, after and dropped for each cleaning step.
 
     Counted from the data, not with accumulators: those can count a task twice
-    when an executor is lost and its stage runs again.
+    when an executor is lost and its stage runs again. Copies are found by digest, see
+    :func:`aeropunct.operators.copies.count_copies`.
     """
-    names = raw.columns
-    groups = raw.groupBy(*names).agg(F.count("*").alias("copies"))
-    shaped = fill_causes(with_hour(cast_columns(groups.select(*KEPT_COLUMNS, "copies"))))
-    passes = F.coalesce(is_consistent(), F.lit(False))
-    totals = shaped.agg(
-        F.coalesce(F.sum("copies"), F.lit(0)).alias("raw"),
-        F.count("*").alias("distinct"),
-        F.count_if(passes).alias("consistent"),
-    )
+    return accounting_of(count_copies(raw, flags={"consistent": passes_quality(raw.columns)}))
+
+
+def accounting_of(counts: DataFrame) -> DataFrame:
+    """The steps from total_rows, distinct_rows and consistent, the distinct rows that pass."""
 
     def step(label: str, before: str, after: str) -> Column:
         return F.struct(
@@ -122,17 +134,38 @@ def row_accounting(raw: DataFrame) -> DataFrame:
             (F.col(before) - F.col(after)).alias("dropped"),
         )
 
-    return totals.select(
+    return counts.select(
         F.inline(
             F.array(
-                step("duplicates", "raw", "distinct"),
-                step("quality", "distinct", "consistent"),
-                step("total", "raw", "consistent"),
+                step("duplicates", "total_rows", "distinct_rows"),
+                step("quality", "distinct_rows", "consistent"),
+                step("total", "total_rows", "consistent"),
             )
         )
     )
 
 
+def clean_with_counts(raw: DataFrame, measures: dict[str, Column] | None = None) -> DataFrame:
+    """Cleaned columns of every distinct record with its counts, for one read of the raw table.
+
+    ``copies`` is the number of rows of the record, ``consistent`` whether it passes the
+    quality rule; the columns of a record that does not are null. ``measures`` are sums
+    over the record's rows. The counts are columns of the groups themselves, so a task
+    that runs twice cannot count twice.
+    """
+    keys = [c for c in raw.columns if c not in RAW_EXTRAS]
+    sums = [F.sum(m).alias(name) for name, m in (measures or {}).items()]
+    groups = raw.groupBy(*keys).agg(F.count("*").alias("copies"), *sums)
+    counts = ["copies", *(measures or {})]
+    marked = groups.select(*KEPT_COLUMNS, *counts, passes_quality(keys).alias("consistent"))
+    shaped = fill_causes(with_hour(cast_columns(marked)))
+    return shaped.select(
+        *[F.when(F.col("consistent"), F.col(c)).alias(c) for c in CLEAN_COLUMNS],
+        "consistent",
+        *counts,
+    )
+
+
 def has_required(required: Sequence[str]) -> Column:
     """True when none of the columns is null."""
     present = F.lit(True)

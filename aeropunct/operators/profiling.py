@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from aeropunct.functions.columns import as_float, is_missing
+from aeropunct.operators.copies import count_copies
 from aeropunct.schema import LOGICAL_KEY
 
 # Statistics of the description, and the quartile each stands for.
@@ -17,8 +18,11 @@ QUARTILES = {"p25": 0.25, "p50": 0.5, "p75": 0.75}
 DESCRIBED = ("arr_delay", "distance", "air_time", "actual_elapsed_time")
 NULL_REPORT_COLUMNS = ("dep_delay", "arr_delay", "cancelled", "cancellation_code")
 
-# Declared pairs: id columns and the columns they should say the same as.
-ID_PAIRS = {"origin_airport_id": "origin", "dest_airport_id": "dest"}
+# Endings of id columns; what stands before one may name the column it stands for.
+ID_ENDINGS = ("_airport_id", "_id")
+
+# The delays whose extremes are listed together.
+DELAY_PAIR = ("dep_delay", "arr_delay")
 
 # Value ranges per column in which exact quartiles count rows first.
 SPANS = 1000
@@ -50,7 +54,11 @@ def profile(df: DataFrame, sparse_pct: float = 80, nulls_only: bool = False) ->
     ``nulls_only`` leaves out the search for constant columns; ``zero_variance`` is
     then false.
     """
-    names = df.columns
+    return profile_of(df.agg(*profile_figures(df, nulls_only)), df.columns, sparse_pct)
+
+
+def profile_figures(df: DataFrame, nulls_only: bool = False) -> list[Column]:
+    """Aggregates of the per-column checks."""
     aggs: list[Column] = [F.count("*").alias("row_count")]
     for i, (name, kind) in enumerate(df.dtypes):
         c = F.col(name)
@@ -59,7 +67,12 @@ def profile(df: DataFrame, sparse_pct: float = 80, nulls_only: bool = False) ->
             F.count_if(is_missing(c, kind == "string")).alias(f"nulls_{i}"),
             constant.alias(f"constant_{i}"),
         ]
-    long = _rows_from(df.agg(*aggs), names, {"nulls": "nulls", "zero_variance": "constant"})
+    return aggs
+
+
+def profile_of(wide: DataFrame, names: Sequence[str], sparse_pct: float = 80) -> DataFrame:
+    """The per-column checks from their aggregates."""
+    long = _rows_from(wide, names, {"nulls": "nulls", "zero_variance": "constant"})
     share = F.try_divide(F.col("nulls") * 100.0, F.col("rows"))
     return long.select(
         "column",
@@ -97,20 +110,26 @@ def _nulls_only(df: DataFrame, sparse_pct: float = 80) -> DataFrame:
 
 def sparse_rows(df: DataFrame, pct: float = 80) -> DataFrame:
     """Number of rows with more than ``pct`` percent missing that are not cancelled."""
+    return df.agg(F.count_if(is_sparse(df, pct)).alias("sparse_rows"))
+
+
+def is_sparse(df: DataFrame, pct: float = 80) -> Column:
+    """True for a row with more than ``pct`` percent missing that is not cancelled."""
     missing = reduce(
         lambda total, c: total + is_missing(c[0], c[1] == "string").cast("int"),
         df.dtypes,
         F.lit(0),
     )
     flown = F.col("cancelled").cast("string") == "0"
-    return df.agg(
-        F.count_if((missing * 100.0 / len(df.columns) > pct) & flown).alias("sparse_rows")
-    )
+    return (missing * 100.0 / len(df.columns) > pct) & flown
 
 
 def exact_dups(df: DataFrame) -> DataFrame:
-    """Number of surplus exact copies."""
-    return _surplus(df, df.columns)
+    """Number of surplus exact copies, found by digest and confirmed on all columns.
+
+    Reads the table twice; see :func:`aeropunct.operators.copies.count_copies`.
+    """
+    return surplus_of(count_copies(df))
 
 
 def logical_dups(df: DataFrame, keys: Sequence[str] = LOGICAL_KEY) -> DataFrame:
@@ -121,11 +140,17 @@ def logical_dups(df: DataFrame, keys: Sequence[str] = LOGICAL_KEY) -> DataFrame:
 def _surplus(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     # Counted per key in each task before the shuffle, so hot keys stay cheap.
     groups = df.groupBy(*keys).agg(F.count("*").alias("group_rows"))
-    return groups.agg(
+    counts = groups.agg(
         F.coalesce(F.sum("group_rows"), F.lit(0)).alias("total_rows"),
         F.count("*").alias("distinct_rows"),
-        (F.coalesce(F.sum("group_rows"), F.lit(0)) - F.count("*")).alias("duplicates"),
     )
+    return surplus_of(counts)
+
+
+def surplus_of(counts: DataFrame) -> DataFrame:
+    """Rows, distinct rows and the difference."""
+    surplus = F.col("total_rows") - F.col("distinct_rows")
+    return counts.select("total_rows", "distinct_rows", surplus.alias("duplicates"))
 
 
 def approx_distinct(df: DataFrame, columns: Sequence[str], rsd: float = 0.05) -> DataFrame:
@@ -137,37 +162,63 @@ def approx_distinct(df: DataFrame, columns: Sequence[str], rsd: float = 0.05) ->
     return _rows_from(wide, columns, {"approx_distinct": "n"}).drop("rows")
 
 
+def id_pairs(columns: Sequence[str]) -> dict[str, str]:
+    """Id columns by name, and the column of the table that each may stand for."""
+    known = {c.lower(): c for c in columns}
+    pairs = {}
+    for c in columns:
+        ending = next((e for e in ID_ENDINGS if c.lower().endswith(e)), None)
+        if ending and (base := known.get(c.lower().removesuffix(ending))):
+            pairs[c] = base
+    return pairs
+
+
 def redundant_ids(
-    df: DataFrame, pairs: Mapping[str, str] = ID_PAIRS, tolerance: float = 0.01
+    df: DataFrame, pairs: Mapping[str, str] | None = None, tolerance: float = 0.01
 ) -> DataFrame:
     """Id columns that tell no more than the column they stand for.
 
-    ``pairs`` maps ids to their base columns; pairs that the table lacks are left
-    out. Redundant means that the exact distinct counts differ by less than
-    ``tolerance``. Rows are first reduced to the pairs of values that occur.
+    ``pairs`` maps ids to their base columns; without it they are found by name, see
+    :func:`id_pairs`. Pairs that the table lacks are left out. Redundant means one-to-one:
+    the numbers of ids, of base values and of pairs of both that occur together differ by
+    less than ``tolerance`` of the ids. Equal numbers alone are not enough. Rows are first
+    reduced to the pairs of values that occur; rows that lack either value say nothing.
     """
+    pairs = id_pairs(df.columns) if pairs is None else pairs
     found = [(i, base) for i, base in pairs.items() if i in df.columns and base in df.columns]
     if not found:
         return df.sparkSession.createDataFrame([], "column string, base string, redundant boolean")
-    values = df.select(
-        F.inline(
-            F.array(
-                *[
-                    F.struct(
-                        F.lit(i).alias("column"),
-                        F.lit(base).alias("base"),
-                        F.col(i).cast("string").alias("id"),
-                        F.col(base).cast("string").alias("value"),
-                    )
-                    for i, base in found
-                ]
-            )
-        )
-    ).distinct()
-    counts = values.groupBy("column", "base").agg(
-        F.count_distinct("id").alias("ids"), F.count_distinct("value").alias("bases")
+    values = df.select(F.inline(F.array(*[_id_value(i, base) for i, base in found]))).distinct()
+    return redundancy_of(values, tolerance)
+
+
+def _id_value(i: str, base: str) -> Column:
+    return F.struct(
+        F.lit(i).alias("column"),
+        F.lit(base).alias("base"),
+        F.col(f"`{i}`").cast("string").alias("id"),
+        F.col(f"`{base}`").cast("string").alias("value"),
     )
-    apart = F.try_divide(F.abs(F.col("ids") - F.col("bases")), F.col("ids"))
+
+
+def redundancy_of(values: DataFrame, tolerance: float = 0.01) -> DataFrame:
+    """One-to-one test over distinct (column, base, id, value).
+
+    Ids and values are counted by grouping twice, never by a set in one buffer: first the
+    pairs of an id, which give the ids and the pairs, then those of a value.
+    """
+    both = values.withColumn("whole", F.col("id").isNotNull() & F.col("value").isNotNull())
+    name = ["column", "base"]
+
+    def per(side: str) -> DataFrame:
+        groups = both.groupBy(*name, side).agg(F.count_if("whole").alias("met"))
+        return groups.groupBy(*name).agg(
+            F.sum("met").alias(f"pairs_by_{side}"), F.count_if(F.col("met") > 0).alias(f"{side}s")
+        )
+
+    counts = per("id").join(per("value"), name)
+    numbers = [F.col(c) for c in ("ids", "values", "pairs_by_id")]
+    apart = F.try_divide(F.greatest(*numbers) - F.least(*numbers), F.col("ids"))
     return counts.select(
         "column", "base", F.coalesce(apart < tolerance, F.lit(False)).alias("redundant")
     )
@@ -227,7 +278,11 @@ def describe_exact(df: DataFrame, columns: Sequence[str] = DESCRIBED) -> DataFra
             F.array(*[F.struct(F.lit(c).alias("column"), as_float(c).alias("v")) for c in columns])
         )
     ).filter("v IS NOT NULL")
-    counts = values.groupBy("column", "v").agg(F.count("*").alias("n"))
+    return description_of(values.groupBy("column", "v").agg(F.count("*").alias("n")))
+
+
+def description_of(counts: DataFrame) -> DataFrame:
+    """Exact description from (column, v, n), the rows of each distinct value."""
     shares = [k / SPANS for k in range(1, SPANS)]
     cuts = counts.groupBy("column").agg(
         F.array_distinct(F.percentile_approx("v", shares)).alias("cuts")
@@ -307,9 +362,15 @@ def extremes(df: DataFrame, k: int = 50, sample: DataFrame | None = None) -> Dat
     so the four lists read that small result and not the table; a pair with n
     rows takes n of the k places. The other delay settles ties.
     """
-    pair = ("dep_delay", "arr_delay")
-    floats = [as_float(c).alias(c) for c in pair]
-    pairs = df.select(*floats).dropna().groupBy(*pair).agg(F.count("*").alias("n"))
+    floats = [as_float(c).alias(c) for c in DELAY_PAIR]
+    pairs = df.select(*floats).dropna().groupBy(*DELAY_PAIR).agg(F.count("*").alias("n"))
+    more = sample.select(*floats).dropna() if sample is not None else None
+    return extremes_of(pairs, k, more)
+
+
+def extremes_of(pairs: DataFrame, k: int = 50, more: DataFrame | None = None) -> DataFrame:
+    """The extremes from (dep_delay, arr_delay, n), the rows of each distinct pair."""
+    pair = DELAY_PAIR
 
     def outermost(first: str, second: str, descending: bool) -> DataFrame:
         order = [F.desc(c) if descending else F.asc(c) for c in (first, second)]
@@ -329,20 +390,24 @@ def extremes(df: DataFrame, k: int = 50, sample: DataFrame | None = None) -> Dat
         outermost("arr_delay", "dep_delay", True),
         outermost("arr_delay", "dep_delay", False),
     ]
-    if sample is not None:
-        parts.append(sample.select(*floats).dropna())
+    if more is not None:
+        parts.append(more)
     return reduce(DataFrame.union, parts).distinct().toDF(*pair)
 
 
 def recovery(df: DataFrame) -> DataFrame:
     """Flights with both delays, how many made up time, and how the delays correlate."""
+    return df.agg(*recovery_figures())
+
+
+def recovery_figures() -> list[Column]:
+    """Aggregates of the recovery; rows that lack either delay do not count."""
     dep, arr = as_float("dep_delay"), as_float("arr_delay")
-    pairs = df.select(dep.alias("dep"), arr.alias("arr")).dropna()
-    return pairs.agg(
-        F.count("*").alias("pairs"),
-        F.count_if(F.col("arr") < F.col("dep")).alias("recovered"),
-        F.corr("dep", "arr").alias("correlation"),
-    )
+    return [
+        F.count_if(dep.isNotNull() & arr.isNotNull()).alias("pairs"),
+        F.count_if(arr < dep).alias("recovered"),
+        F.corr(dep, arr).alias("correlation"),
+    ]
 
 
 def dictionary_of(df: DataFrame) -> DataFrame:

@@ -154,6 +154,13 @@ def report_of_parts(parts: DataFrame, level: str) -> DataFrame:
     return format_stats(_with_route(stats), "route") if level == "route" else format_stats(stats)
 
 
+def carrier_report(df: DataFrame, level: str) -> DataFrame:
+    """Report text of one level from one scan."""
+    if level == "route":
+        return format_stats(carrier_route_stats(df), "route")
+    return format_stats(carrier_airport_stats(df))
+
+
 def carrier_stats_by_level(df: DataFrame) -> DataFrame:
     """Both statistics from one scan, told apart by ``level`` (airport or route).
 

@@ -150,6 +150,28 @@ def diff_matrix(
     )
 
 
+def diff_matrix_cells(
+    rep: DataFrame, airports: int = MATRIX_AIRPORTS, carriers: int = MATRIX_CARRIERS
+) -> DataFrame:
+    """The matrix cell by cell, empty cells too: row, column, place of the column, value."""
+    wide = diff_matrix(rep, airports, carriers)
+    names = wide.columns[1:]
+    if not names:
+        kinds = "origin string, column_place int, op_unique_carrier string, diff_from_airport_avg double"
+        return rep.sparkSession.createDataFrame([], kinds)
+    cells = F.array(
+        *[
+            F.struct(
+                F.lit(at).alias("column_place"),
+                F.lit(name).alias("op_unique_carrier"),
+                F.col(f"`{name}`").alias("diff_from_airport_avg"),
+            )
+            for at, name in enumerate(names, 1)
+        ]
+    )
+    return wide.select("origin", F.inline(cells))
+
+
 def carrier_diff_rollup(rep: DataFrame) -> DataFrame:
     """Carriers by their difference to the airport averages, weighted by flights."""
     flights = F.col("total_flights").cast("decimal(18,0)")

@@ -12,6 +12,11 @@ SUB_SIZES = (10, 25, 50, 75)
 OVER_SIZES = (150, 200, 300)
 SEED = 42
 
+# Scaled data sets by name, with their size in percent.
+SCALES = {f"flight_{pct}": pct for pct in (*SUB_SIZES, *OVER_SIZES)}
+# Column that marks the data set of a row.
+DATASET = "_dataset"
+
 _HASH_SPACE = 16**8
 
 
@@ -101,3 +106,26 @@ def over_samples(
         "flight_200": replicate(df, 2),
         "flight_300": replicate(df, 3),
     }
+
+
+def scaled_family(
+    df: DataFrame, seed: int = SEED, keys: Sequence[str | Column] | None = None
+) -> DataFrame:
+    """Rows of all seven scaled data sets from one scan, each with its data set's name.
+
+    A row's place in [0, 1), from its key hash or drawn once, decides all samples: the
+    smaller ones lie in the larger ones, and the half that comes twice at 150 percent is
+    the 50 percent sample.
+    """
+    if keys:
+        place, within = _key_hash(keys), lambda share: F.col("_place") < hash_limit(share)
+    else:
+        place, within = F.rand(seed), lambda share: F.col("_place") < share
+    times = [
+        F.array_repeat(
+            F.lit(name), F.lit(pct // 100) + F.when(within(pct % 100 / 100), 1).otherwise(0)
+        )
+        for name, pct in SCALES.items()
+    ]
+    marked = df.withColumn("_place", place)
+    return marked.withColumn(DATASET, F.explode(F.flatten(F.array(*times)))).drop("_place")

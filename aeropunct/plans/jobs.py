@@ -4,17 +4,19 @@ from __future__ import annotations
 
 import time
 from collections.abc import Callable, Sequence
-from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from aeropunct.operators import profiling, reports, rollups, sampling, trends
-from aeropunct.operators.cleaning import clean, row_accounting
+from aeropunct.operators import reports, rollups, sampling, trends
+from aeropunct.operators.cleaning import accounting_of, clean, clean_with_counts
+from aeropunct.operators.whole_profile import whole_profile
 from aeropunct.schema import (
     BAND_REPORT_SCHEMA,
+    CLEAN_COLUMNS,
     CLEANING_METRICS,
     GENERATION_METRICS,
+    RAW_EXTRAS,
     RUN_METRICS,
     SKIPPING_METRICS,
 )
@@ -38,25 +40,72 @@ def run_cleaning(
     out_path: str,
     environment: str,
     metrics_path: str | None = None,
+    rejects_path: str | None = None,
 ) -> DataFrame:
-    """Raw CSV to the cleaned Parquet table; the metrics row holds the row counts."""
-    raw = readers.read_raw(spark, raw_path)
+    """Raw CSV to the cleaned Parquet table.
+
+    With ``metrics_path`` the metrics row holds the rows before, after and dropped of each
+    step, the broken lines and the cells that did not convert; all of them are counted in
+    the one read of the raw text. ``rejects_path`` also lists every such cell and line
+    with its file and row, as Parquet, from a read of its own.
+    """
     # Removing copies shuffles whole records: see build_session for the partitions.
-    seconds = _timed(lambda: writers.write_parquet(clean(raw), out_path))
-    cleaned = readers.read_flights(spark, out_path)
     if metrics_path:
-        # The count of the written table comes from the Parquet footers.
-        initial, final = raw.count(), cleaned.count()
-        row = {
-            "Environment": environment,
-            "Dataset": _dataset(raw_path),
-            "Execution_Time_Sec": seconds,
-            "Initial_Records": initial,
-            "Final_Records": final,
-            "Dropped_Records": initial - final,
-        }
-        writers.append_run_metrics(spark, metrics_path, [row], CLEANING_METRICS)
-    return cleaned
+        _clean_counted(spark, raw_path, out_path, environment, metrics_path)
+    else:
+        writers.write_parquet(clean(readers.read_raw(spark, raw_path)), out_path)
+    if rejects_path:
+        writers.write_parquet(readers.rejected_cells(spark, raw_path), rejects_path)
+    return readers.read_flights(spark, out_path)
+
+
+def _clean_counted(
+    spark: SparkSession, raw_path: str, out_path: str, environment: str, metrics_path: str
+) -> None:
+    """Cleans and records the counts that came with the distinct records.
+
+    The records are written once with their counts; the table is a copy of those that
+    pass, and the counts are sums over a few narrow columns.
+    """
+    staged = scratch_dir(spark, "records")
+    unconverted, broken = RAW_EXTRAS
+    measures = {
+        "unconverted": F.col(unconverted),
+        "broken": F.col(broken).isNotNull().cast("int"),
+    }
+    try:
+
+        def write() -> None:
+            raw = readers.read_raw(spark, raw_path, checked=True)
+            writers.write_parquet(clean_with_counts(raw, measures), staged)
+            records = readers.read_flights(spark, staged)
+            writers.write_parquet(records.filter("consistent").select(*CLEAN_COLUMNS), out_path)
+
+        seconds = _timed(write)
+        totals = readers.read_flights(spark, staged).agg(
+            F.coalesce(F.sum("copies"), F.lit(0)).alias("total_rows"),
+            F.count("*").alias("distinct_rows"),
+            F.count_if("consistent").alias("consistent"),
+            *[F.coalesce(F.sum(m), F.lit(0)).alias(m) for m in measures],
+        )
+        counted = totals.first()
+        steps = {r.step: r for r in accounting_of(totals).collect()}
+    finally:
+        remove(spark, staged)
+    row = {
+        "Environment": environment,
+        "Dataset": _dataset(raw_path),
+        "Execution_Time_Sec": seconds,
+        "Initial_Records": counted.total_rows,
+        "Final_Records": counted.consistent,
+        "Dropped_Records": counted.total_rows - counted.consistent,
+        "Broken_Records": counted.broken,
+        "Unconverted_Cells": counted.unconverted,
+    }
+    for step in ("duplicates", "quality"):
+        for figure in ("before", "after", "dropped"):
+            row[f"{step.title()}_{figure.title()}_Records"] = steps[step][figure]
+    writers.append_run_metrics(spark, metrics_path, [row], CLEANING_METRICS)
 
 
 def run_scaling(
@@ -69,26 +118,29 @@ def run_scaling(
 ) -> dict[str, str]:
     """Write the seven scaled data sets; gives their paths by name.
 
-    Each one is a single map-only pass over the Parquet base. With ``keys`` the
-    samples are chosen by key hash and are the same on every cluster.
+    One map-only pass over the Parquet base: every row is written to all data sets that
+    hold it. With ``keys`` the samples are chosen by key hash and are the same on every
+    cluster. The metrics share the seconds of the pass by the size of the data sets.
     """
     base = readers.read_flights(spark, base_path)
-    family = {
-        **sampling.sub_samples(base, keys=keys),
-        **sampling.over_samples(base, keys=keys),
-    }
-    paths, rows = {}, []
-    for name, df in family.items():
-        paths[name] = f"{out_dir.rstrip('/')}/{name}.parquet"
-        seconds = _timed(lambda df=df, name=name: writers.write_parquet(df, paths[name]))
-        rows.append(
+    marked = sampling.scaled_family(base, keys=keys)
+    names = list(sampling.SCALES)
+    paths = {}
+
+    def write() -> None:
+        paths.update(writers.write_datasets(marked, sampling.DATASET, names, out_dir))
+
+    seconds = _timed(write)
+    if metrics_path:
+        whole = sum(sampling.SCALES.values())
+        rows = [
             {
                 "Environment": environment,
                 "Generated_Dataset": name,
-                "Execution_Time_Sec": seconds,
+                "Execution_Time_Sec": round(seconds * size / whole, 3),
             }
-        )
-    if metrics_path:
+            for name, size in sampling.SCALES.items()
+        ]
         writers.append_run_metrics(spark, metrics_path, rows, GENERATION_METRICS)
     return paths
 
@@ -127,6 +179,12 @@ def _carrier_reports(
     All of them follow from a small table of parts, which is kept as files while the
     job runs, so that a lost executor does not cost another scan.
     """
+    if len(paths) == 1 and not metrics_path:
+        # Nothing else reads the parts: the report follows from the scan at once.
+        ((level, path),) = paths.items()
+        flights = readers.read_flights(spark, in_path)
+        writers.write_keyed_text(reports.carrier_report(flights, level), path, single_file)
+        return
     keys = reports.LEVEL_KEYS["route" if "route" in paths else "airport"]
     # A row is skipped by the strictest report that was asked for.
     kept = scratch_dir(spark, "parts")
@@ -214,40 +272,6 @@ def run_ranking(
     return readers.read_flights(spark, out_path)
 
 
-def whole_profile(raw: DataFrame) -> DataFrame:
-    """Every figure of the profile as (report, label, item, value).
-
-    Shape, per-column figures, copies, sparse rows, description with exact quartiles,
-    extremes, row accounting and recovery of a raw table.
-    """
-
-    def long(report: str, df: DataFrame, label: Column) -> DataFrame:
-        values = [c for c, kind in df.dtypes if c not in ("column", "step", "base")]
-        stacked = F.array(
-            *[F.struct(F.lit(c).alias("item"), F.col(c).cast("double").alias("value")) for c in values]
-        )
-        return df.select(F.lit(report).alias("report"), label.alias("label"), F.inline(stacked))
-
-    table = F.lit("table")
-    ends = profiling.extremes(raw).agg(
-        F.count("*").alias("pairs"),
-        *[f(c).alias(f"{n}_{c}") for c in ("dep_delay", "arr_delay") for n, f in (("min", F.min), ("max", F.max))],
-    )
-    parts = [
-        long("shape", profiling.shape(raw), table),
-        long("columns", profiling.profile(raw), F.col("column")),
-        long("redundant_ids", profiling.redundant_ids(raw), F.col("column")),
-        long("exact_copies", profiling.exact_dups(raw), table),
-        long("logical_copies", profiling.logical_dups(raw), table),
-        long("sparse_rows", profiling.sparse_rows(raw), table),
-        long("description", profiling.describe_exact(raw), F.col("column")),
-        long("extremes", ends, table),
-        long("row_accounting", row_accounting(raw), F.col("step")),
-        long("recovery", profiling.recovery(raw), table),
-    ]
-    return reduce(DataFrame.unionByName, parts)
-
-
 def run_profile(
     spark: SparkSession,
     raw_path: str,
@@ -255,11 +279,23 @@ def run_profile(
     environment: str,
     metrics_path: str | None = None,
 ) -> DataFrame:
-    """The whole profile of raw CSV, as Parquet."""
-    found = whole_profile(readers.read_raw(spark, raw_path))
-    _recorded(
-        spark, raw_path, environment, metrics_path, lambda: writers.write_parquet(found, out_path)
-    )
+    """The whole profile of raw CSV, as Parquet.
+
+    The text is read once and kept as a converted table while the job runs; the profile
+    reads that table three times.
+    """
+    kept = scratch_dir(spark, "profile")
+    try:
+
+        def write() -> None:
+            table = f"{kept}/table"
+            writers.write_parquet(readers.read_raw(spark, raw_path), table)
+            converted = readers.read_flights(spark, table)
+            writers.write_parquet(whole_profile(converted, kept), out_path)
+
+        _recorded(spark, raw_path, environment, metrics_path, write)
+    finally:
+        remove(spark, kept)
     return readers.read_flights(spark, out_path)
 
 

@@ -128,12 +128,25 @@ CLEANING_METRICS = (
     "Initial_Records",
     "Final_Records",
     "Dropped_Records",
+    # Before, after and dropped of each step: copies, then the quality rule.
+    "Duplicates_Before_Records",
+    "Duplicates_After_Records",
+    "Duplicates_Dropped_Records",
+    "Quality_Before_Records",
+    "Quality_After_Records",
+    "Quality_Dropped_Records",
+    # Lines with too few or too many cells, and cells that are no value of their type.
+    "Broken_Records",
+    "Unconverted_Cells",
 )
 GENERATION_METRICS = ("Environment", "Generated_Dataset", "Execution_Time_Sec")
 RUN_METRICS = ("Environment", "Dataset", "Execution_Time_Sec")
 SKIPPING_METRICS = (*RUN_METRICS, "Skipped_Records")
 # ---------------------------------------------------------------------------
 
+# What a checked read adds to each raw record: its unconverted cells, and its broken line.
+RAW_EXTRAS = ("_unconverted", "_broken_line")
+
 
 def _struct(fields) -> StructType:
     return StructType([StructField(name, dtype, True) for name, dtype in fields])

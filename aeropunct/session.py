@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 from uuid import uuid4
 
@@ -30,6 +31,8 @@ def build_session(
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.session.timeZone": "UTC",
+        # Tables written side by side in one pass need no sort of the rows by table.
+        "spark.sql.maxConcurrentOutputFileWriters": "8",
     }
     if shuffle_partitions:
         settings["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
@@ -48,7 +51,8 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
+        # A local cluster has executors with folders of their own.
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         base = tempfile.mkdtemp(prefix="run-", dir="/tmp")
         spark.conf.set("spark.checkpoint.dir", base)
@@ -59,3 +63,15 @@ def remove(spark: SparkSession, path: str) -> None:
     """Delete an intermediate table, through the file system it lies in."""
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
     target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def move(spark: SparkSession, source: str, target: str) -> bool:
+    """Put a written table in the place of an earlier one; false where there is none."""
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    system = path(source).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not system.exists(path(source)):
+        return False
+    system.delete(path(target), True)
+    if not system.rename(path(source), path(target)):
+        raise OSError(f"cannot move {source} to {target}")
+    return True

@@ -10,11 +10,13 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from functools import reduce
+from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from aeropunct.session import move, remove
 from aeropunct.sources.readers import NULL_TEXT
 
 
@@ -22,6 +24,26 @@ def write_parquet(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
 
+def write_datasets(df: DataFrame, column: str, names: Sequence[str], out_dir: str) -> dict[str, str]:
+    """Rows to the Parquet table that ``column`` names, all tables in one pass.
+
+    The tables are written as partitions of a new folder and moved to their names when the
+    pass is done, so an earlier table stays whole until then. A name without rows gets an
+    empty table. Gives the paths by name.
+    """
+    spark, base = df.sparkSession, out_dir.rstrip("/")
+    new = f"{base}/_new-{uuid4().hex}"
+    df.write.partitionBy(column).parquet(new)
+    paths = {}
+    for name in names:
+        paths[name] = f"{base}/{name}.parquet"
+        if not move(spark, f"{new}/{column}={name}", paths[name]):
+            empty = spark.createDataFrame([], df.drop(column).schema)
+            write_parquet(empty, paths[name])
+    remove(spark, new)
+    return paths
+
+
 def write_raw_csv(df: DataFrame, path: str) -> None:
     """CSV with a header in every part file."""
     df.write.mode("overwrite").csv(path, header=True)
@@ -65,8 +87,9 @@ def append_run_metrics(
     schema = StructType()
     for name in columns:
         # One kind per suffix, so that the folders of all jobs can be read together.
-        kind = "double" if name.endswith("_Sec") else "long" if name.endswith("_Records") else None
-        schema = schema.add(name, kind or "string")
+        whole = name.endswith(("_Records", "_Cells"))
+        kind = "double" if name.endswith("_Sec") else "long" if whole else "string"
+        schema = schema.add(name, kind)
     values = [[row[name] for name in columns] for row in rows]
     frame = spark.createDataFrame(values, schema).coalesce(1)
     frame.write.mode("append").csv(path, header=True)

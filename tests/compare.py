@@ -68,7 +68,7 @@ def main() -> None:
 
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     wanted = sys.argv[2:]
-    spark = build_session("compare", "local[8]", 8, {"spark.ui.showConsoleProgress": "false"})
+    spark = build_session("compare", "local[8]", 8, {"spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false"})
     con, sql = duck(sf_dir), oracle_sql()
     bad = 0
     for name, run in queries().items():

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import subprocess
 import sys
 
@@ -10,7 +11,7 @@ from conftest import ROOT, SF_DIR
 from pyspark.sql import functions as F
 
 from aeropunct.__main__ import JOBS, parse, run
-from aeropunct.operators import profiling, reports, rollups
+from aeropunct.operators import profiling, reports, rollups, sampling
 from aeropunct.plans import jobs
 from aeropunct.schema import BAND_REPORT_SCHEMA, CLEANING_METRICS, RAW_SCHEMA, SKIPPING_METRICS
 from aeropunct.session import scratch_dir
@@ -50,13 +51,106 @@ def test_inferred_schema_reads_the_same_values(spark, raw, raw_path):
     assert inferred.agg(F.sum("dep_delay")).first() == raw.agg(F.sum("dep_delay")).first()
 
 
-def test_header_of_other_columns_is_refused(spark, raw):
-    path = scratch_dir(spark, "swapped")
-    names = list(raw.columns)
-    names[7], names[10] = names[10], names[7]
-    writers.write_raw_csv(raw.select(*names), path)
+def test_columns_are_bound_by_the_names_of_the_header(spark, raw, raw_path):
+    path = scratch_dir(spark, "turned")
+    names = [F.col(c).alias(f" {c.upper()}") for c in reversed(raw.columns) if c != "taxi_in"]
+    writers.write_raw_csv(raw.select(F.lit("1,2").alias("re,mark"), *names), path)
+    back = readers.read_raw(spark, path)
+    assert back.schema == RAW_SCHEMA
+    assert same_rows(back, raw.withColumn("taxi_in", F.lit(None).cast("double")))
+    packed = scratch_dir(spark, "packed")
+    raw.write.option("compression", "gzip").csv(packed, header=True)
+    assert same_rows(readers.read_raw(spark, packed), raw)
+
+
+def test_headers_that_cannot_be_bound_are_refused(spark, raw, tmp_path):
+    (tmp_path / "none.csv").write_text("x,y\n1,2\n")
+    with pytest.raises(ValueError, match="none of the declared"):
+        readers.read_raw(spark, str(tmp_path / "none.csv"))
+    (tmp_path / "twice.csv").write_text("month,Month\n1,2\n")
+    with pytest.raises(ValueError, match="twice"):
+        readers.read_raw(spark, str(tmp_path / "twice.csv"))
+    with pytest.raises(ValueError, match="no file"):
+        readers.read_raw(spark, str(tmp_path / "absent"))
+    # A second file with its columns in another order than the first is no silent mix-up.
+    mixed = tmp_path / "mixed"
+    mixed.mkdir()
+    (mixed / "a.csv").write_text("origin,dest\nJFK,LAX\n")
+    (mixed / "b.csv").write_text("dest,origin\nLAX,JFK\n")
     with pytest.raises(Exception, match="(?i)header"):
-        readers.read_raw(spark, path).collect()
+        readers.read_raw(spark, str(mixed)).collect()
+
+
+def spoiled(tmp_path):
+    """Two files of raw text: good rows, cells that are no numbers, and broken lines."""
+    cells = dict.fromkeys(RAW_SCHEMA.names, "") | {
+        "fl_date": "2024-01-02", "month": "1", "crs_dep_time": "930", "cancelled": "0", "op_unique_carrier": "AA",
+        "origin": "JFK", "dest": "LAX", "distance": "100", "dep_delay": "1", "arr_delay": "2",
+    }
+    line = lambda **more: ",".join((cells | more)[c] for c in RAW_SCHEMA.names)
+    folder = tmp_path / "spoiled"
+    folder.mkdir()
+    header = ",".join(RAW_SCHEMA.names)
+    one = [line(), line(dep_delay="late"), line(month="Jan", distance="far"), line(), "2024,1,broken"]
+    two = [line(origin="SFO"), "", line(origin="SFO") + ",more", line(arr_delay="?")]
+    (folder / "one.csv").write_text("\n".join([header, *one]) + "\n")
+    (folder / "two.csv").write_text("\n".join([header, *two]) + "\n")
+    return folder, line(origin="SFO") + ",more"
+
+
+def test_rejected_cells_and_broken_lines(spark, tmp_path):
+    folder, long_line = spoiled(tmp_path)
+    found = readers.rejected_cells(spark, str(folder)).collect()
+    got = {(r.file.rsplit("/", 1)[1], r.row, r.column, r.value) for r in found}
+    assert got == {
+        ("one.csv", 2, "dep_delay", "late"),
+        ("one.csv", 3, "month", "Jan"),
+        ("one.csv", 3, "distance", "far"),
+        ("one.csv", 5, "day_of_month", "broken"),
+        ("one.csv", 5, None, "2024,1,broken"),
+        ("two.csv", 2, None, long_line),
+        ("two.csv", 3, "arr_delay", "?"),
+    }
+
+
+def test_rows_are_numbered_across_blocks(spark, tmp_path):
+    lines = ["month,origin"] + [f"{'x' if i % 50 == 0 else 1},A{i}" for i in range(1, 2001)]
+    (tmp_path / "long.csv").write_text("\n".join(lines) + "\n")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "2000")
+    try:
+        found = readers.rejected_cells(spark, str(tmp_path / "long.csv")).collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert sorted(r.row for r in found) == list(range(50, 2001, 50))
+
+
+def test_cleaning_counts_each_step_and_every_bad_cell(spark, tmp_path):
+    folder, _ = spoiled(tmp_path)
+    out, metrics, rejects = (str(tmp_path / x) for x in ("out", "metrics", "rejects"))
+    table = jobs.run_cleaning(spark, str(folder), out, "Local_1", metrics, rejects)
+    plain = jobs.run_cleaning(spark, str(folder), str(tmp_path / "plain"), "Local_1")
+    assert same_rows(table, plain) and table.schema == plain.schema
+    row = writers.read_run_metrics(spark, metrics).first().asDict()
+    # The longer line has the cells of the row before it, so it is a copy of that row.
+    want = {
+        "Initial_Records": 8, "Final_Records": 2, "Dropped_Records": 6,
+        "Duplicates_Before_Records": 8, "Duplicates_After_Records": 6, "Duplicates_Dropped_Records": 2,
+        "Quality_Before_Records": 6, "Quality_After_Records": 2, "Quality_Dropped_Records": 4,
+        "Broken_Records": 2, "Unconverted_Cells": 5,
+    }
+    assert {k: row[k] for k in want} == want
+    assert spark.read.parquet(rejects).count() == 7
+
+
+def test_cleaning_with_metrics_reads_the_text_once(spark, raw_path, monkeypatch):
+    reads, read = [], readers.read_raw
+    monkeypatch.setattr(readers, "read_raw", lambda *a, **k: reads.append(a) or read(*a, **k))
+    jobs.run_cleaning(spark, raw_path, scratch_dir(spark, "o"), "Local_1", scratch_dir(spark, "m"))
+    plans = [read(spark, raw_path, checked=True)]
+    staged = jobs.clean_with_counts(plans[0])
+    text = staged._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[-1]
+    assert len(reads) == 1 and text.count("FileScan csv") == 1
 
 
 def test_cleaning_job(spark, raw_path, cleaned):
@@ -85,6 +179,31 @@ def test_scaling_job(spark, clean_path, cleaned):
         assert table.schema == readers.read_flights(spark, clean_path).schema
         assert abs(table.count() - n * pct / 100) < (1 if pct in (200, 300) else 5 * (n / 4) ** 0.5)
     assert writers.read_run_metrics(spark, metrics).count() == 7
+    # Nothing but the data sets is left, and a second run takes their place.
+    assert len(jobs.run_scaling(spark, clean_path, out, "Local_1")) == 7
+    folder = spark._jvm.java.io.File(out.removeprefix("file://"))
+    assert sorted(folder.list()) == sorted(f"{name}.parquet" for name in paths)
+
+
+def test_scaling_is_one_scan_and_its_samples_are_nested(spark, clean_path, cleaned):
+    for keys in (None, ["origin", "dest", "distance", "hour"]):
+        marked = sampling.scaled_family(readers.read_flights(spark, clean_path), keys=keys)
+        text = marked._jdf.queryExecution().executedPlan().toString()
+        assert text.count("FileScan") == 1 and "Exchange" not in text
+        counts = dict(marked.groupBy(sampling.DATASET).count().collect())
+        n = cleaned.count()
+        assert (counts["flight_200"], counts["flight_300"]) == (2 * n, 3 * n)
+        assert counts["flight_150"] == n + counts["flight_50"]
+        small, large = (marked.filter(F.col(sampling.DATASET) == f"flight_{p}") for p in (10, 25))
+        assert small.drop(sampling.DATASET).exceptAll(large.drop(sampling.DATASET)).count() == 0
+
+
+def test_a_data_set_without_rows_is_an_empty_table(spark, cleaned):
+    out = scratch_dir(spark, "few")
+    few = cleaned.limit(0).withColumn("set", F.lit("a")).unionByName(cleaned.limit(1).withColumn("set", F.lit("a")))
+    paths = writers.write_datasets(few, "set", ["a", "b"], out)
+    assert [readers.read_flights(spark, paths[x]).count() for x in "ab"] == [1, 0]
+    assert readers.read_flights(spark, paths["b"]).schema == cleaned.schema
 
 
 def test_carrier_report_job_is_one_sorted_file(spark, clean_path, cleaned):
@@ -215,9 +334,10 @@ def test_metrics_to_summary(spark, clean_path, tmp_path):
 def test_command_line(spark, tmp_path, clean_path):
     out, metrics = tmp_path / "ranking", tmp_path / "metrics"
     command = [sys.executable, "-m", "aeropunct", "ranking", clean_path, str(out), "Local_1"]
+    env = {**os.environ, "PYSPARK_SUBMIT_ARGS": "--conf spark.ui.enabled=false pyspark-shell"}
     subprocess.run(
         [*command, "--metrics", str(metrics)], cwd=ROOT, check=True, timeout=300,
-        capture_output=True,
+        capture_output=True, env=env,
     )
     assert spark.read.parquet(str(out)).count() > 0
     assert writers.read_run_metrics(spark, str(metrics)).first().Environment == "Local_1"
