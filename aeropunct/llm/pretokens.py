@@ -9,12 +9,44 @@ from __future__ import annotations
 
 import re
 from array import array
+from collections.abc import Iterable
 from functools import lru_cache
+from itertools import chain
 
 import regex
 
-# Entries of the cache of merged pre-tokens in one Python worker.
-CACHE_ENTRIES = 300_000
+# Bytes that one generation of a cache may take in a Python worker, counted with so many
+# for each entry besides its key.
+CACHE_BYTES, ENTRY_BYTES = 72 << 20, 200
+
+
+class Generations(dict):
+    """A cache of bounded size whose frequent entries stay.
+
+    When the younger generation has grown to its limit it becomes the older one, and the
+    older one goes. An entry of the older one becomes young again when it is used.
+    """
+
+    def __init__(self, limit: int | None = None):
+        self.limit = CACHE_BYTES if limit is None else limit
+        self.size, self.old = 0, {}
+
+    def __missing__(self, key: str):
+        self[key] = value = self.old[key]
+        self.size += ENTRY_BYTES + len(key)
+        return value
+
+    def learn(self, entries: dict) -> None:
+        self.update(entries)
+        self.size += ENTRY_BYTES * len(entries) + sum(map(len, entries))
+
+    def unknown(self, keys: Iterable[str]) -> set[str]:
+        """Keys of neither generation. Ages the cache first when it is full."""
+        if self.size > self.limit:
+            self.old = dict(self)
+            self.clear()
+            self.size = 0
+        return set(keys).difference(self).difference(self.old)
 
 
 def _byte_alphabet() -> dict[int, str]:
@@ -37,7 +69,7 @@ class PieceCounts:
         pieces = [self.model.id_to_piece(i) for i in range(self.model.get_piece_size())]
         self._require_word_pieces(pieces)
         self.known = self.single_token_words(pieces)
-        self.cache: dict[str, int] = {}
+        self.cache = Generations()
 
     def _require_word_pieces(self, pieces: list[str]) -> None:
         """No piece has the word mark after another character, and nothing is normalised."""
@@ -60,25 +92,15 @@ class PieceCounts:
     def count(self, texts: list[str]) -> list[int]:
         """Tokens of each text: known words at once, the rest merged once per cache."""
         known, cache, split = self.known, self.cache, []
-        missing: dict[str, None] = {}
         for text in texts:
             text = text.replace("▁", " ")
-            words = text.split(" ") if text else []
-            split.append(words)
-            for word in words:
-                if word not in known and word not in cache and word:
-                    missing[word] = None
-        if missing:
-            if len(cache) + len(missing) > CACHE_ENTRIES:
-                cache.clear()
-                for words in split:
-                    missing.update(dict.fromkeys(w for w in words if w and w not in known))
-            new = list(missing)
-            for at in range(0, len(new), 20_000):
-                part = new[at : at + 20_000]
-                cache.update(
-                    zip(part, map(len, self.model.encode(part, num_threads=1)), strict=True)
-                )
+            split.append(text.split(" ") if text else [])
+        new = cache.unknown(chain.from_iterable(split)).difference(known)
+        new = sorted(new - {""})
+        for at in range(0, len(new), 20_000):
+            part = new[at : at + 20_000]
+            counts = map(len, self.model.encode(part, num_threads=1))
+            cache.learn(dict(zip(part, counts, strict=True)))
         return [self._total(words) for words in split]
 
     def _total(self, words: list[str]) -> int:
@@ -120,8 +142,8 @@ class WordIds:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
-        self.words: dict[str, bytes] = {}
-        self.pretokens: dict[str, bytes] = {}
+        self.words = Generations()
+        self.pretokens = Generations()
 
     def _encode(self, texts: list[str]) -> list[bytes]:
         out = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
@@ -135,25 +157,18 @@ class WordIds:
     def _learn(self, words: list[str]) -> None:
         """Fills both caches for words not met before."""
         cuts = [self._PRETOKEN.findall(word) for word in words]
-        if len(self.pretokens) > CACHE_ENTRIES:
-            self.pretokens.clear()
         known = self.pretokens
-        for cut in cuts:
-            for token in cut:
-                if token not in known:
-                    known[token] = self._merge(token)
-        self.words.update(
-            (word, b"".join([known[t] for t in cut])) for word, cut in zip(words, cuts, strict=True)
+        known.learn({t: self._merge(t) for t in known.unknown(chain.from_iterable(cuts))})
+        self.words.learn(
+            {w: b"".join([known[t] for t in cut]) for w, cut in zip(words, cuts, strict=True)}
         )
 
     def ids(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit numbers."""
-        if len(self.words) > CACHE_ENTRIES:
-            self.words.clear()
         plain = self._PLAIN.search
         split = [None if plain(text) else text.lower().split() for text in texts]
         known = self.words
-        new = {word: None for words in split if words for word in words if word not in known}
+        new = known.unknown(chain.from_iterable(words for words in split if words))
         if new:
             self._learn(list(new))
         whole = iter(self._encode([t for t, s in zip(texts, split, strict=True) if s is None]))

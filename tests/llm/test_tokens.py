@@ -12,7 +12,7 @@ from tokenizers import Tokenizer
 
 from aeropunct.llm import queries
 from aeropunct.llm.packing import SEQUENCE_TOKENS, pack
-from aeropunct.llm.pretokens import PieceCounts, WordIds
+from aeropunct.llm.pretokens import Generations, PieceCounts, WordIds
 from aeropunct.llm.token_counts import token_counts
 
 PIECES = public_tokenizers.path(queries.PIECE_MODEL)
@@ -37,8 +37,9 @@ def test_counts_are_the_librarys():
     assert counter.count(texts) == counter.count(texts)
 
 
-def test_counts_survive_a_full_cache(monkeypatch):
-    monkeypatch.setattr("aeropunct.llm.pretokens.CACHE_ENTRIES", 3)
+@pytest.mark.parametrize("limit", [0, 700, 9000])
+def test_counts_survive_a_full_cache(monkeypatch, limit):
+    monkeypatch.setattr("aeropunct.llm.pretokens.CACHE_BYTES", limit)
     counter, texts = PieceCounts(PIECES), odd_texts()
     for at in range(0, 300, 7):
         part = texts[at : at + 7]
@@ -49,6 +50,20 @@ def test_counts_survive_a_full_cache(monkeypatch):
         assert encoder.ids(part) == [array("I", e.ids).tobytes() for e in library(part)]
 
 
+def test_frequent_entries_stay_when_a_cache_ages():
+    cache = Generations(limit=1000)
+    asked = []
+    for i in range(200):
+        new = cache.unknown(["often", f"once{i}"])
+        asked += new
+        cache.learn(dict.fromkeys(new, i))
+        assert cache["often"] == 0 and cache[f"once{i}"] == i
+        assert cache.size < 1600 and len(cache.old) < 9
+    assert asked.count("often") == 1
+    with pytest.raises(KeyError):
+        cache["once0"]
+
+
 TOKENIZER = Tokenizer.from_file(WORDS)
 
 
