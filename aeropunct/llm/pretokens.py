@@ -134,6 +134,8 @@ class WordIds:
 
     # Characters whose lower case, normal form and class every library agrees on.
     _PLAIN = re.compile(r"[^\t\n\r\x20-\x7e¡-¬®-į]|<\|")
+    # The same characters as single bytes, for texts that have no others.
+    _PLAIN_BYTES = bytes([9, 10, 13, *range(0x20, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)])
     # The tokenizer's own pre-token pattern (fixed value).
     _PRETOKEN = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
 
@@ -145,6 +147,14 @@ class WordIds:
         self.words = Generations()
         self.pretokens = Generations()
 
+    def _plain(self, text: str) -> bool:
+        """Whether every library reads the characters of the text alike."""
+        try:
+            odd = text.encode("latin-1").translate(None, self._PLAIN_BYTES)
+        except UnicodeEncodeError:
+            return not self._PLAIN.search(text)
+        return not odd and "<|" not in text
+
     def _encode(self, texts: list[str]) -> list[bytes]:
         out = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [array("I", x.ids).tobytes() for x in out]
@@ -165,14 +175,16 @@ class WordIds:
 
     def ids(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit numbers."""
-        plain = self._PLAIN.search
-        split = [None if plain(text) else text.lower().split() for text in texts]
-        known = self.words
-        new = known.unknown(chain.from_iterable(words for words in split if words))
+        split = [text.lower().split() if self._plain(text) else None for text in texts]
+        # A batch has few distinct words: they are looked up once in the large cache, and
+        # the texts then in a small table.
+        words = set(chain.from_iterable(words for words in split if words))
+        new = self.words.unknown(words)
         if new:
-            self._learn(list(new))
+            self._learn(sorted(new))
+        known = dict(zip(words, map(self.words.__getitem__, words), strict=True))
         whole = iter(self._encode([t for t, s in zip(texts, split, strict=True) if s is None]))
         return [
-            next(whole) if words is None else b"".join([known[word] for word in words])
+            next(whole) if words is None else b"".join(map(known.__getitem__, words))
             for words in split
         ]
