@@ -25,13 +25,15 @@ def words(text: Column) -> Column:
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
-    """Adds size, importance and a digest of the row, from which its random number comes."""
+    """Adds size, importance, a digest of the row, from which its random number comes, and
+    a number of its own, which tells rows of one digest apart."""
     parts = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in ("doc_id", "source", "text")]
     digest = F.md5(F.concat_ws("|", *parts).cast("binary"))
     return (
         docs.withColumn("_size", words(F.col("text")))
         .withColumn("_importance", F.when(F.col("_size") >= FULL_WORDS, 2).otherwise(1))
         .withColumn("_digest", digest)
+        .withColumn("_own", F.xxhash64(F.monotonically_increasing_id()))
     )
 
 
@@ -51,8 +53,9 @@ class Mix:
     """What decides each row: one row a source and importance.
 
     Columns: _source, _importance, source_size, target, _whole copies of every
-    document, the _expected copies, and the last order key of the sample (_cut, and
-    inside its interval _last).
+    document, the _expected copies, and where the sample ends: the interval _cut, inside
+    it the key and digest _last, and of the rows that share these the own number _upto
+    (null: all of them).
     """
 
     plan: DataFrame
@@ -61,7 +64,8 @@ class Mix:
         """``docs(doc_id, source, text, ...)`` with _size, _copies, source_size and target.
 
         The plan has two rows a source; nothing else is joined, so the rows are not
-        shuffled unless the plan is too large to broadcast.
+        shuffled unless the plan is too large to broadcast. Rows are told apart by their
+        places: ``docs`` should be read from the files that the mix was planned on.
         """
         return _apply(_keyed(docs), self.plan)
 
@@ -71,12 +75,15 @@ def _apply(keyed: DataFrame, plan: DataFrame) -> DataFrame:
     same = F.col("source").eqNullSafe(F.col("_source")) & (F.col("_importance") == F.col("_level"))
     joined = keyed.join(plan, same, "left").withColumn("_key", key)
     place = _interval(F.col("_key"))
-    inside = F.struct(F.col("_key"), F.col("_digest")) <= F.col("_last")
+    here = F.struct(F.col("_key"), F.col("_digest"))
+    some = F.col("_upto").isNull() | (F.col("_own") <= F.col("_upto"))
+    inside = (here < F.col("_last")) | ((here == F.col("_last")) & some)
     picked = (place < F.col("_cut")) | ((place == F.col("_cut")) & F.coalesce(inside, F.lit(False)))
     copies = F.col("_whole") + F.coalesce(picked, F.lit(False)).cast("int")
     return joined.withColumn("_copies", copies.cast("int")).drop(
-        "_source", "_level", "_key", "_cut", "_last", "_whole", "_expected", "_importance", "_digest"
-    )
+        "_source", "_level", "_key", "_cut", "_last", "_upto", "_whole", "_expected", "_importance",
+        "_digest", "_own",
+    )
 
 
 def _targets(sources: DataFrame, weights: tuple[int, ...], share: float, most: int) -> DataFrame:
@@ -192,25 +199,71 @@ def plan_mix(
     at_cut = keyed.join(
         cuts, F.col("_source").eqNullSafe(F.col("_s")) & (F.col("_place") == F.col("_p"))
     )
+    # Rows of one key and digest are one row here, however many they are.
+    equal = at_cut.groupBy("_source", "_key", "_digest", "_size", "_budget", "_before").agg(
+        F.count("*").alias("_rows")
+    )
     inner = Window.partitionBy("_source").orderBy("_key", "_digest")
     so_far = F.col("_before") + F.coalesce(
-        F.sum("_size").over(inner.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)
+        F.sum(F.col("_size") * F.col("_rows")).over(
+            inner.rowsBetween(Window.unboundedPreceding, -1)
+        ),
+        F.lit(0),
     )
-    last = (
-        at_cut.withColumn("_so_far", so_far)
+    # A row is taken when the budget reaches the middle of its words.
+    room = F.floor(2 * F.col("_budget")) - 2 * F.col("_so_far") - F.col("_size")
+    taken = F.when(F.col("_size") == 0, F.col("_rows")).otherwise(
+        F.least(F.col("_rows"), F.floor(room / (2 * F.col("_size"))) + 1)
+    )
+    ends = scratch.keep(
+        equal.withColumn("_so_far", so_far)
         .filter("2 * _so_far + _size <= 2 * _budget")
+        .withColumn("_taken", taken)
         .groupBy(F.col("_source").alias("_t"))
-        .agg(F.max(F.struct("_key", "_digest")).alias("_last"))
+        .agg(F.max(F.struct("_key", "_digest", "_taken", "_rows")).alias("_end"))
+        .select("_t", F.struct("_end._key", "_end._digest").alias("_last"), "_end._taken", "_end._rows"),
+        "ends",
+    )
+    last = ends.select("_t", "_last").join(
+        _part_of_equal_rows(scratch, measured, ends), F.col("_t").eqNullSafe(F.col("_u")), "left"
     )
     plan = (
         expected.join(cuts, F.col("_source").eqNullSafe(F.col("_s")), "left")
         .join(last, F.col("_source").eqNullSafe(F.col("_t")), "left")
         .withColumn("_cut", F.when(F.col("_budget") > 0, F.coalesce("_p", F.lit(INTERVALS + 1))).otherwise(-1))
-        .drop("_s", "_p", "_before", "_t", "_budget")
+        .drop("_s", "_p", "_before", "_t", "_u", "_budget")
     )
     return Mix(scratch.keep(plan, "plan")), measured
 
 
+def _part_of_equal_rows(scratch: Scratch, measured: DataFrame, ends: DataFrame) -> DataFrame:
+    """(_u, _upto): own number up to which the equal rows at the end are taken, by source.
+
+    The rows of one digest may be a third of the table, so their own numbers are counted
+    in intervals too, and only the interval that holds the last row taken is ranked.
+    """
+    part = ends.filter("_taken < _rows").select(
+        F.col("_t").alias("_u"), F.col("_last._digest").alias("_d"), "_taken"
+    )
+    same = F.col("source").eqNullSafe(F.col("_u")) & (F.col("_digest") == F.col("_d"))
+    bits = 63 - (INTERVALS.bit_length() - 2)
+    rows = measured.join(part, same).select(
+        "_u", "_taken", "_own", F.shiftright("_own", bits).alias("_slot")
+    )
+    slots = rows.groupBy("_u", "_taken", "_slot").agg(F.count("*").alias("_n"))
+    running = Window.partitionBy("_u").orderBy("_slot")
+    before = F.sum("_n").over(running.rowsBetween(Window.unboundedPreceding, -1))
+    cut = (
+        slots.withColumn("_before", F.coalesce(before, F.lit(0)))
+        .filter("_before < _taken AND _taken <= _before + _n")
+        .select(F.col("_u").alias("_v"), F.col("_slot").alias("_w"), "_before")
+    )
+    there = rows.join(cut, F.col("_u").eqNullSafe(F.col("_v")) & (F.col("_slot") == F.col("_w")))
+    place = F.col("_before") + F.row_number().over(Window.partitionBy("_u").orderBy("_own"))
+    found = there.withColumn("_place", place).filter("_place = _taken")
+    return scratch.keep(found.select("_u", F.col("_own").alias("_upto")), "part")
+
+
 def mixed(docs: DataFrame) -> DataFrame:
     """(doc_id, source, size, source_size, target, copies, taken) of every document.
 
@@ -219,9 +272,11 @@ def mixed(docs: DataFrame) -> DataFrame:
     of a source differ from its target by less than a document.
 
     Null texts and sources are allowed: a null text has no words, null is a source of
-    its own and comes last. Rows equal in id, source and text are used alike. An
-    empty table gives an empty mix. The random numbers follow from the rows, so
-    reruns agree on any cluster. Other columns are not read.
+    its own and comes last. Rows equal in id, source and text share their random number,
+    so they follow each other in the order; where the target ends among them, as many of
+    them are used as come nearest to it. An empty table gives an empty mix. The random
+    numbers follow from the rows, so reruns agree on any cluster, but for which of several
+    equal rows is used. Other columns are not read.
     """
     mix, measured = plan_mix(docs, Scratch(docs.sparkSession, "mix"))
     return _apply(measured, mix.plan).select(
@@ -292,13 +347,13 @@ filled AS (
   SELECT *, coalesce(sum(size) OVER (PARTITION BY source ORDER BY key, digest
     ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS so_far
   FROM keyed WHERE key IS NOT NULL AND budget > 0),
-lasts AS (
-  SELECT source, max({{'key': key, 'digest': digest}}) AS last FROM filled
-  WHERE 2 * so_far + size <= 2 * budget GROUP BY source)
-SELECT doc_id, k.source, CAST(size AS BIGINT) AS size, source_size, target,
-  CAST(floor(copies) AS INTEGER) + CASE WHEN key IS NOT NULL AND budget > 0
-    AND {{'key': key, 'digest': digest}} <= last THEN 1 ELSE 0 END AS copies,
-  CAST((CAST(floor(copies) AS INTEGER) + CASE WHEN key IS NOT NULL AND budget > 0
-    AND {{'key': key, 'digest': digest}} <= last THEN 1 ELSE 0 END) * size AS BIGINT) AS taken
-FROM keyed k LEFT JOIN lasts l ON k.source IS NOT DISTINCT FROM l.source
+decided AS (
+  SELECT doc_id, source, size, source_size, target, CAST(floor(copies) AS INTEGER)
+    + CASE WHEN 2 * so_far + size <= 2 * budget THEN 1 ELSE 0 END AS copies FROM filled
+  UNION ALL
+  SELECT doc_id, source, size, source_size, target, CAST(floor(copies) AS INTEGER) FROM keyed
+  WHERE key IS NULL OR budget <= 0)
+SELECT doc_id, source, CAST(size AS BIGINT) AS size, source_size, target, copies,
+  CAST(copies * size AS BIGINT) AS taken
+FROM decided
 """

@@ -157,6 +157,25 @@ def test_mix_targets(spark):
     assert len(level) <= 1
 
 
+@pytest.mark.parametrize("intervals", [pareto_mix.INTERVALS, 4])
+def test_one_row_repeated_a_thousand_times(spark, monkeypatch, intervals):
+    """The target is met within a document, also where it ends among equal rows."""
+    from compare import difference
+
+    monkeypatch.setattr(pareto_mix, "INTERVALS", intervals)
+    for copied in range(2):
+        rows = [(i, "w " * 100, "a", "x", "y") for i in range(1000)]
+        rows += [(5000 + copied, "w " * 100, "a", "x", "y")] * 1000
+        rows += [(9000 + i, "w " * 10, "b", "x", "y") for i in range(300)] + [(9999, "w " * 10, "b", "x", "y")] * 500
+        docs = spark.createDataFrame(rows, DOCS).repartition(6)
+        got = pareto_mix.mixed(docs).toPandas()
+        by_source = got.groupby("source").agg(taken=("taken", "sum"), target=("target", "first"), most=("size", "max"))
+        assert ((by_source.taken - by_source.target).abs() <= by_source.most).all()
+        con = duckdb.connect()
+        con.register("documents", docs.select("doc_id", "text", "source").toPandas())
+        assert difference(got, con.sql(pareto_mix.ORACLE).df()) is None
+
+
 def test_likelier_documents_are_taken_more(spark):
     rows = [(i, "w " * (60 if i % 2 else 10), s, "x", "y") for i in range(4000) for s in ("a", "b")]
     got = pareto_mix.mixed(spark.createDataFrame(rows, DOCS)).toPandas()
@@ -176,6 +195,7 @@ def test_copies_of_whole_rows(spark):
     rows = mix.copies(docs)
     assert set(docs.columns) <= set(rows.columns)
     got = sorted((r.doc_id or -1, r._copies) for r in rows.collect())
+    assert not [c for c in rows.columns if c in ("_own", "_upto", "_digest")]
     assert got == sorted((r.doc_id or -1, r.copies) for r in pareto_mix.mixed(docs).collect())
 
 
