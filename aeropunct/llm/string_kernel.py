@@ -1,11 +1,13 @@
-"""Toxicity: a subsequence string kernel with Nyström landmarks and a linear SVM.
-
-The kernel of two short strings counts the letter subsequences of length 3 and 4
-they share, each occurrence damped by the span it covers, so letters inserted into
-or left out of a word cost some similarity and not all of it. A landmark has few
-subsequences; the decision function, a weighted sum of kernels with the landmarks,
-is therefore a table from subsequences to weights. Scoring looks up the
-subsequences of a text in that table, which gives the same number as the kernels.
+"""Toxicity: a subsequence string kernel on sentences, Nyström landmarks and a linear SVM.
+
+The kernel of two sentences adds up, over all their words, the letter subsequences of
+length 3 and 4 they share, each occurrence damped by the span it covers, so letters
+inserted into or left out of a word cost some similarity and not all of it. The landmarks
+are labelled sentences; executors compute the kernel rows of the sample's sentences, and
+the machine is solved on these rows. A landmark has few subsequences: the decision
+function, a weighted sum of kernels with the landmarks, is therefore a table from
+subsequences to weights, and scoring looks up the subsequences of a text in that table,
+which gives the same number as the kernels.
 """
 
 from __future__ import annotations
@@ -25,41 +27,64 @@ from pyspark.sql import functions as F
 
 from aeropunct.llm.arrays import CHUNK_BYTES, chunks
 from aeropunct.llm.common import Scratch, held_out
-from aeropunct.llm.training import training_sample
+from aeropunct.llm.training import class_counts, training_sample
 
 # Bounds of the training sample: documents of either label, characters of each.
 PER_CLASS = 2500
 MAX_CHARS = 40_000
-# Bounds of what a round of training learns from, and the number of landmarks.
-MAX_STRINGS = 12_000
-LANDMARKS = 192
-ROUNDS = 3
+# Bounds of the sentences to learn from, of the landmarks, and of the telling words that
+# choose the first sentences.
+MAX_SENTENCES = 12_000
+LANDMARKS = 384
+TELLING = 12_000
+ROUNDS = 2
 DECAY = 0.6
+COST = 20.0
 # A sentence is so many units in a row. Parts of the sample that calibrate each other.
-SENTENCE = 16
+SENTENCE = 3
 FOLDS = 3
-MAX_UNIT = 24
+# Copies of a text's strongest sentence with a letter inserted into each longer unit.
+INSERTIONS = 3
+# Words longer than this, and spaced-out runs longer than a window, are read through
+# windows: a word of up to WINDOW - STEP letters lies whole in one of them.
+MAX_UNIT, WINDOW, STEP = 24, 14, 4
 DECISION = 0.5
 
-# Letter codes: 0 ends a word, 1 to 26 are Latin letters without accents, 27 to 30
-# other letters, 31 the beginning of a unit.
+# Letter codes: 0 ends a word, 1 to 26 are Latin letters without accents, 31 the beginning
+# of a unit; other letters are their code point and 32.
 BASE = 32
 BEGIN = 31
-_SKIP = 255
+_SKIP = -1
 GAPS = [g for k in (2, 3) for g in product((1, 2, 3), repeat=k) if sum(g) <= (4 if k == 2 else 5)]
-TABLE = BASE**3 + BASE**4
+# Latin subsequences have a place each in the table, those with other letters share 2**20.
+LATIN = BASE**3 + BASE**4
+OTHER_BITS = 20
+TABLE = LATIN + (1 << OTHER_BITS)
+
+
+def _letter_code(point: int) -> int:
+    """Code of a character by its compatibility form, without case and accents."""
+    char = chr(point)
+    if char.isspace():
+        return 0
+    plain = unicodedata.normalize("NFKD", char.lower())[0].lower()
+    if not (char.isalpha() or plain.isalpha()):
+        return _SKIP
+    return ord(plain) - 96 if "a" <= plain <= "z" else 32 + ord(plain)
 
 
 @lru_cache(maxsize=1)
 def _letter_codes() -> np.ndarray:
-    codes = np.full(0x10000, _SKIP, np.uint8)
-    for point in range(0x10000):
-        char = chr(point)
-        if char.isspace():
-            codes[point] = 0
-        elif char.isalpha():
-            letter = unicodedata.normalize("NFD", char.lower())[0]
-            codes[point] = ord(letter) - 96 if "a" <= letter <= "z" else 27 + point % 4
+    return np.array([_letter_code(point) for point in range(0x10000)], np.int32)
+
+
+def _codes(points: np.ndarray) -> np.ndarray:
+    """Letter codes of all characters; the few beyond U+FFFF are looked up one by one."""
+    codes = _letter_codes()[np.minimum(points, 0xFFFF)]
+    far = np.flatnonzero(points > 0xFFFF)
+    if len(far):
+        distinct, which = np.unique(points[far], return_inverse=True)
+        codes[far] = np.array([_letter_code(int(p)) for p in distinct], np.int32)[which]
     return codes
 
 
@@ -67,11 +92,12 @@ def units(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Letters of all texts, where each unit begins in them, and each unit's text.
 
     A unit is a word without its signs and accents, or a run of single letters that
-    spaces separate; each begins with a mark. Long ones are cut.
+    spaces separate; each begins with a mark. Long ones are read through windows that
+    overlap, so that a word in them is whole in one and not diluted by all the others.
     """
     sizes = np.array([len(t) for t in texts], np.int64)
     points = np.frombuffer("".join(texts).encode("utf-32-le", "replace"), np.uint32)
-    codes = _letter_codes()[np.minimum(points, 0xFFFF)]
+    codes = _codes(points)
     doc = np.repeat(np.arange(len(texts)), sizes)
     used = np.flatnonzero(codes != _SKIP)
     codes, doc = codes[used], doc[used]
@@ -82,36 +108,57 @@ def units(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     word = np.cumsum(fresh)[letter] - 1
     letters, doc = codes[letter], doc[letter]
     if not len(letters):
-        return np.zeros(0, np.uint8), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        return np.zeros(0, np.int32), np.zeros(0, np.int64), np.zeros(0, np.int64)
     first = np.flatnonzero(np.append(True, word[1:] != word[:-1]))
     size = np.diff(np.append(first, len(letters)))
     single = size == 1
     joined = np.append(False, single[1:] & single[:-1] & (doc[first][1:] == doc[first][:-1]))
+    run = np.append(joined[1:], False)[~joined]
     first = first[~joined]
     size = np.diff(np.append(first, len(letters)))
-    pieces = -(-size // MAX_UNIT)
-    first = np.repeat(first, pieces)
-    first = first + MAX_UNIT * (np.arange(len(first)) - np.repeat(np.cumsum(pieces) - pieces, pieces))
-    return np.insert(letters, first, BEGIN), first + np.arange(len(first)), doc[first]
+    # Windows of long units: one every few letters until the end is covered.
+    long = size > np.where(run, WINDOW, MAX_UNIT)
+    windows = np.where(long, 1 - (WINDOW - size) // STEP, 1)
+    nth = np.arange(windows.sum()) - np.repeat(np.cumsum(windows) - windows, windows)
+    first, left = np.repeat(first, windows) + STEP * nth, np.repeat(size, windows) - STEP * nth
+    size = np.where(np.repeat(long, windows), np.minimum(left, WINDOW), left)
+    begin = np.cumsum(size + 1) - (size + 1)
+    out = np.full(int((size + 1).sum()), BEGIN, np.int32)
+    inside = np.repeat(first - begin - 1, size + 1) + np.arange(len(out))
+    marks = np.zeros(len(out), bool)
+    marks[begin] = True
+    out[~marks] = letters[inside[~marks]]
+    return out, begin, doc[first]
 
 
 def occurrences(letters: np.ndarray, first: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, float]]:
-    """Subsequences of all units by gap pattern: begin, code in the table, damping."""
+    """Subsequences of all units by gap pattern: inside one unit, place in the table, damping."""
     unit = np.repeat(np.arange(len(first)), np.diff(np.append(first, len(letters))))
-    wide = letters.astype(np.int32)
+    other = letters >= BASE
+    any_other = bool(other.any())
+    latin = np.where(other, 0, letters)
+    hashed = letters.astype(np.uint32)
     for gaps in GAPS:
         span = sum(gaps)
         if len(letters) <= span:
             continue
         n = len(letters) - span
-        code, at = wide[:n], 0
+        code, at = latin[:n], 0
         for gap in gaps:
             at += gap
-            code = code * BASE + wide[at : at + n]
-        inside = unit[:n] == unit[span:]
+            code = code * BASE + latin[at : at + n]
         if len(gaps) == 3:
             code = code + BASE**3
-        yield inside, code, DECAY ** (span + 1)
+        if any_other:
+            mixed, foreign, at = hashed[:n] + np.uint32(len(gaps)), other[:n], 0
+            for gap in gaps:
+                at += gap
+                mixed = (mixed ^ (mixed >> np.uint32(15))) * np.uint32(0x9E3779B1) + hashed[at : at + n]
+                foreign = foreign | other[at : at + n]
+            mixed = (mixed ^ (mixed >> np.uint32(16))) * np.uint32(0x85EBCA6B)
+            place = LATIN + (mixed >> np.uint32(32 - OTHER_BITS)).astype(np.int32)
+            code = np.where(foreign, place, code)
+        yield unit[:n] == unit[span:], code, DECAY ** (span + 1)
 
 
 @lru_cache(maxsize=1)
@@ -122,36 +169,46 @@ def _norms() -> np.ndarray:
     return np.sqrt(np.maximum(total, DECAY**8))
 
 
-def _joined(strings: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """Units given as strings, as ``units`` returns them."""
-    size = np.array([len(s) for s in strings], np.int64)
-    return np.frombuffer(b"".join(strings), np.uint8), np.cumsum(size) - size
+# -- the kernel on sentences ---------------------------------------------------
 
+# A sentence travels as a list of units, a unit as the bytes of its letter codes.
+Sentence = list[bytes]
 
-def _entries(strings: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Unit number, code and damped weight of every subsequence, divided by the norms."""
-    letters, first = _joined(strings)
-    size = np.diff(np.append(first, len(letters)))
+
+def _entries(rows: list[Sentence]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Sentence number, place and damped weight of every subsequence, over the norm."""
+    flat = [u for row in rows for u in row]
+    size = np.array([len(u) // 4 for u in flat], np.int64)
+    letters = np.frombuffer(b"".join(flat), np.int32)
+    first = np.cumsum(size) - size
     unit = np.repeat(np.arange(len(first)), size)
-    parts = [(unit[: len(c)][i], c[i], np.full(i.sum(), d)) for i, c, d in occurrences(letters, first)]
-    number, code, value = (np.concatenate(x) for x in zip(*parts, strict=True))
-    return number, code, value / _norms()[size[number]]
+    of = np.repeat(np.arange(len(rows)), [len(row) for row in rows])
+    norm = np.sqrt(np.bincount(of, _norms()[size] ** 2, len(rows)))
+    numbers, codes, values = [np.zeros(0, np.int64)], [np.zeros(0, np.int32)], [np.zeros(0, np.float32)]
+    for inside, code, damping in occurrences(letters, first):
+        number = of[unit[: len(code)][inside]]
+        numbers.append(number)
+        codes.append(code[inside])
+        values.append((damping / norm[number]).astype(np.float32))
+    return np.concatenate(numbers), np.concatenate(codes), np.concatenate(values)
 
 
 class Landmarks:
-    """Damped subsequence counts of the landmarks, a column each."""
+    """Damped subsequence counts of the landmark sentences, a column each."""
 
-    def __init__(self, strings: list[bytes]):
-        number, code, value = _entries(strings)
+    def __init__(self, rows: list[Sentence]):
+        number, code, value = _entries(rows)
         self.codes, row = np.unique(code, return_inverse=True)
-        self.counts = np.zeros((len(self.codes), len(strings)))
+        self.counts = np.zeros((len(self.codes), len(rows)), np.float32)
         np.add.at(self.counts, (row, number), value)
 
-    def kernel(self, strings: list[bytes], at_once: int = 1000) -> np.ndarray:
-        """Kernel values of all strings with the landmarks."""
-        out = np.zeros((len(strings), self.counts.shape[1]))
-        for at in range(0, len(strings), at_once):
-            number, code, value = _entries(strings[at : at + at_once])
+    def kernel(self, rows: list[Sentence], at_once: int = 500) -> np.ndarray:
+        """Kernel values of all sentences with the landmarks."""
+        out = np.zeros((len(rows), self.counts.shape[1]), np.float32)
+        if not len(self.codes):
+            return out
+        for at in range(0, len(rows), at_once):
+            number, code, value = _entries(rows[at : at + at_once])
             row = np.minimum(np.searchsorted(self.codes, code), len(self.codes) - 1)
             known = np.flatnonzero(self.codes[row] == code)
             known = known[np.argsort(number[known], kind="stable")]
@@ -161,6 +218,12 @@ class Landmarks:
                 out[at + number[known][first]] = np.add.reduceat(products, first)
         return out
 
+    def table(self, alphas: np.ndarray) -> np.ndarray:
+        """Weights of all subsequences that give the same as ``alphas`` on the kernels."""
+        weights = np.zeros(TABLE, np.float32)
+        weights[self.codes] = self.counts @ alphas
+        return weights
+
 
 def sums(letters: np.ndarray, first: np.ndarray, weights: np.ndarray) -> np.ndarray:
     """Weights of every unit's damped subsequences, added up and not normalised."""
@@ -175,117 +238,76 @@ def sentences(doc: np.ndarray) -> np.ndarray:
     return np.flatnonzero((np.arange(len(doc)) - np.searchsorted(doc, doc)) % SENTENCE == 0)
 
 
-N_FEATURES = 7
+# -- the model -----------------------------------------------------------------
+
+N_FEATURES = 8
 
 
 @dataclass(frozen=True)
 class ToxicityModel:
-    weights: np.ndarray  # of every subsequence, by code
+    weights: np.ndarray  # of every subsequence, by its place
     bias: float
-    sentence_weights: np.ndarray | None = None  # the same, of the machine over sentences
-    sentence_bias: float = 0.0
     slopes: np.ndarray | None = None  # of the probability in the features of a text
     offset: float = 0.0
     seen: np.ndarray | None = None  # least and largest features it was fitted on
 
-    def best(self, texts: list[str]) -> tuple[np.ndarray, list[bytes]]:
-        """Features of each text and its strongest unit.
-
-        The features are the largest unit score, the largest and the mean sentence score,
-        the logarithms of the numbers of strong units, strong sentences and units, and
-        the score of the text as one sentence. Texts without letters get those of a text
-        less suspicious than one unit of unknown subsequences.
-        """
+    def sentence_scores(self, texts: list[str]) -> tuple[np.ndarray, ...]:
+        """(scores of all sentences, first unit of each, units as ``units`` returns them)."""
         letters, first, doc = units(texts)
-        size = np.diff(np.append(first, len(letters)))
-        norm = _norms()[size]
-        scores = sums(letters, first, self.weights) / norm + self.bias
-        out = np.zeros((len(texts), N_FEATURES))
-        out[:, 0] = self.bias - 1
-        out[:, [1, 2, 6]] = self.sentence_bias - 1
-        where = np.full(len(texts), -1)
-        if len(doc):
-            start = np.flatnonzero(np.append(True, doc[1:] != doc[:-1]))
-            have = doc[start]
-            out[have, 0] = np.maximum.reduceat(scores, start)
-            order = np.lexsort((-scores, doc))
-            where[have] = order[start]
-            out[have, 5] = np.log(np.diff(np.append(start, len(doc))))
-            if self.sentence_weights is not None:
-                raw = sums(letters, first, self.sentence_weights)
-                begin = sentences(doc)
-                sentence = np.add.reduceat(raw, begin) / np.sqrt(np.add.reduceat(norm**2, begin))
-                sentence += self.sentence_bias
-                head = np.searchsorted(begin, start)
-                number = np.diff(np.append(head, len(begin)))
-                out[have, 1] = np.maximum.reduceat(sentence, head)
-                out[have, 2] = np.add.reduceat(sentence, head) / number
-                strong = (raw / norm + self.sentence_bias > 0).astype(float)
-                out[have, 3] = np.log1p(np.add.reduceat(strong, start))
-                out[have, 4] = np.log1p(np.add.reduceat((sentence > 0).astype(float), head))
-                whole = np.add.reduceat(raw, start) / np.sqrt(np.add.reduceat(norm**2, start))
-                out[have, 6] = whole + self.sentence_bias
-        ends = np.append(first[1:], len(letters))
-        return out, [letters[first[u] : ends[u]].tobytes() if u >= 0 else b"" for u in where]
+        norm = _norms()[np.diff(np.append(first, len(letters)))]
+        raw = sums(letters, first, self.weights)
+        begin = sentences(doc)
+        if not len(doc):
+            return np.zeros(0), begin, letters, first, doc, raw, norm
+        scores = np.add.reduceat(raw, begin) / np.sqrt(np.add.reduceat(norm**2, begin)) + self.bias
+        return scores, begin, letters, first, doc, raw, norm
+
+    def features(self, texts: list[str]) -> np.ndarray:
+        """What the probability is made of, a row a text; NaN for a text without letters.
+
+        The largest score of a unit alone, the largest, second and mean sentence score,
+        the logarithms of the numbers of strong units, strong sentences and units, and the
+        score of the text as one sentence.
+        """
+        scores, begin, _, _, doc, raw, norm = self.sentence_scores(texts)
+        out = np.full((len(texts), N_FEATURES), np.nan)
+        if not len(doc):
+            return out
+        start = np.flatnonzero(np.append(True, doc[1:] != doc[:-1]))
+        head = np.searchsorted(begin, start)
+        number = np.diff(np.append(head, len(begin)))
+        alone = raw / norm + self.bias
+        of = np.repeat(np.arange(len(head)), number)
+        ranked = scores[np.lexsort((-scores, of))]
+        second = np.where(number > 1, ranked[np.minimum(head + 1, len(ranked) - 1)], self.bias - 1)
+        whole = np.add.reduceat(raw, start) / np.sqrt(np.add.reduceat(norm**2, start))
+        out[doc[start]] = np.stack(
+            [
+                np.maximum.reduceat(alone, start),
+                ranked[head],
+                second,
+                np.add.reduceat(scores, head) / number,
+                np.log1p(np.add.reduceat((alone > 0).astype(float), start)),
+                np.log1p(np.add.reduceat((scores > 0).astype(float), head)),
+                np.log(np.diff(np.append(start, len(doc)))),
+                whole + self.bias,
+            ],
+            axis=1,
+        )
+        return out
 
     def probability(self, features: np.ndarray) -> np.ndarray:
         z = np.full(len(features), self.offset)
         if self.slopes is not None:
             # No guess beyond what was seen, as for a text longer than all of the sample.
-            z = z + np.clip(features, *self.seen) @ self.slopes
+            parts = np.clip(features, *self.seen) * self.slopes
+            # Without letters a text is as little suspicious as any could be.
+            least = (self.seen * self.slopes).min(axis=0)
+            z = z + np.where(np.isnan(parts), least, parts).sum(axis=1)
         return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
 
-class Sentences:
-    """Kernel machine over sentences, evaluated in its primal form without landmarks.
-
-    A sentence has the damped subsequences of all its units, divided by the norm of
-    their lengths. Squared hinge loss, Newton steps by conjugate gradients.
-    """
-
-    def __init__(self, rows: list[list[bytes]]):
-        letters, first = _joined([u for row in rows for u in row])
-        size = np.diff(np.append(first, len(letters)))
-        unit = np.repeat(np.arange(len(first)), size)
-        of = np.repeat(np.arange(len(rows)), [len(row) for row in rows])
-        norm = np.sqrt(np.bincount(of, _norms()[size] ** 2, len(rows)))
-        parts = []
-        for inside, code, damping in occurrences(letters, first):
-            number = of[unit[: len(code)][inside]].astype(np.int32)
-            parts.append((number, code[inside], (damping / norm[number]).astype(np.float32)))
-        self.number, self.code, self.value = (np.concatenate(x) for x in zip(*parts, strict=True))
-        self.n = len(rows)
-
-    def _scores(self, w: np.ndarray) -> np.ndarray:
-        return np.bincount(self.number, w[self.code] * self.value, self.n)
-
-    def fit(self, y: np.ndarray, weight: np.ndarray, cost: float = 20.0) -> tuple[np.ndarray, float]:
-        w, bias, active = np.zeros(TABLE), 0.0, np.ones(self.n, bool)
-        for _ in range(4):
-            d = weight * active
-
-            def times(v: np.ndarray, b: float, d=d) -> tuple[np.ndarray, float]:
-                z = d * (self._scores(v) + b)
-                return v / cost + np.bincount(self.code, z[self.number] * self.value, TABLE), z.sum() + 1e-6 * b
-
-            now, now_b = times(w, bias)
-            r = np.bincount(self.code, (d * y)[self.number] * self.value, TABLE) - now
-            r_b = (d * y).sum() - now_b
-            p, p_b, size = r.copy(), r_b, r @ r + r_b * r_b
-            least = 1e-6 * size
-            for _ in range(12):
-                if size <= least:
-                    break
-                a, a_b = times(p, p_b)
-                step = size / (p @ a + p_b * a_b)
-                w, bias, r, r_b = w + step * p, bias + step * p_b, r - step * a, r_b - step * a_b
-                size, before = r @ r + r_b * r_b, size
-                p, p_b = r + size / before * p, r_b + size / before * p_b
-            active = y * (self._scores(w) + bias) < 1
-        return w.astype(np.float32), float(bias)
-
-
-def _svm(x: np.ndarray, y: np.ndarray, weight: np.ndarray, cost: float = 20.0) -> np.ndarray:
+def _svm(x: np.ndarray, y: np.ndarray, weight: np.ndarray, cost: float = COST) -> np.ndarray:
     """Linear SVM with squared hinge loss by Newton steps on the active rows."""
     x = np.concatenate([x, np.ones((len(x), 1))], axis=1)
     w = np.zeros(x.shape[1])
@@ -302,132 +324,168 @@ def _svm(x: np.ndarray, y: np.ndarray, weight: np.ndarray, cost: float = 20.0) -
     return w
 
 
-def fit(strings: list[bytes], y: np.ndarray, weight: np.ndarray) -> ToxicityModel:
-    """SVM in the Nyström space of landmarks taken from the strings themselves.
+class Machine:
+    """The SVM in the Nyström space of its landmarks, given the kernel rows."""
 
-    Half of the landmarks are the positive strings with the largest weights, half the
-    negative ones; ties by the string.
-    """
-    rank = sorted(range(len(strings)), key=lambda i: (-weight[i], strings[i]))
-    chosen = [i for i in rank if y[i] > 0][: LANDMARKS // 2]
-    chosen += [i for i in rank if y[i] < 0][: LANDMARKS // 2]
-    landmarks = Landmarks([strings[i] for i in chosen])
-    value, vector = np.linalg.eigh(landmarks.kernel([strings[i] for i in chosen]))
-    keep = value > 1e-6 * value.max()
-    project = vector[:, keep] / np.sqrt(value[keep])
-    w = _svm(landmarks.kernel(strings) @ project, y, weight)
-    table = np.zeros(TABLE, np.float32)
-    table[landmarks.codes] = landmarks.counts @ (project @ w[:-1])
-    return ToxicityModel(table, float(w[-1]))
-
-
-def _logistic(features: np.ndarray, label: np.ndarray) -> tuple[np.ndarray, float]:
-    """Slopes and offset of the probability, by Newton steps on scaled features."""
+    def __init__(self, landmarks: Landmarks, own: np.ndarray, rows: np.ndarray):
+        value, vector = np.linalg.eigh(own.astype(float))
+        keep = value > 1e-6 * max(value.max(), 1e-9)
+        self.landmarks = landmarks
+        self.project = vector[:, keep] / np.sqrt(value[keep])
+        self.x = rows @ self.project
+
+    def fit(self, y: np.ndarray, weight: np.ndarray) -> ToxicityModel:
+        w = _svm(self.x, y, weight)
+        return ToxicityModel(self.landmarks.table(self.project @ w[:-1]), float(w[-1]))
+
+
+def _logistic(
+    features: np.ndarray, label: np.ndarray, weight: np.ndarray
+) -> tuple[np.ndarray, float]:
+    """Slopes and offset of the probability, by weighted Newton steps on scaled features."""
     mean, spread = features.mean(0), features.std(0)
     spread = np.where(spread > 1e-9, spread, 1.0)
     x = np.concatenate([(features - mean) / spread, np.ones((len(features), 1))], axis=1)
     w = np.zeros(x.shape[1])
     for _ in range(60):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        hessian = (x.T * (p * (1 - p))) @ x + 1e-2 * np.eye(len(w))
-        step = np.linalg.solve(hessian, x.T @ (p - label) + 1e-2 * w)
+        hessian = (x.T * (weight * p * (1 - p))) @ x + 1e-2 * np.eye(len(w))
+        step = np.linalg.solve(hessian, x.T @ (weight * (p - label)) + 1e-2 * w)
         w = w - step / max(1.0, np.abs(step).max())
     slopes = w[:-1] / spread
     return slopes, float(w[-1] - slopes @ mean)
 
 
+# -- training ------------------------------------------------------------------
+
+
 def _document_units(sample: DataFrame) -> DataFrame:
-    """(doc, label, unit) once for each document of the sample."""
+    """(label, unit) once for each document of the sample."""
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in chunks(batches):
             letters, first, number = units(batch.column(1).to_pylist())
             ends, data = np.append(first[1:], len(letters)), letters.tobytes()
             bounds = zip(number.tolist(), first.tolist(), ends.tolist(), strict=True)
-            found = sorted({(d, data[a:b]) for d, a, b in bounds})
+            found = sorted({(d, data[4 * a : 4 * b]) for d, a, b in bounds})
             rows = pa.array([d for d, _ in found], pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column(3).take(rows),
-                    batch.column(2).take(rows),
-                    pa.array([u for _, u in found], pa.binary()),
-                ],
-                ["doc", "label", "unit"],
+                [batch.column(2).take(rows), pa.array([u for _, u in found], pa.binary())],
+                ["label", "unit"],
             )
 
-    keyed = sample.select("doc_id", "text", "label", F.xxhash64("doc_id", "text").alias("doc"))
-    return keyed.mapInArrow(split, "doc long, label int, unit binary")
-
-
-def _with_insertions(witnesses: dict[bytes, float]) -> dict[bytes, float]:
-    """Adds each frequent witness with one letter inserted at each inner place.
-
-    The letter follows from the word and the place, so reruns agree.
-    """
-    out = dict(witnesses)
-    for unit, n in witnesses.items():
-        if n >= 5 and len(unit) < MAX_UNIT:
-            for at in range(3, len(unit)):
-                letter = bytes([1 + (sum(unit) * 7 + at * 11) % 26])
-                out.setdefault(unit[:at] + letter + unit[at:], 1.0)
-    return out
-
+    return sample.mapInArrow(split, "label int, unit binary")
 
-def _witnesses(found: DataFrame, rated: DataFrame) -> DataFrame:
-    """(unit, n): each toxic text's most telling unit, and for how many texts it is that."""
-    telling = rated.filter("toxic >= 3 AND gain > 6 AND toxic > 10 * clean")
-    best = F.max_by("unit", F.struct("gain", "unit"))
-    mine = found.filter("label = 1").join(telling, "unit").groupBy("doc").agg(best.alias("unit"))
-    return mine.groupBy("unit").agg(F.count("*").alias("n"))
 
+def _telling(sample: DataFrame, n_clean: int, n_toxic: int) -> dict[bytes, float]:
+    """Log odds of the units that tell the labels apart best: at most ``TELLING`` of them."""
+    counts = _document_units(sample).groupBy("unit").agg(
+        F.expr("count_if(label = 1)").alias("toxic"), F.expr("count_if(label = 0)").alias("clean")
+    )
+    odds = F.log((F.col("toxic") + 0.5) / (n_toxic + 1) * (n_clean + 1) / (F.col("clean") + 0.5))
+    rated = counts.filter("toxic >= 3").withColumn("odds", odds).filter("odds > 1")
+    best = rated.orderBy(F.desc(F.col("toxic") * F.col("odds")), "unit").limit(TELLING)
+    return {bytes(r.unit): r.odds for r in best.collect()}
 
-def _best_units(sample: DataFrame, model: ToxicityModel) -> list:
-    """(label, best, unit) of each document of the sample: a bounded number of rows."""
 
-    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in chunks(batches):
-            best, found = model.best(batch.column(1).to_pylist())
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(2), pa.array(best[:, 0]), pa.array(found, pa.binary())],
-                ["label", "best", "unit"],
-            )
+def _fold(text: str) -> int:
+    return zlib.crc32(text.encode("utf-8", "replace")) % FOLDS
 
-    return sample.mapInArrow(score, "label int, best double, unit binary").collect()
 
+def _document_sentences(sample: DataFrame, rate, least: int) -> DataFrame:
+    """(label, fold, place, units, found) of the sentences to learn from.
 
-def _document_sentences(sample: DataFrame, gain: dict[bytes, float]) -> DataFrame:
-    """(label, fold, place, units) of the sentences to learn from: of a toxic text the
-    four with the largest sums of gains, of another text the first of these and two more."""
+    ``rate`` gives the suspicion of all sentences of some texts. Of a toxic text the four
+    most suspicious are taken as far as they are suspicious, ``least`` at least; of another
+    text the two most suspicious and two more. The first of a toxic text also comes with a
+    letter put into its longer units, in some ways, so that the machine learns what it
+    costs; these are not ``found`` in a text.
+    """
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in chunks(batches):
             texts, labels = batch.column(1).to_pylist(), batch.column(2).to_pylist()
-            letters, first, doc = units(texts)
-            ends, data = np.append(first[1:], len(letters)), letters.tobytes()
-            words = [data[a:b] for a, b in zip(first.tolist(), ends.tolist(), strict=True)]
-            begin = sentences(doc)
+            scores, begin, letters, first, doc = rate(texts)[:5]
+            ends = np.append(first[1:], len(letters))
             until = np.append(begin[1:], len(doc))
+            data = letters.tobytes()
             found: dict[int, list] = {}
-            for a, b in zip(begin.tolist(), until.tolist(), strict=True):
-                row = words[a:b]
-                place = zlib.crc32(b"".join(row))
-                found.setdefault(int(doc[a]), []).append((-sum(gain.get(u, 0.0) for u in row), place, row))
+            for score, a, b in zip(scores.tolist(), begin.tolist(), until.tolist(), strict=True):
+                cuts = zip(first[a:b].tolist(), ends[a:b].tolist(), strict=True)
+                row = [data[4 * i : 4 * j] for i, j in cuts]
+                place = zlib.crc32(b"|".join(row))
+                found.setdefault(int(doc[a]), []).append((-score, place, row))
             rows = []
             for at, those in found.items():
                 those.sort()
                 if labels[at] == 1:
-                    chosen = [r for r in those[:4] if r[0] < 0]
+                    chosen = those[:least] + [r for r in those[least:4] if r[0] < 0]
                 else:
-                    chosen = those[:1] + sorted(those[1:], key=lambda r: r[1])[:2]
-                fold = zlib.crc32(texts[at].encode("utf-8", "replace")) % FOLDS
-                rows += [(labels[at], fold, place, row) for _, place, row in chosen]
-            kinds = [pa.int32(), pa.int32(), pa.int64(), pa.list_(pa.binary())]
+                    chosen = those[:2] + sorted(those[2:], key=lambda r: r[1])[:2]
+                copies = INSERTIONS if chosen and labels[at] == 1 else 0
+                made = [_with_insertions(chosen[0][2], k) for k in range(copies)]
+                fold = _fold(texts[at])
+                rows += [(labels[at], fold, place, row, True) for _, place, row in chosen]
+                rows += [(labels[at], fold, chosen[0][1], row, False) for row in made]
+            kinds = [pa.int32(), pa.int32(), pa.int64(), pa.list_(pa.binary()), pa.bool_()]
             yield pa.RecordBatch.from_arrays(
                 [pa.array([r[k] for r in rows], kind) for k, kind in enumerate(kinds)],
-                ["label", "fold", "place", "units"],
+                ["label", "fold", "place", "units", "found"],
+            )
+
+    kinds = "label int, fold int, place long, units array<binary>, found boolean"
+    return sample.mapInArrow(split, kinds)
+
+
+def _with_insertions(row: Sentence, k: int) -> Sentence:
+    """The sentence with a letter put into each unit of five letters or more.
+
+    Letter and place follow from the unit and the number ``k``, so reruns agree.
+    """
+    out = []
+    for unit in row:
+        letters = np.frombuffer(unit, np.int32)
+        if 6 <= len(letters) <= MAX_UNIT:
+            seed = zlib.crc32(unit, k)
+            at, letter = 3 + seed % (len(letters) - 3), 1 + seed // 64 % 26
+            unit = np.insert(letters, at, letter).astype(np.int32).tobytes()
+        out.append(unit)
+    return out
+
+
+def _by_gain(gain: dict[bytes, float]):
+    """Suspicion of a sentence as the sum of its units' log odds."""
+
+    def rate(texts: list[str]) -> tuple[np.ndarray, ...]:
+        letters, first, doc = units(texts)
+        ends, data = np.append(first[1:], len(letters)), letters.tobytes()
+        bounds = zip(first.tolist(), ends.tolist(), strict=True)
+        rated = np.array([gain.get(data[4 * a : 4 * b], 0.0) for a, b in bounds])
+        begin = sentences(doc)
+        return np.add.reduceat(rated, begin) if len(doc) else rated, begin, letters, first, doc
+
+    return rate
+
+
+def _kernel_rows(chosen: DataFrame, landmarks: Landmarks) -> tuple[np.ndarray, ...]:
+    """(label, fold, kernel row) of every sentence; executors compute the rows."""
+    shared = chosen.sparkSession.sparkContext.broadcast(landmarks)
+    width = landmarks.counts.shape[1]
+
+    def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = shared.value.kernel(batch.column(3).to_pylist())
+            packed = pa.array([r.tobytes() for r in rows], pa.binary())
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(1), batch.column(2), packed],
+                ["label", "fold", "place", "row"],
             )
 
-    return sample.mapInArrow(split, "label int, fold int, place long, units array<binary>")
+    found = chosen.mapInArrow(compute, "label int, fold int, place long, row binary")
+    # At most MAX_SENTENCES rows of LANDMARKS numbers, in an order that reruns repeat.
+    table = found.toArrow().sort_by([("label", "ascending"), ("place", "ascending"), ("row", "ascending")])
+    rows = np.frombuffer(b"".join(table.column("row").to_pylist()), np.float32).reshape(-1, width)
+    return table.column("label").to_numpy(), table.column("fold").to_numpy(), rows
 
 
 def _features(sample: DataFrame, models: list[ToxicityModel]) -> tuple[np.ndarray, np.ndarray]:
@@ -437,98 +495,91 @@ def _features(sample: DataFrame, models: list[ToxicityModel]) -> tuple[np.ndarra
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in chunks(batches):
             texts = batch.column(1).to_pylist()
-            fold = np.array([zlib.crc32(t.encode("utf-8", "replace")) % FOLDS for t in texts])
-            out = np.zeros((len(texts), N_FEATURES))
+            fold = np.array([_fold(t) for t in texts])
+            out = np.full((len(texts), N_FEATURES), np.nan)
             for k, model in enumerate(shared.value):
                 mine = np.flatnonzero(fold == k)
-                out[mine] = model.best([texts[i] for i in mine])[0]
+                out[mine] = model.features([texts[i] for i in mine])
             yield pa.RecordBatch.from_arrays(
                 [batch.column(2), pa.array(list(out), pa.list_(pa.float64()))], ["label", "features"]
             )
 
-    rows = sample.mapInArrow(score, "label int, features array<double>").collect()
-    return np.array([r.features for r in rows]), np.array([float(r.label) for r in rows])
+    found = sample.mapInArrow(score, "label int, features array<double>").collect()
+    # Texts without letters have no features. The order is one that reruns repeat.
+    rows = sorted((r.label, r.features) for r in found if r.features[0] == r.features[0])
+    features = np.array([f for _, f in rows]).reshape(-1, N_FEATURES)
+    return features, np.array([float(label) for label, _ in rows])
 
 
-def train(sample: DataFrame) -> ToxicityModel:
-    """Multiple-instance SVM: a toxic text has a toxic unit, other texts have none.
+def train(
+    sample: DataFrame, counts: tuple[int, int] | None = None, scratch: Scratch | None = None
+) -> ToxicityModel:
+    """Multiple-instance SVM on sentences: a toxic text has a toxic one, others have none.
 
-    The first witness of a toxic text is the unit of it that tells the labels apart
-    best over all documents of the sample. Each round fits the SVM, takes the strongest unit of every toxic
-    text as a witness and that of every other text as a counterexample, and fits
-    again. ``sample`` is bounded, and so is what a round brings to the driver.
+    The first sentences are those with the most telling words; a machine learnt from them
+    chooses again the most suspicious ones of every text, and these are added. Half of the
+    landmarks are sentences of toxic texts, half of others. ``sample`` is bounded, and so
+    is all that reaches the driver: the landmarks, and ``MAX_SENTENCES`` kernel rows.
 
-    A second machine learns whole sentences: those of toxic texts with most telling units
-    against sentences of other texts. The probability takes a text's strongest unit, its
-    sentences and their number together; it is fitted on texts that the machine over
-    sentences did not learn from.
+    The probability takes a text's units, sentences and whole score together; it is fitted
+    on texts that the machine did not learn from, weighed to ``counts``, the documents of
+    label 0 and 1 that the sample stands for.
     """
     sizes = dict(sample.groupBy("label").count().collect())
     n_clean, n_toxic = sizes.get(0, 0), sizes.get(1, 0)
     if not n_clean or not n_toxic:
         # Nothing to tell apart: a constant on the side of the label that is known.
         return ToxicityModel(np.zeros(TABLE, np.float32), 0.0, offset=3.0 if n_toxic else -3.0)
-    found = _document_units(sample).persist()
-    counts = found.groupBy("unit").agg(
-        F.expr("count_if(label = 1)").alias("toxic"), F.expr("count_if(label = 0)").alias("clean")
-    )
-    odds = F.log((F.col("toxic") + 0.5) / (n_toxic + 1) * (n_clean + 1) / (F.col("clean") + 0.5))
-    rated = counts.withColumn("gain", F.col("toxic") * odds)
-    witnesses = _witnesses(found, rated).orderBy(F.desc("n"), "unit").limit(MAX_STRINGS // 3)
-    positive = {bytes(r.unit): float(r.n) for r in witnesses.collect()}
-    others = rated.filter("toxic <= 3 OR toxic <= 10 * clean")
-    sampled = others.orderBy(F.xxhash64("unit"), "unit").limit(MAX_STRINGS // 3)
-    weight = {bytes(r.unit): 1.0 for r in sampled.collect() if bytes(r.unit) not in positive}
-    telling = rated.filter("toxic >= 3").withColumn("odds", odds).filter("odds > 1")
-    telling = telling.orderBy(F.desc("gain"), "unit").limit(MAX_STRINGS)
-    gains = {bytes(r.unit): r.odds for r in telling.select("unit", "odds").collect()}
-    found.unpersist()
-    if not positive or not weight:
-        log_odds = float(np.log(n_toxic / n_clean))
-        return ToxicityModel(np.zeros(TABLE, np.float32), 0.0, offset=log_odds)
+    scratch = scratch or Scratch(sample.sparkSession, "toxicity")
+    counts = counts or (n_clean, n_toxic)
+    gain = _telling(sample, n_clean, n_toxic)
+    rate, least, kept = _by_gain(gain), 0 if gain else 1, None
     for _ in range(ROUNDS):
-        toxic = {u: n for u, n in _with_insertions(positive).items() if u not in weight}
-        strings = sorted(toxic.keys() | weight.keys())
-        y = np.array([1.0 if s in toxic else -1.0 for s in strings])
-        w = np.array([min(5.0, toxic.get(s, weight.get(s, 1.0))) for s in strings])
-        model = fit(strings, y, w)
-        found = _best_units(sample, model)
-        for row in found:
-            unit = bytes(row.unit)
-            if row.label == 1 and unit and row.best > 0 and unit not in weight:
-                positive.setdefault(unit, 1.0)
-            elif row.label == 0 and unit and row.best > -1:
-                # The strongest unit of a clean text is no witness, unless of many.
-                if positive.get(unit, 5.0) < 5:
-                    del positive[unit]
-                if unit not in positive:
-                    weight[unit] = weight.get(unit, 0.0) + 1.0
-    chosen = _document_sentences(sample, gains)
-    rows = []
-    for value, most in ((1, MAX_STRINGS // 3), (0, 2 * MAX_STRINGS // 3)):
-        some = chosen.filter(F.col("label") == value).orderBy("place", "units").limit(most)
-        rows += [(r.label, r.fold, [bytes(u) for u in r.units]) for r in some.collect()]
-    y = np.array([1.0 if label else -1.0 for label, _, _ in rows])
-    fold = np.array([k for _, k, _ in rows])
-    machine = Sentences([units for _, _, units in rows])
-    share = np.where(y > 0, 3.0, 1.0)
-    parts = [machine.fit(y, share * (fold != k)) for k in range(FOLDS)]
-    features, label = _features(sample, [ToxicityModel(model.weights, model.bias, *p) for p in parts])
+        chosen = _document_sentences(sample, rate, least)
+        chosen = chosen if kept is None else kept.unionByName(chosen)
+        chosen = chosen.dropDuplicates(["label", "fold", "units"])
+        parts = [
+            chosen.filter(F.col("label") == value).orderBy("place", "units", "fold").limit(most)
+            for value, most in ((1, MAX_SENTENCES // 3), (0, 2 * MAX_SENTENCES // 3))
+        ]
+        kept = scratch.keep(parts[0].unionByName(parts[1]), "sentences")
+        by_hash = [F.xxhash64("units"), F.col("units")]
+        first = [
+            kept.filter("found").filter(F.col("label") == value).select("units").distinct().orderBy(*by_hash)
+            for value in (1, 0)
+        ]
+        listed = [
+            [bytes(u) for u in r.units] for part in first for r in part.limit(LANDMARKS // 2).collect()
+        ]
+        if not listed:
+            # No text of the sample has a letter.
+            return ToxicityModel(np.zeros(TABLE, np.float32), 0.0, offset=float(np.log(counts[1] / counts[0])))
+        landmarks = Landmarks(listed)
+        label, fold, rows = _kernel_rows(kept, landmarks)
+        machine = Machine(landmarks, landmarks.kernel(listed), rows)
+        y = np.where(label == 1, 1.0, -1.0)
+        weight = np.where(y > 0, 3.0, 1.0)
+        model = machine.fit(y, weight)
+        shared = sample.sparkSession.sparkContext.broadcast(model)
+        rate, least = lambda texts, shared=shared: shared.value.sentence_scores(texts), 1
+    folds = [machine.fit(y, weight * (fold != k)) for k in range(FOLDS)]
+    features, truth = _features(sample, folds)
+    share = [counts[k] / max(1, int((truth == k).sum())) for k in (0, 1)]
+    weight = np.where(truth == 1, share[1], share[0])
     seen = np.stack([features.min(0), features.max(0)])
-    return ToxicityModel(
-        model.weights, model.bias, *machine.fit(y, share), *_logistic(features, label), seen
-    )
+    slopes, offset = _logistic(features, truth, weight / weight.mean())
+    return ToxicityModel(model.weights, model.bias, slopes, offset, seen)
 
 
 def toxicity_scores(docs: DataFrame, labels: DataFrame, label: str = "toxic") -> DataFrame:
     """(doc_id, held_out, score, predicted) of every whole text.
 
     A text is its sentences, ``SENTENCE`` units in a row (a unit is a word, or a run of
-    spaced-out letters). Its score takes the strongest unit, the strongest sentence and
-    the evidence of all sentences together. The classifier is
-    learnt from labels of the training folds only, from at most ``PER_CLASS``
-    documents of either label with at most ``MAX_CHARS`` characters. The model is two
-    tables of about a million numbers each; scoring reads the texts once.
+    spaced-out letters). Its score takes the strongest of them and the evidence of all
+    together. The classifier is learnt from labels of the training folds only, from at most
+    ``PER_CLASS`` documents of either label with at most ``MAX_CHARS`` characters, and
+    weighed back to the labels' shares. The model is one table of two million numbers;
+    scoring reads the texts once.
 
     Null texts, empty texts and texts without letters score as the least suspicious.
     Repeated rows are scored each; documents without a label are scored too. Without
@@ -561,14 +612,15 @@ def toxicity(rows: DataFrame, docs: DataFrame, labels: DataFrame, label: str = "
 
     Only the texts go to Python, the other columns stay where they are.
     """
-    sample = Scratch(docs.sparkSession, "toxicity").keep(
-        training_sample(docs, labels, label, PER_CLASS, MAX_CHARS), "sample"
-    )
-    shared = docs.sparkSession.sparkContext.broadcast(train(sample))
+    scratch = Scratch(docs.sparkSession, "toxicity")
+    sample = scratch.keep(training_sample(docs, labels, label, PER_CLASS, MAX_CHARS), "sample")
+    model = train(sample, class_counts(labels, label), scratch)
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    scratch.drop_all_but()
 
     def score(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for series in texts:
-            found = [shared.value.best(part)[0] for part in _parts(series.tolist())]
+            found = [shared.value.features(part) for part in _parts(series.tolist())]
             yield pd.Series(shared.value.probability(np.concatenate([np.zeros((0, N_FEATURES)), *found])))
 
     return rows.withColumn("_toxicity", F.pandas_udf(score, "double")("text"))

@@ -8,9 +8,11 @@ from itertools import combinations
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from aeropunct.llm import attention_quality as quality
 from aeropunct.llm import string_kernel as kernel
+from aeropunct.llm.common import held_out
 
 LABELS = "doc_id long, quality int, toxic int"
 DOCS = "doc_id long, text string, score string"
@@ -62,9 +64,47 @@ def test_gapped_insults(corpus):
     docs, labels, _ = corpus
     sample = kernel.training_sample(docs, labels, "toxic", 500, 10_000)
     model = kernel.train(sample)
+    score = lambda texts: model.probability(model.features(texts))
     tricks = ["g r o b n i k", "p.l.u.t.z.o.w", "skarxvel", "grrobnik", "plutz-ow", "GROBNIK!"]
-    assert (model.probability(model.best([f"then {t} on" for t in tricks])[0]) >= 0.5).all()
-    assert (model.probability(model.best(["anther onreti hand", "a b", "1 2 3", ""])[0]) < 0.5).all()
+    bold = "".join(chr(0x1D400 + ord(c) - ord("A")) for c in "GROBNIK")
+    wide = "".join(chr(0xFEE0 + ord(c)) for c in "plutzow")
+    tricks += [bold, wide, "sk\u0301arvel", " ".join("andthereisagrobnikinthere")]
+    assert (score([f"then {t} on" for t in tricks]) >= 0.5).all()
+    assert (score(["anther onreti hand", "a b", "1 2 3", ""]) < 0.5).all()
+    # Windows of a run without spaces: the word is found wherever it begins.
+    for at in range(40):
+        spaced = " ".join("anredhaesti" * 5)[: 2 * at] + " ".join("grobnik") + " " + " ".join("onthednes" * 4)
+        assert score([spaced])[0] >= 0.5, at
+
+
+def test_other_alphabets(spark):
+    """Insults of letters outside a-z among clean words of the same letters."""
+    rnd = random.Random(3)
+    docs, labels = [], []
+    for i in range(600):
+        words = ["".join(rnd.choices(["на", "ре", "то", "ли", "ка", "во"], k=rnd.randint(1, 4))) for _ in range(40)]
+        toxic = rnd.random() < 0.4
+        if toxic:
+            words.insert(rnd.randrange(40), rnd.choice(["идиот", "дурак", "𝔊𝔯𝔬𝔟𝔫𝔦𝔨", "笨蛋傻瓜"]))
+        docs.append((i, " ".join(words), "ru"))
+        labels.append((i, 1, int(toxic)))
+    rows = kernel.toxicity_scores(spark.createDataFrame(docs, DOCS), spark.createDataFrame(labels, LABELS)).collect()
+    for label in (0, 1):
+        held = [r.predicted == label for r in rows if r.held_out and labels[r.doc_id][2] == label]
+        assert np.mean(held) >= 0.95
+
+
+def test_units_and_their_windows():
+    shown = lambda data, a, b: "".join(chr(96 + c) if c < 27 else chr(c - 32) for c in data[a + 1 : b])
+    text = "Été  d o y o u k n o w t h a t y o u a r e a l l i d i o t s x-y\n1 2" + "z" * 60
+    letters, first, doc = kernel.units([text, "", "ab"])
+    ends = [*first[1:], len(letters)]
+    got = [shown(letters, a, b) for a, b in zip(first, ends, strict=True)]
+    run = "doyouknowthatyouareallidiots"
+    runs = [run[i : i + 14] for i in range(0, 17, 4)]
+    assert got == ["ete", *runs, "xy", *["z" * 14] * 12, "z" * 12, "ab"]
+    assert doc.tolist() == [0] * (len(got) - 1) + [2]
+    assert (letters[first] == kernel.BEGIN).all()
 
 
 def test_quality_held_out(corpus):
@@ -72,11 +112,11 @@ def test_quality_held_out(corpus):
     check_rows(quality.quality_scores(docs, labels).collect(), truth, 0, 0.97)
 
 
-def test_reruns_agree(corpus):
+@pytest.mark.parametrize("score", [quality.quality_scores, kernel.toxicity_scores])
+def test_reruns_agree(corpus, score):
     docs, labels, _ = corpus
     runs = [
-        sorted((r.doc_id or -1, r.score) for r in score(docs, labels).collect())
-        for score in (quality.quality_scores, quality.quality_scores)
+        sorted((r.doc_id or -1, r.score) for r in score(docs.repartition(n), labels).collect()) for n in (3, 7)
     ]
     assert runs[0] == runs[1]
 
@@ -91,50 +131,92 @@ def test_without_labels(spark, corpus):
     assert {r.predicted for r in quality.quality_scores(docs, one_class).collect()} == {1}
 
 
-def test_labels_of_the_held_out_fold_do_not_matter(spark, corpus):
+@pytest.mark.parametrize(
+    ("score", "label"), [(quality.quality_scores, "quality"), (kernel.toxicity_scores, "toxic")]
+)
+def test_labels_of_the_held_out_fold_do_not_matter(spark, corpus, score, label):
     docs, labels, _ = corpus
-    turned = labels.selectExpr(
-        "doc_id",
-        "IF(crc32(cast(cast(doc_id AS string) AS binary)) % 5 = 0, 1 - quality, quality) AS quality",
-        "toxic",
+    turned = labels.withColumn(
+        label, F.when(held_out(F.col("doc_id")), 1 - F.col(label)).otherwise(F.col(label))
     )
+    # Only the class shares that calibrate the scores could see them; they do not either.
     scores = [
-        sorted((r.doc_id or -1, r.score) for r in quality.quality_scores(docs, y).collect())
-        for y in (labels, turned)
+        sorted((r.doc_id or -1, r.score) for r in score(docs, y).collect()) for y in (labels, turned)
     ]
     assert scores[0] == scores[1]
 
 
+def test_probability_means_the_share_of_the_labels(spark, corpus):
+    """A bounded sample of one class is weighed back: borderline texts do not move."""
+    features = np.array([[x] * kernel.N_FEATURES for x in (0.0, 1.0)] * 50)
+    label = np.array([0.0, 1.0] * 50)
+    noisy = np.where(np.arange(100) % 5 == 0, 1 - label, label)
+    even = kernel._logistic(features, noisy, np.ones(100))
+    rare = kernel._logistic(features, noisy, np.where(noisy == 1, 0.1, 1.0))
+    at = lambda fit: fit[1] + (np.full(kernel.N_FEATURES, 0.5) @ fit[0])
+    assert at(rare) < at(even) - 1.5
+
+
 def test_kernel_by_brute_force():
     """The table look-up against enumerating subsequences with their spans."""
     rnd = random.Random(4)
-    codes = [bytes([kernel.BEGIN, *rnd.choices(range(1, 5), k=rnd.randint(2, 9))]) for _ in range(12)]
-
-    def counts(unit):
-        found = {}
-        for k in (3, 4):
-            for places in combinations(range(len(unit)), k):
-                gaps = [b - a for a, b in zip(places, places[1:], strict=False)]
-                if max(gaps) <= 3 and sum(gaps) <= (4 if k == 3 else 5):
-                    key = tuple(unit[p] for p in places)
-                    found[key] = found.get(key, 0) + kernel.DECAY ** (sum(gaps) + 1)
-        return found
+    letters = [1, 2, 3, 4, 32 + 0x434, 32 + 0x443]
+    unit = lambda: [kernel.BEGIN, *rnd.choices(letters, k=rnd.randint(1, 9))]
+    rows = [[unit() for _ in range(rnd.randint(1, 3))] for _ in range(14)]
 
-    def norm(unit):
-        total = 0.0
+    def subsequences(unit):
         for k in (3, 4):
             for places in combinations(range(len(unit)), k):
                 gaps = [b - a for a, b in zip(places, places[1:], strict=False)]
                 if max(gaps) <= 3 and sum(gaps) <= (4 if k == 3 else 5):
-                    total += kernel.DECAY ** (2 * sum(gaps) + 2)
-        return max(total, kernel.DECAY**8) ** 0.5
-
-    got = kernel.Landmarks(codes[:5]).kernel(codes)
-    for i, a in enumerate(codes):
-        for j, b in enumerate(codes[:5]):
-            ca, cb = counts(a), counts(b)
-            want = sum(v * cb.get(z, 0) for z, v in ca.items()) / norm(a) / norm(b)
-            assert abs(got[i, j] - want) < 1e-9
+                    yield tuple(unit[p] for p in places), kernel.DECAY ** (sum(gaps) + 1)
+
+    def counts(row):
+        found, norm = {}, 0.0
+        for u in row:
+            own = 0.0
+            for key, damping in subsequences(u):
+                found[key] = found.get(key, 0) + damping
+                own += damping**2
+            norm += max(own, kernel.DECAY**8)
+        return found, norm**0.5
+
+    packed = [[np.array(u, np.int32).tobytes() for u in row] for row in rows]
+    landmarks = kernel.Landmarks(packed[:6])
+    got = landmarks.kernel(packed)
+    want = np.zeros(got.shape)
+    for i, a in enumerate(rows):
+        for j, b in enumerate(rows[:6]):
+            (ca, na), (cb, nb) = counts(a), counts(b)
+            want[i, j] = sum(v * cb.get(z, 0) for z, v in ca.items()) / na / nb
+    assert np.abs(got - want).max() < 1e-5
+
+    # The table gives the decision function of the kernels, for units in a row of a text.
+    alphas = np.linspace(-1, 1, 6)
+    flat = [u for row in rows for u in row]
+    first = np.cumsum([0, *map(len, flat)])[:-1]
+    raw = kernel.sums(np.concatenate([np.array(u, np.int32) for u in flat]), first, landmarks.table(alphas))
+    start = np.cumsum([0, *map(len, rows)])[:-1]
+    norm = np.array([counts(row)[1] for row in rows])
+    assert np.abs(np.add.reduceat(raw, start) / norm - want @ alphas).max() < 1e-4
+
+
+def test_attention_forward_by_a_plain_loop():
+    rng = np.random.default_rng(5)
+    bags = [rng.normal(size=(n, quality.N_FEATURES)) for n in (1, 4, 2)]
+    model = quality.train(bags, np.array([0.0, 1.0, 0.0]), np.ones(3))
+    p, got = model.params, model.forward(np.concatenate(bags), np.array([0, 1, 5]))["score"]
+    sigmoid = lambda x: 1 / (1 + np.exp(-x))
+    for bag, score in zip(bags, got, strict=True):
+        hidden, logits = [], []
+        for x in bag:
+            h = np.tanh(p["E"].T @ np.clip((x - model.mean) / model.scale, -8, 8) + p["e"])
+            gate = [np.tanh(h @ p["V"][:, k]) * sigmoid(h @ p["U"][:, k]) for k in range(quality.ATTENTION)]
+            hidden.append(h)
+            logits.append(sum(w * g for w, g in zip(p["w"], gate, strict=True)))
+        shares = np.exp(logits) / np.exp(logits).sum()
+        pooled = sum(a * h for a, h in zip(shares, hidden, strict=True))
+        assert abs(sigmoid(pooled @ p["c"] + p["b"][0]) - score) < 1e-9
 
 
 def test_attention_gradient():
