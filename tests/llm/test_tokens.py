@@ -11,7 +11,7 @@ import pytest
 from tokenizers import Tokenizer
 
 from aeropunct.llm import queries
-from aeropunct.llm.packing import SEQUENCE_TOKENS, pack
+from aeropunct.llm.packing import SEQUENCE_TOKENS, Packer, pack
 from aeropunct.llm.pretokens import Generations, PieceCounts, WordIds
 from aeropunct.llm.token_counts import token_counts
 
@@ -139,6 +139,45 @@ def test_sequences_are_gapless_and_full(documents):
     assert sum(fills) > 0.9 * SEQUENCE_TOKENS * (len(fills) - 1)
 
 
+def plain_packing(sizes, size, most):
+    """(document, start, length, window, offset) by looking at every open window."""
+    fills, out, number = {}, [], 0
+    for doc, n in enumerate(sizes):
+        start = 0
+        while n - start >= size:
+            out.append((doc, start, size, number, 0))
+            start, number = start + size, number + 1
+        length = n - start
+        if not length:
+            continue
+        fitting = [(fill, w) for w, fill in fills.items() if fill + length <= size]
+        if fitting:
+            window = max(fitting)[1]
+        else:
+            if len(fills) == most:
+                del fills[max((fill, w) for w, fill in fills.items())[1]]
+            window, number = number, number + 1
+            fills[window] = 0
+        out.append((doc, start, length, window, fills[window]))
+        fills[window] += length
+        if fills[window] == size:
+            del fills[window]
+    return sorted(out), fills
+
+
+@pytest.mark.parametrize("most", [1, 3, 20])
+def test_placement_is_that_of_a_plain_bounded_best_fit(most):
+    rnd = random.Random(most)
+    sizes = [rnd.choice([1, 3, 17, 40, 63, 64, 65, 200, rnd.randint(1, 90)]) for _ in range(900)]
+    packer = Packer(64, most, 0)
+    pieces = [p for doc, n in enumerate(sizes) for p in packer.add(doc, b"abcd" * n)]
+    left = list(packer.rest())
+    got = sorted((doc, start, length, window, fill) for doc, start, length, _, _, window, fill, _ in pieces + left)
+    want, fills = plain_packing(sizes, 64, most)
+    assert got == want
+    assert {p[5] for p in left} == set(fills) and all(p[7] for p in left) and not any(p[7] for p in pieces)
+
+
 def test_packing_query(spark, documents):
     got = queries.packed(documents).toPandas()
     ids = pack(documents, WORDS).toPandas()
