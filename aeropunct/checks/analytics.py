@@ -324,13 +324,13 @@ def _(spark, sf_dir):
 
 @check(
     "a22_diff_matrix",
-    f"""WITH cells AS ({DIFF_CELLS}),
-  heads AS (SELECT op_unique_carrier, CAST(row_number() OVER (ORDER BY op_unique_carrier) AS INT)
-    AS column_place FROM (SELECT DISTINCT op_unique_carrier FROM ranking
-      WHERE {_top("op_unique_carrier", 10)}) AS c)
-SELECT o.origin, column_place, h.op_unique_carrier, diff_from_airport_avg
-FROM (SELECT DISTINCT origin FROM cells) AS o CROSS JOIN heads h
-LEFT JOIN cells ON cells.origin = o.origin AND cells.op_unique_carrier = h.op_unique_carrier""",
+    f"""SELECT o.origin, column_place, h.op_unique_carrier, diff_from_airport_avg
+FROM (SELECT DISTINCT origin FROM ({DIFF_CELLS}) AS d) AS o
+CROSS JOIN (SELECT op_unique_carrier, CAST(row_number() OVER (ORDER BY op_unique_carrier) AS INT)
+  AS column_place FROM (SELECT DISTINCT op_unique_carrier FROM ranking
+    WHERE {_top("op_unique_carrier", 10)}) AS c) AS h
+LEFT JOIN ({DIFF_CELLS}) AS x
+  ON x.origin = o.origin AND x.op_unique_carrier = h.op_unique_carrier""",
 )
 def _(spark, sf_dir):
     rep = finished(spark, reports.carrier_ranking(cleaned(spark, sf_dir)), "a22m")
@@ -486,7 +486,8 @@ def _(spark, sf_dir):
     """SELECT 'check' AS Environment, a AS Duplicates_Before_Records, b AS Duplicates_After_Records,
   a - b AS Duplicates_Dropped_Records, b AS Quality_Before_Records, c AS Quality_After_Records,
   b - c AS Quality_Dropped_Records, a AS Initial_Records, c AS Final_Records,
-  a - c AS Dropped_Records, 0 AS Broken_Records, 0 AS Unconverted_Cells
+  a - c AS Dropped_Records, CAST(0 AS BIGINT) AS Broken_Records,
+  CAST(0 AS BIGINT) AS Unconverted_Cells
 FROM (SELECT (SELECT count(*) FROM raw_copies) AS a,
   (SELECT count(*) FROM (SELECT DISTINCT * FROM raw_copies) AS d) AS b,
   (SELECT count(*) FROM clean_distinct) AS c) AS counts""",
