@@ -56,7 +56,8 @@ def test_names_of_wrappers_do_not_hide_the_text():
 def test_broken_markup():
     assert main_text("<article><p><b>One.<br><p>Two &am") == "One.\nTwo &am"
     assert main_text("<ul><li>one<li>two</ul>x</p></b>") == "one\ntwo\nx"
-    assert main_text("<p title='a > b'>x<p class=\"y>z") == "x"
+    # A quote that never closes ends with its tag.
+    assert main_text("<p title='a > b'>x<p class=\"y>z") == "x\nz"
     assert main_text("no markup < at all") == "no markup < at all"
     assert main_text("<p>a<script>b") == "a"
     assert main_text("<p>a<br>b <i>c</i>d<div>e</div>f") == "a b cd\ne\nf"
