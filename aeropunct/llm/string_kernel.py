@@ -46,8 +46,8 @@ FOLDS = 3
 # Copies of a text's strongest sentence with a letter inserted into each longer unit.
 INSERTIONS = 3
 # Words longer than this, and spaced-out runs longer than a window, are read through
-# windows: a word of up to WINDOW - STEP letters lies whole in one of them.
-MAX_UNIT, WINDOW, STEP = 24, 14, 4
+# windows. In a run one begins at every letter, as a word may; in a long word every third.
+MAX_UNIT, WINDOW, STEP = 24, 10, 3
 DECISION = 0.5
 
 # Letter codes: 0 ends a word, 1 to 26 are Latin letters without accents, 31 the beginning
@@ -116,11 +116,12 @@ def units(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     run = np.append(joined[1:], False)[~joined]
     first = first[~joined]
     size = np.diff(np.append(first, len(letters)))
-    # Windows of long units: one every few letters until the end is covered.
-    long = size > np.where(run, WINDOW, MAX_UNIT)
-    windows = np.where(long, 1 - (WINDOW - size) // STEP, 1)
+    # Windows of long units, until the end is covered.
+    long, step = size > np.where(run, WINDOW, MAX_UNIT), np.where(run, 1, STEP)
+    windows = np.where(long, 1 - (WINDOW - size) // step, 1)
     nth = np.arange(windows.sum()) - np.repeat(np.cumsum(windows) - windows, windows)
-    first, left = np.repeat(first, windows) + STEP * nth, np.repeat(size, windows) - STEP * nth
+    ahead = nth * np.repeat(step, windows)
+    first, left = np.repeat(first, windows) + ahead, np.repeat(size, windows) - ahead
     size = np.where(np.repeat(long, windows), np.minimum(left, WINDOW), left)
     begin = np.cumsum(size + 1) - (size + 1)
     out = np.full(int((size + 1).sum()), BEGIN, np.int32)
