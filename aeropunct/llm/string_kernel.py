@@ -40,6 +40,8 @@ TELLING = 12_000
 ROUNDS = 2
 DECAY = 0.6
 COST = 20.0
+# Kernel rows that a step of the solver holds in double precision at once.
+SVM_BLOCK = 1000
 # A sentence is so many units in a row. Parts of the sample that calibrate each other.
 SENTENCE = 3
 FOLDS = 3
@@ -309,22 +311,38 @@ class ToxicityModel:
 
 
 def _svm(x: np.ndarray, y: np.ndarray, weight: np.ndarray, cost: float = COST) -> np.ndarray:
-    """Linear SVM with squared hinge loss by Newton steps on the active rows."""
-    x = np.concatenate([x, np.ones((len(x), 1))], axis=1)
-    w = np.zeros(x.shape[1])
-    ridge = np.eye(len(w))
-    ridge[-1, -1] = 1e-6
+    """Linear SVM with squared hinge loss by Newton steps on the active rows; bias last.
+
+    The rows are summed up in blocks, so that a step holds no second copy of them.
+    """
+    n = x.shape[1] + 1
+    w = np.zeros(n)
+    ridge = np.eye(n) / cost
+    ridge[-1, -1] = 1e-6 / cost
     active = np.ones(len(x), bool)
     for _ in range(30):
-        a, d = x[active], weight[active]
-        w = np.linalg.solve(ridge / cost + (a.T * d) @ a, (a.T * d) @ y[active])
-        now = y * (x @ w) < 1
+        left, right = ridge.copy(), np.zeros(n)
+        now = np.zeros(len(x), bool)
+        for at in range(0, len(x), SVM_BLOCK):
+            part = slice(at, at + SVM_BLOCK)
+            a = _with_ones(x[part][active[part]])
+            scaled = a.T * weight[part][active[part]]
+            left += scaled @ a
+            right += scaled @ y[part][active[part]]
+        w = np.linalg.solve(left, right)
+        for at in range(0, len(x), SVM_BLOCK):
+            part = slice(at, at + SVM_BLOCK)
+            now[part] = y[part] * (_with_ones(x[part]) @ w) < 1
         if (now == active).all():
             break
         active = now
     return w
 
 
+def _with_ones(rows: np.ndarray) -> np.ndarray:
+    return np.concatenate([rows.astype(float), np.ones((len(rows), 1))], axis=1)
+
+
 class Machine:
     """The SVM in the Nyström space of its landmarks, given the kernel rows."""
 
@@ -333,7 +351,7 @@ class Machine:
         keep = value > 1e-6 * max(value.max(), 1e-9)
         self.landmarks = landmarks
         self.project = vector[:, keep] / np.sqrt(value[keep])
-        self.x = rows @ self.project
+        self.x = rows @ self.project.astype(np.float32)
 
     def fit(self, y: np.ndarray, weight: np.ndarray) -> ToxicityModel:
         w = _svm(self.x, y, weight)
@@ -485,7 +503,9 @@ def _kernel_rows(chosen: DataFrame, landmarks: Landmarks) -> tuple[np.ndarray, .
     found = chosen.mapInArrow(compute, "label int, fold int, place long, row binary")
     # At most MAX_SENTENCES rows of LANDMARKS numbers, in an order that reruns repeat.
     table = found.toArrow().sort_by([("label", "ascending"), ("place", "ascending"), ("row", "ascending")])
-    rows = np.frombuffer(b"".join(table.column("row").to_pylist()), np.float32).reshape(-1, width)
+    rows = np.empty((len(table), width), np.float32)
+    for at, row in enumerate(table.column("row")):
+        rows[at] = np.frombuffer(row.as_buffer(), np.float32)
     return table.column("label").to_numpy(), table.column("fold").to_numpy(), rows
 
 

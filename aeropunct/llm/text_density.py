@@ -384,7 +384,8 @@ def extracted_pages(
 
     Null and empty pages, and pages of which no text is left, have an empty text. Broken
     markup is read as browsers do: missing end tags are implied, unknown ones ignored, an
-    unclosed comment or script reaches to the end. Repeated rows are extracted each; other
+    unclosed comment or script reaches to the end; a tag with an unclosed quote ends at its
+    next ``>``. Repeated rows are extracted each; other
     columns are not read; an empty table gives none. Nothing is shuffled.
     """
     narrow = pages.select(
