@@ -16,7 +16,7 @@ import unicodedata
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import lru_cache
+from functools import cached_property, lru_cache
 from itertools import product
 
 import numpy as np
@@ -244,16 +244,25 @@ def sentences(doc: np.ndarray) -> np.ndarray:
 # -- the model -----------------------------------------------------------------
 
 N_FEATURES = 8
+NO_WEIGHTS = (np.zeros(0, np.int32), np.zeros(0, np.float32))
 
 
 @dataclass(frozen=True)
 class ToxicityModel:
-    weights: np.ndarray  # of every subsequence, by its place
+    codes: np.ndarray  # places of the subsequences with a weight
+    values: np.ndarray
     bias: float
     slopes: np.ndarray | None = None  # of the probability in the features of a text
     offset: float = 0.0
     seen: np.ndarray | None = None  # least and largest features it was fitted on
 
+    @cached_property
+    def weights(self) -> np.ndarray:
+        """Weights of all subsequences by place; made where texts are scored, not sent."""
+        table = np.zeros(TABLE, np.float32)
+        table[self.codes] = self.values
+        return table
+
     def sentence_scores(self, texts: list[str]) -> tuple[np.ndarray, ...]:
         """(scores of all sentences, first unit of each, units as ``units`` returns them)."""
         letters, first, doc = units(texts)
@@ -355,7 +364,9 @@ class Machine:
 
     def fit(self, y: np.ndarray, weight: np.ndarray) -> ToxicityModel:
         w = _svm(self.x, y, weight)
-        return ToxicityModel(self.landmarks.table(self.project @ w[:-1]), float(w[-1]))
+        alphas = self.project @ w[:-1]
+        values = (self.landmarks.counts @ alphas).astype(np.float32)
+        return ToxicityModel(self.landmarks.codes, values, float(w[-1]))
 
 
 def _logistic(
@@ -550,7 +561,7 @@ def train(
     n_clean, n_toxic = sizes.get(0, 0), sizes.get(1, 0)
     if not n_clean or not n_toxic:
         # Nothing to tell apart: a constant on the side of the label that is known.
-        return ToxicityModel(np.zeros(TABLE, np.float32), 0.0, offset=3.0 if n_toxic else -3.0)
+        return ToxicityModel(*NO_WEIGHTS, 0.0, offset=3.0 if n_toxic else -3.0)
     scratch = scratch or Scratch(sample.sparkSession, "toxicity")
     counts = counts or (n_clean, n_toxic)
     gain = _telling(sample, n_clean, n_toxic)
@@ -574,10 +585,11 @@ def train(
         ]
         if not listed:
             # No text of the sample has a letter.
-            return ToxicityModel(np.zeros(TABLE, np.float32), 0.0, offset=float(np.log(counts[1] / counts[0])))
+            return ToxicityModel(*NO_WEIGHTS, 0.0, offset=float(np.log(counts[1] / counts[0])))
         landmarks = Landmarks(listed)
         label, fold, rows = _kernel_rows(kept, landmarks)
         machine = Machine(landmarks, landmarks.kernel(listed), rows)
+        del rows
         y = np.where(label == 1, 1.0, -1.0)
         weight = np.where(y > 0, 3.0, 1.0)
         model = machine.fit(y, weight)
@@ -589,7 +601,7 @@ def train(
     weight = np.where(truth == 1, share[1], share[0])
     seen = np.stack([features.min(0), features.max(0)])
     slopes, offset = _logistic(features, truth, weight / weight.mean())
-    return ToxicityModel(model.weights, model.bias, slopes, offset, seen)
+    return ToxicityModel(model.codes, model.values, model.bias, slopes, offset, seen)
 
 
 def toxicity_scores(docs: DataFrame, labels: DataFrame, label: str = "toxic") -> DataFrame:
