@@ -63,29 +63,32 @@ def sample_bounds(base, named):
     than the base and the whole copies allow.
     """
     columns = base.columns
-    have = base.groupBy(*columns).agg(F.count("*").alias("have"))
-    parts = []
-    for name, (df, fraction, whole) in named.items():
-        taken = df.groupBy(*columns).agg(F.count("*").alias("taken"))
-        same = F.lit(True)
-        for c in columns:
-            same = same & F.col(f"h.{c}").eqNullSafe(F.col(f"t.{c}"))
-        merged = have.alias("h").join(taken.alias("t"), same, "full")
-        n, got = F.coalesce(F.sum("have"), F.lit(0)), F.coalesce(F.sum("taken"), F.lit(0))
+    # Rows of the base and of all samples meet in one grouping, part 0 being the base.
+    tagged = base.select(*columns, F.lit(0).alias("part"))
+    for i, (df, _, _) in enumerate(named.values(), 1):
+        tagged = tagged.unionByName(df.select(*columns, F.lit(i).alias("part")))
+    counts = [F.count_if(F.col("part") == i).alias(f"n_{i}") for i in range(len(named) + 1)]
+    merged = tagged.groupBy(*columns).agg(*counts)
+    figures = []
+    for i, (_, fraction, whole) in enumerate(named.values(), 1):
+        most = F.col("n_0") * (whole + (1 if fraction > whole else 0))
+        # A row of neither the base nor this sample says nothing about it.
+        within = F.when(F.col("n_0") + F.col(f"n_{i}") > 0, F.col(f"n_{i}") <= most)
+        figures += [F.sum(f"n_{i}").alias(f"got_{i}"), F.bool_and(within).alias(f"within_{i}")]
+    wide = merged.agg(F.sum("n_0").alias("n"), *figures)
+    n, rows = F.coalesce("n", F.lit(0)), []
+    for i, (name, (_, fraction, whole)) in enumerate(named.items(), 1):
+        got = F.coalesce(f"got_{i}", F.lit(0))
         spread = 6 * F.sqrt(n * (fraction - whole) * (1 + whole - fraction)) + 1
-        most = F.coalesce("have", F.lit(0)) * (whole + (1 if fraction > whole else 0))
-        parts.append(
-            merged.agg(
+        rows.append(
+            F.struct(
                 F.lit(name).alias("dataset"),
                 n.alias("base_rows"),
                 (F.abs(got - n * fraction) <= spread).alias("size_within_bounds"),
-                F.bool_and(F.coalesce("taken", F.lit(0)) <= most).alias("rows_from_base"),
+                F.col(f"within_{i}").alias("rows_from_base"),
             )
         )
-    combined = parts[0]
-    for part in parts[1:]:
-        combined = combined.unionByName(part)
-    return combined
+    return wide.select(F.inline(F.array(*rows)))
 
 
 def sample_bounds_sql(names) -> str:

@@ -22,6 +22,30 @@ def _longest_method(df) -> int:
     return max(map(int, re.findall(r"maxMethodCodeSize:(\d+)", text)), default=0)
 
 
+def test_sample_bounds_group_once(spark):
+    def table(*rows):
+        return spark.createDataFrame([*rows], "a int, b string")
+
+    base = table((1, "x"), (1, "x"), (None, None))
+    named = {
+        "same": (base, 1.0, 0),
+        "twice": (base.union(base), 2.0, 2),
+        "more": (table((1, "x"), (1, "x"), (1, "x")), 1.0, 0),
+        "other": (table((2, "x"), (1, "x"), (None, None)), 1.0, 0),
+    }
+    bounds = sample_bounds(base, named)
+    got = {r.dataset: (r.base_rows, r.size_within_bounds, r.rows_from_base) for r in bounds.collect()}
+    # A fraction above the whole copies allows a copy more.
+    assert got == {
+        "same": (3, True, True),
+        "twice": (3, True, True),
+        "more": (3, True, False),
+        "other": (3, True, False),
+    }
+    plan = bounds._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan
+
+
 def test_side_by_side_tables_are_not_sorted(spark, monkeypatch):
     rows = spark.createDataFrame([(i, f"t{i % 7}") for i in range(70)], "v int, t string")
     before, seen, parquet = spark.conf.get(writers.OPEN_FILES, None), [], DataFrameWriter.parquet
