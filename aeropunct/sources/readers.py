@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import csv
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -44,7 +44,7 @@ def read_raw(
     converted = [_converted(cells[f.name], f.dataType).alias(f.name) for f in schema]
     if not checked:
         return text.select(*converted)
-    lost = sum((_lost(cells[f.name], f.dataType).cast("int") for f in schema), F.lit(0))
+    lost = F.size(F.filter(F.array(*_unread(cells, schema)), lambda c: F.trim(c) != ""))
     return text.select(*converted, lost.alias(RAW_EXTRAS[0]), F.col(RAW_EXTRAS[1]))
 
 
@@ -117,6 +117,18 @@ def _converted(cell: Column, kind: DataType) -> Column:
     return plain.get(kind.simpleString(), lambda c: c.try_cast(kind))(cell)
 
 
+def _unread(cells: Mapping[str, Column], schema: StructType) -> list[Column]:
+    """Per declared column the cell's text where it gives no value, blank or not, else null.
+
+    The texts that count are picked from an array of these by one short function. A test
+    of its own for each column makes the generated code of a row too long for the JVM to
+    compile, and each row several times slower.
+    """
+    return [
+        F.when(_converted(cells[f.name], f.dataType).isNull(), cells[f.name]) for f in schema
+    ]
+
+
 def _lost(cell: Column, kind: DataType) -> Column:
     """Whether a cell holds text which is no value of the type; a null cell does not."""
     return F.coalesce((F.trim(cell) != "") & _converted(cell, kind).isNull(), F.lit(False))
@@ -150,16 +162,18 @@ def rejected_cells(
     )
     before = F.coalesce(F.sum("_rows").over(earlier), F.lit(0))
     blocks = blocks.select("_place", (before - F.col("_first") + 1).alias("_shift"))
+    # Columns of text are looked at too: Spark finds a line broken by the columns it reads.
     found = [
-        F.when(
-            _lost(cells[f.name], f.dataType),
-            F.struct(F.lit(f.name).alias("column"), cells[f.name].alias("value")),
-        )
-        for f in schema
+        F.when(unread.isNotNull(), F.struct(F.lit(name).alias("column"), unread.alias("value")))
+        for name, unread in zip(schema.names, _unread(cells, schema), strict=True)
     ]
     whole = F.struct(F.lit(None).cast("string").alias("column"), F.col(RAW_EXTRAS[1]).alias("value"))
     found.append(F.when(F.col(RAW_EXTRAS[1]).isNotNull(), whole))
-    rejected = rows.select("_place", "_at", F.inline(F.array_compact(F.array(*found))))
+    lost = F.filter(
+        F.array(*found),
+        lambda x: x.isNotNull() & (x["column"].isNull() | (F.trim(x["value"]) != "")),
+    )
+    rejected = rows.select("_place", "_at", F.inline(lost))
     return rejected.join(blocks, "_place").select(
         F.col("_place.file_path").alias("file"),
         (F.col("_at") + F.col("_shift")).alias("row"),

@@ -22,6 +22,27 @@ def _longest_method(df) -> int:
     return max(map(int, re.findall(r"maxMethodCodeSize:(\d+)", text)), default=0)
 
 
+@pytest.fixture
+def raw_text(spark, raw):
+    path = scratch_dir(spark, "methods")
+    writers.write_raw_csv(raw.limit(5), path)
+    return path
+
+
+def test_a_checked_read_is_short_enough_to_compile(spark, raw_text):
+    assert _longest_method(readers.read_raw(spark, raw_text, checked=True)) < LONGEST_METHOD
+
+
+def test_blank_and_unreadable_cells(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("month,dep_delay,origin\n1,late, \nx, ,y\n3.0,,\n1,2\n")
+    rows = readers.read_raw(spark, str(tmp_path), checked=True)
+    got = [(r.month, r.dep_delay, r._unconverted, r._broken_line) for r in rows.collect()]
+    assert got == [(1, None, 1, None), (None, None, 1, None), (3, None, 0, None), (1, 2.0, 0, "1,2")]
+    rejected = readers.rejected_cells(spark, str(tmp_path))
+    found = {(r.row, r.column, r.value) for r in rejected.collect()}
+    assert found == {(1, "dep_delay", "late"), (2, "month", "x"), (4, None, "1,2")}
+
+
 def test_sample_bounds_group_once(spark):
     def table(*rows):
         return spark.createDataFrame([*rows], "a int, b string")
