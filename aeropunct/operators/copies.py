@@ -22,15 +22,11 @@ DIGEST = ("_digest_1", "_digest_2")
 def digests(columns: Sequence[str]) -> tuple[Column, Column]:
     """Two 64-bit hashes of the columns, seeded apart.
 
-    The hash function passes over nulls; their places are hashed as numbers of their own.
+    The hash function passes over nulls; their places are hashed as an array of flags.
     """
-    places = []
-    for at in range(0, len(columns), 62):
-        part = enumerate(columns[at : at + 62])
-        bits = [F.when(F.isnull(f"`{c}`"), F.lit(1 << i)).otherwise(0) for i, c in part]
-        places.append(sum((b.cast("long") for b in bits), F.lit(0).cast("long")))
+    places = F.array(*[F.isnull(c) for c in quoted(columns)])
     cells = quoted(columns)
-    first, second = (F.xxhash64(F.lit(seed), *places, *cells) for seed in (0x5EED, 0xC0FFEE))
+    first, second = (F.xxhash64(F.lit(seed), places, *cells) for seed in (0x5EED, 0xC0FFEE))
     return first, second
 
 

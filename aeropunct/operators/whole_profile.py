@@ -61,6 +61,18 @@ def _stacked(df: DataFrame, described: Sequence[str], keys: Sequence[str]) -> Da
     return df.select(F.inline(F.array_compact(F.array(*stacked))))
 
 
+def _counted(stacked: DataFrame) -> DataFrame:
+    """Every key with its n rows, and digests that occur once as one row per kind and flag.
+
+    ``groups`` is the number of keys of a row. Only repeated digests are listed, so that
+    the table stays small where copies are few.
+    """
+    counts = stacked.groupBy(*KEY).agg(F.count("*").alias("n"))
+    single = F.col("kind").isin(RECORD, LOGICAL) & (F.col("n") == 1)
+    shown = [F.when(~single, F.col(k)).alias(k) if k in copies.DIGEST else k for k in KEY]
+    return counts.groupBy(*shown, "n").agg(F.count("*").alias("groups"))
+
+
 def _equal_rows(df: DataFrame, repeated: DataFrame, keys: Sequence[str]) -> DataFrame:
     """(kind, flag, n) of rows equal on all columns, or on the logical key, in one read.
 
@@ -123,7 +135,7 @@ def whole_profile(
         figures,
     )
     stacked = _stacked(df, described, keys)
-    write_parquet(stacked.groupBy(*KEY).agg(F.count("*").alias("n")), counted)
+    write_parquet(_counted(stacked), counted)
     wide, counts = read_flights(spark, figures), read_flights(spark, counted)
 
     def of(kind: str) -> DataFrame:
@@ -137,8 +149,7 @@ def whole_profile(
     same = read_flights(spark, equal)
 
     def surplus(kind: str) -> DataFrame:
-        single = of(kind).filter("n = 1").groupBy("kind", KEY[-1], "n")
-        single = single.agg(F.count("*").alias("groups"))
+        single = of(kind).filter("n = 1").select("kind", KEY[-1], "n", "groups")
         groups = single.unionByName(same.filter(F.col("kind") == kind))
         return groups.agg(
             F.coalesce(F.sum(F.col("n") * F.col("groups")), F.lit(0)).alias("total_rows"),

@@ -86,3 +86,13 @@ def test_side_by_side_tables_are_not_sorted(spark, monkeypatch):
         if before is not None:
             spark.conf.set(writers.OPEN_FILES, before)
     assert [spark.read.parquet(p).count() for p in paths.values()] == [10] * 7
+
+
+def test_digests_that_occur_once_are_counted_not_listed(spark, raw):
+    scratch, n = scratch_dir(spark, "once"), raw.count()
+    whole_profile.whole_profile(raw, scratch)
+    counts = spark.read.parquet(f"{scratch}/counts").filter("kind = 'record'").collect()
+    single = [r for r in counts if r.n == 1]
+    assert sum(r.n * r.groups for r in counts) == n
+    assert len(single) <= 2 and all(r._digest_1 is None for r in single)
+    assert all(r.groups == 1 and r._digest_1 is not None for r in counts if r.n > 1)
