@@ -29,9 +29,9 @@ from aeropunct.llm.common import Scratch
 from aeropunct.llm.pretokens import _BYTE_ALPHABET
 
 # Words whose tokens a Python worker keeps, in each of two generations.
-CACHE_WORDS = 300_000
+CACHE_WORDS = 240_000
 # Rows of partial counts that a task holds before it adds them up.
-TALLY_ROWS = 2_000_000
+TALLY_ROWS = 600_000
 
 # A word with the space or line ends before it; other white space needs the whole text.
 _WORD = re.compile(r"(?: |\n+)?[^ \n]+")
@@ -384,6 +384,9 @@ def _aligner(a_path: str, b_path: str, whole_groups: bool):
                 ],
                 names,
             )
+            # What the columns of a batch took goes back before the next one is read.
+            del found, groups, lists, counts
+            pa.default_memory_pool().release_unused()
         if names:
             merged = tally.merged().combine_chunks()
             one = [
