@@ -13,6 +13,9 @@ from collections.abc import Iterable
 from functools import lru_cache
 from itertools import chain
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 
 # Bytes that one generation of a cache may take in a Python worker, counted with so many
@@ -161,12 +164,16 @@ class WordIds:
 
     def _merge(self, pretoken: str) -> bytes:
         """Ids of one pre-token by the tokenizer's model, in its byte alphabet."""
-        text = pretoken.encode().decode("latin-1").translate(_BYTE_ALPHABET)
+        # Printable ASCII stands for itself there, and no pre-token holds white space.
+        text = pretoken
+        if not text.isascii():
+            text = text.encode().decode("latin-1").translate(_BYTE_ALPHABET)
         return array("I", [t.id for t in self.model.tokenize(text)]).tobytes()
 
     def _learn(self, words: list[str]) -> None:
         """Fills both caches for words not met before."""
-        cuts = [self._PRETOKEN.findall(word) for word in words]
+        # Letters alone are one pre-token.
+        cuts = [[word] if word.isalpha() else self._PRETOKEN.findall(word) for word in words]
         known = self.pretokens
         known.learn({t: self._merge(t) for t in known.unknown(chain.from_iterable(cuts))})
         self.words.learn(
@@ -175,16 +182,27 @@ class WordIds:
 
     def ids(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit numbers."""
-        split = [text.lower().split() if self._plain(text) else None for text in texts]
-        # A batch has few distinct words: they are looked up once in the large cache, and
-        # the texts then in a small table.
-        words = set(chain.from_iterable(words for words in split if words))
-        new = self.words.unknown(words)
+        plain = [self._plain(text) for text in texts]
+        whole = iter(self._encode([t for t, p in zip(texts, plain, strict=True) if not p]))
+        split = iter(self._split_ids([t.lower() for t, p in zip(texts, plain, strict=True) if p]))
+        return [next(split if p else whole) for p in plain]
+
+    def _split_ids(self, texts: list[str]) -> list[bytes]:
+        """Ids of plain texts in lower case, word by word.
+
+        Arrow cuts the texts and numbers their distinct words, so that only these pass
+        through the cache; a text's ids are a slice of all words' ids laid side by side.
+        """
+        words = pc.ascii_split_whitespace(pa.array(texts, pa.large_string()))
+        numbered = words.flatten().dictionary_encode()
+        distinct = numbered.dictionary.to_pylist()
+        new = self.words.unknown(distinct)
         if new:
             self._learn(sorted(new))
-        known = dict(zip(words, map(self.words.__getitem__, words), strict=True))
-        whole = iter(self._encode([t for t, s in zip(texts, split, strict=True) if s is None]))
-        return [
-            next(whole) if words is None else b"".join(map(known.__getitem__, words))
-            for words in split
-        ]
+        known = pa.array(map(self.words.__getitem__, distinct), pa.large_binary())
+        spelled = known.take(numbered.indices)
+        _, ends, data = spelled.buffers()
+        ends = np.frombuffer(ends, np.int64)[: len(spelled) + 1]
+        cuts = ends[words.offsets.to_numpy()].tolist()
+        view = memoryview(data) if data is not None else memoryview(b"")
+        return [bytes(view[i:j]) for i, j in zip(cuts[:-1], cuts[1:], strict=True)]

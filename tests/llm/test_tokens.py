@@ -183,3 +183,18 @@ def test_packing_query(spark, documents):
     ids = pack(documents, WORDS).toPandas()
     assert sorted(got.ids_crc32) == sorted(zlib.crc32(x) for x in ids.ids)
     assert queries.packed(documents.limit(0)).count() == 0
+
+
+def test_a_batch_looks_every_distinct_word_up_once():
+    encoder, seen = WordIds(WORDS), []
+
+    class Watched(Generations):
+        def __getitem__(self, key):
+            seen.append(key)
+            return super().__getitem__(key)
+
+    encoder.words = Watched()
+    text = " one two\tone\n" * 50
+    want = array("I", encoder.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+    assert encoder.ids([text, text.upper(), ""]) == [want, want, b""]
+    assert sorted(seen) == ["", "one", "two"]
