@@ -147,8 +147,9 @@ class WordIds:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
-        self.words = Generations()
-        self.pretokens = Generations()
+        # Words and pre-tokens alike: a pre-token by itself is a word of one pre-token. Most
+        # distinct words of a corpus come once or twice, so a larger cache finds few more.
+        self.words = Generations(CACHE_BYTES // 3)
 
     def _plain(self, text: str) -> bool:
         """Whether every library reads the characters of the text alike."""
@@ -171,13 +172,17 @@ class WordIds:
         return array("I", [t.id for t in self.model.tokenize(text)]).tobytes()
 
     def _learn(self, words: list[str]) -> None:
-        """Fills both caches for words not met before."""
+        """Fills the cache for words not met before."""
         # Letters alone are one pre-token.
         cuts = [[word] if word.isalpha() else self._PRETOKEN.findall(word) for word in words]
-        known = self.pretokens
+        known = self.words
         known.learn({t: self._merge(t) for t in known.unknown(chain.from_iterable(cuts))})
-        self.words.learn(
-            {w: b"".join([known[t] for t in cut]) for w, cut in zip(words, cuts, strict=True)}
+        known.learn(
+            {
+                word: b"".join([known[t] for t in cut])
+                for word, cut in zip(words, cuts, strict=True)
+                if cut != [word]
+            }
         )
 
     def ids(self, texts: list[str]) -> list[bytes]:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+import tracemalloc
 import zlib
 from array import array
 
@@ -198,3 +199,21 @@ def test_a_batch_looks_every_distinct_word_up_once():
     want = array("I", encoder.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
     assert encoder.ids([text, text.upper(), ""]) == [want, want, b""]
     assert sorted(seen) == ["", "one", "two"]
+
+
+def test_an_encoder_keeps_less_than_a_generation_of_the_cache(monkeypatch):
+    monkeypatch.setattr("aeropunct.llm.pretokens.CACHE_BYTES", 3 << 20)
+    encoder, letters = WordIds(WORDS), "abcdefghijklmnop"
+    words = ["".join(letters[(i >> k) & 15] for k in (0, 4, 8, 12)) + "," for i in range(1 << 16)]
+    assert encoder.ids([words[-1]]) == [array("I", e.ids).tobytes() for e in library(words[-1:])]
+    tracemalloc.start()
+    try:
+        for at in range(0, len(words), 1024):
+            part = " ".join(words[at : at + 1024])
+            ids = encoder.ids([part])
+            if at % 8192 == 0:
+                assert ids == [array("I", e.ids).tobytes() for e in library([part])]
+        del ids, part
+        assert tracemalloc.get_traced_memory()[0] < 3 << 20
+    finally:
+        tracemalloc.stop()
