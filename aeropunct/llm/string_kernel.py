@@ -515,9 +515,14 @@ def _kernel_rows(chosen: DataFrame, landmarks: Landmarks) -> tuple[np.ndarray, .
     # At most MAX_SENTENCES rows of LANDMARKS numbers, in an order that reruns repeat.
     table = found.toArrow().sort_by([("label", "ascending"), ("place", "ascending"), ("row", "ascending")])
     rows = np.empty((len(table), width), np.float32)
-    for at, row in enumerate(table.column("row")):
-        rows[at] = np.frombuffer(row.as_buffer(), np.float32)
-    return table.column("label").to_numpy(), table.column("fold").to_numpy(), rows
+    packed = table.column("row")
+    for at in range(len(table)):
+        rows[at] = np.frombuffer(packed[at].as_buffer(), np.float32)
+    label, fold = (np.array(table.column(c)) for c in ("label", "fold"))
+    # What the collected rows took goes back before the machines are fitted.
+    del found, table, packed
+    pa.default_memory_pool().release_unused()
+    return label, fold, rows
 
 
 def _features(sample: DataFrame, models: list[ToxicityModel]) -> tuple[np.ndarray, np.ndarray]:
