@@ -37,14 +37,16 @@ def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(data, np.uint8)[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
-def chunks(batches: Iterator[pa.RecordBatch], text: str = "text") -> Iterator[pa.RecordBatch]:
-    """The batches cut into slices of about ``CHUNK_BYTES`` of text, texts kept whole."""
+def chunks(
+    batches: Iterator[pa.RecordBatch], text: str = "text", size: int = CHUNK_BYTES
+) -> Iterator[pa.RecordBatch]:
+    """The batches cut into slices of about ``size`` bytes of text, texts kept whole."""
     for batch in batches:
         column = batch.column(batch.schema.get_field_index(text))
         _, offsets = utf8(column)
         start = 0
         while start < batch.num_rows:
-            stop = int(np.searchsorted(offsets, offsets[start] + CHUNK_BYTES, "right")) - 1
+            stop = int(np.searchsorted(offsets, offsets[start] + size, "right")) - 1
             stop = min(max(stop, start + 1), batch.num_rows)
             yield batch.slice(start, stop - start)
             start = stop

@@ -21,6 +21,8 @@ END_OF_DOCUMENT = 1
 # Windows open at a time in a task, and open windows merged at a time in the end.
 OPEN_WINDOWS = 128
 MERGE_WINDOWS = 256
+# Bytes of text encoded at once: the larger, the fewer words are looked up anew.
+ENCODED_BYTES = 4 << 20
 
 _PIECE = pa.schema(
     [
@@ -135,7 +137,7 @@ def pack(
         encoder, end = _encoder(tokenizer), end_id.to_bytes(4, "little")
         packer = Packer(size, open_windows, TaskContext.get().partitionId() << 40)
         schema = None
-        for batch in arrays.chunks(batches):
+        for batch in arrays.chunks(batches, size=ENCODED_BYTES):
             schema = schema or pa.schema([batch.schema.field(0), *_PIECE])
             texts = ["" if t is None else t for t in batch.column(1).to_pylist()]
             done: list[tuple] = []

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import random
 import tracemalloc
 import zlib
@@ -13,7 +14,14 @@ from tokenizers import Tokenizer
 
 from aeropunct.llm import queries
 from aeropunct.llm.packing import SEQUENCE_TOKENS, Packer, pack
-from aeropunct.llm.pretokens import Generations, PieceCounts, WordIds
+from aeropunct.llm.pretokens import (
+    _BYTE_ALPHABET,
+    SIDE_BY_SIDE,
+    Generations,
+    Merges,
+    PieceCounts,
+    WordIds,
+)
 from aeropunct.llm.token_counts import token_counts
 
 PIECES = public_tokenizers.path(queries.PIECE_MODEL)
@@ -217,3 +225,48 @@ def test_an_encoder_keeps_less_than_a_generation_of_the_cache(monkeypatch):
         assert tracemalloc.get_traced_memory()[0] < 3 << 20
     finally:
         tracemalloc.stop()
+
+
+def test_plain_words_are_merged_side_by_side(monkeypatch):
+    rnd, encoder, apart = random.Random(5), WordIds(WORDS), []
+    merge = WordIds._merge
+    monkeypatch.setattr(WordIds, "_merge", lambda self, t: apart.append(t) or merge(self, t))
+    alphabets = ["aab", "thein", "ée&&%%%1", "aA1.,é<>|ßµ²ªĀįģ", "etaoinshrdlucmfwypvbgkqjxz"]
+    words = [
+        "".join(rnd.choices(rnd.choice(alphabets), k=rnd.randint(1, 64)))
+        for _ in range(SIDE_BY_SIDE + 3000)
+    ]
+    words = [w for w in words if "<|" not in w]
+    texts = [" ".join(words[at : at + 999]) for at in range(0, len(words), 999)]
+    want = [array("I", e.ids).tobytes() for e in library(texts)]
+    assert encoder.ids(texts) == want and not apart
+    odd = "it's " + "a" * 65 + "."
+    assert encoder.ids([odd]) == [array("I", e.ids).tobytes() for e in library([odd])]
+    assert sorted(apart)[:2] == ["'s", "a" * 65]
+    # Without the merges all words go through the model.
+    encoder = WordIds(WORDS)
+    encoder.merges = None
+    assert encoder.ids(texts) == want
+
+
+def test_only_merges_in_the_models_order_run_side_by_side():
+    letters = _BYTE_ALPHABET.values()
+    tokens = [*letters, *(c + "$" for c in letters), "ab", "abc$"]
+    vocabulary = {t: i for i, t in enumerate(tokens)}
+    merges = [("a", "b"), ("ab", "c$")]
+    Merges(vocabulary, merges, "$")
+    with pytest.raises(ValueError):
+        Merges(vocabulary, merges[::-1], "$")
+    for merges, suffix, more in [
+        (merges[::-1], "$", {}), (merges, "$", {"unk_token": "a"}), ([("a", "b")], "#", {}), ([], "$", {}),
+    ]:
+        model = {"type": "BPE", "vocab": vocabulary, "merges": merges, "end_of_word_suffix": suffix}
+        assert Merges.of(Model(model | more)) is None
+    assert Merges.of(TOKENIZER)
+
+
+class Model:
+    """Stands for a tokenizer of which only the model is read."""
+
+    def __init__(self, model: dict):
+        self.to_str = lambda: json.dumps({"model": model})
