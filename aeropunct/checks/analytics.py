@@ -31,7 +31,7 @@ from aeropunct.functions import columns as fn
 from aeropunct.operators import profiling, reports, rollups, sampling, selection, trends
 from aeropunct.plans import jobs
 from aeropunct.schema import CLEAN_COLUMNS, LOGICAL_KEY, RANKING_FIELDS
-from aeropunct.session import scratch_dir
+from aeropunct.session import remove, scratch_dir
 from aeropunct.sources import readers, star, writers
 
 # -- J: joins -----------------------------------------------------------------
@@ -684,6 +684,7 @@ _WHOLE_PROFILE = (
 def _(spark, sf_dir):
     source, out = raw_csv(spark, sf_dir, "q6whole"), scratch_dir(spark, "q6out")
     found = jobs.run_profile(spark, source, out, "check", scratch_dir(spark, "q6metrics"))
+    remove(spark, source)
     return found.withColumn("value", F.round("value", 6))
 
 

@@ -102,7 +102,7 @@ def raw_flights(
 
     Both lookup sides are joined down to one narrow row per key first, so an
     order line is shuffled at most once per key (part, supplier, order) and
-    never again for the customer or the nations. No join is hinted: Spark
+    never again for the customer; the nations are joined last. No join is hinted: Spark
     broadcasts a side only when its known size is under the session's limit,
     otherwise adaptive execution splits skewed sort-merge partitions.
     """
@@ -115,16 +115,11 @@ def raw_flights(
             f"n_nationkey AS {side}_key", f"n_name AS {side}_name", f"n_regionkey AS {side}_region"
         )
 
-    origins = (
-        table("supplier")
-        .selectExpr("s_suppkey AS l_suppkey", "s_nationkey AS origin_key")
-        .join(nation("origin"), "origin_key")
-    )
+    origins = table("supplier").selectExpr("s_suppkey AS l_suppkey", "s_nationkey AS origin_key")
     dests = (
         table("orders")
         .selectExpr("o_orderkey AS l_orderkey", "o_custkey AS c_custkey")
         .join(table("customer").selectExpr("c_custkey", "c_nationkey AS dest_key"), "c_custkey")
-        .join(nation("dest"), "dest_key")
         .drop("c_custkey")
     )
     carriers = table("part").selectExpr("p_partkey AS l_partkey", "p_brand")
@@ -148,6 +143,8 @@ def raw_flights(
         *lines.columns, F.inline(F.array_repeat(delays, times))
     )
     trips = lines.join(carriers, "l_partkey").join(origins, "l_suppkey").join(dests, "l_orderkey")
+    # Names come last, so that no shuffle carries them.
+    trips = trips.join(nation("origin"), "origin_key").join(nation("dest"), "dest_key")
     exprs = {**RAW_EXPRS, **ID_EXPRS} if ids else RAW_EXPRS
     return trips.selectExpr(*_aliased(exprs))
 
