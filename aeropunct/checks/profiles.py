@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from aeropunct.checks.registry import check, cleaned, comparable, comparable_sql, raw, rounded
 from aeropunct.checks.scans import clean_parquet
 from aeropunct.operators import cleaning, profiling, sampling
+from aeropunct.operators.copies import DIGEST, digests
 from aeropunct.schema import CLEAN_COLUMNS, LOGICAL_KEY, RAW_COLUMNS
 from aeropunct.sources import readers, star
 
@@ -61,14 +62,18 @@ def sample_bounds(base, named):
     ``named`` maps a name to (sample, fraction, whole copies of the base in it). A
     sample may deviate by six standard deviations, and no row may come more often
     than the base and the whole copies allow.
+
+    Rows are told apart by a 128-bit digest of all columns, which is what is shuffled.
+    Sound samples pass whatever the digest; only a clash could hide a row too many.
     """
     columns = base.columns
+    digest = [d.alias(c) for c, d in zip(DIGEST, digests(columns), strict=True)]
     # Rows of the base and of all samples meet in one grouping, part 0 being the base.
-    tagged = base.select(*columns, F.lit(0).alias("part"))
+    tagged = base.select(*digest, F.lit(0).alias("part"))
     for i, (df, _, _) in enumerate(named.values(), 1):
-        tagged = tagged.unionByName(df.select(*columns, F.lit(i).alias("part")))
+        tagged = tagged.unionByName(df.select(*digest, F.lit(i).alias("part")))
     counts = [F.count_if(F.col("part") == i).alias(f"n_{i}") for i in range(len(named) + 1)]
-    merged = tagged.groupBy(*columns).agg(*counts)
+    merged = tagged.groupBy(*DIGEST).agg(*counts)
     figures = []
     for i, (_, fraction, whole) in enumerate(named.values(), 1):
         most = F.col("n_0") * (whole + (1 if fraction > whole else 0))

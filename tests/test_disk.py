@@ -10,13 +10,19 @@ from pyspark.sql import DataFrameWriter
 from pyspark.sql import functions as F
 
 from aeropunct.checks import analytics, scans  # noqa: F401
+from aeropunct.checks.profiles import sample_bounds
 from aeropunct.checks.registry import CHECKS
+from aeropunct.operators.copies import DIGEST
 from aeropunct.session import scratch_dir
 from aeropunct.sources import readers, star, writers
 
 SF_DIR = "/root/testdata/sf0.001"
 
 
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[-1]
+
+
 def _files_below(spark, path):
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)
     system = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
@@ -130,3 +136,15 @@ def test_raw_text_goes_when_its_job_is_done(spark, monkeypatch, name):
     folder = spark._jvm.org.apache.hadoop.fs.Path(paths[0])
     system = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     assert len(paths) == 1 and not system.exists(folder)
+
+
+def test_samples_are_compared_by_digest(spark):
+    rows = [(1, "x", -0.0), (1, "x", 0.0), (None, "y", float("nan")), (2, None, None), (None, None, 2.0)]
+    base = spark.createDataFrame(rows, "a int, b string, c double")
+    moved = spark.createDataFrame([(None, "y", None), (2, None, None)], base.schema)
+    bounds = sample_bounds(base, {"same": (base, 1.0, 1), "moved": (moved, 0.5, 0)})
+    got = {r.dataset: (r.base_rows, r.rows_from_base) for r in bounds.collect()}
+    assert got == {"same": (5, True), "moved": (5, False)}
+    dealt = re.findall(r"Exchange hashpartitioning\(([^)]*)", _plan(bounds))
+    assert dealt and all(DIGEST[0] in e for e in dealt)
+    assert not any(re.search(r"\bb#", e) for e in dealt)
