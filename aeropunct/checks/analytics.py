@@ -478,7 +478,9 @@ def _(spark, sf_dir):
 def _(spark, sf_dir):
     source, out, metrics = (scratch_dir(spark, f"q1{x}") for x in ("raw", "clean", "metrics"))
     writers.write_raw_csv(copies(spark, sf_dir), source)
-    return jobs.run_cleaning(spark, source, out, "check", metrics)
+    found = jobs.run_cleaning(spark, source, out, "check", metrics)
+    remove(spark, source)
+    return found
 
 
 @check(
