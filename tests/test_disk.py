@@ -123,7 +123,7 @@ def test_nations_joined_last_keep_the_rows(spark, tmp_path):
     assert len(found) > 10
 
 
-@pytest.mark.parametrize("name", ["q6_whole_profile", "q1_clean", "q1_step_accounting"])
+@pytest.mark.parametrize("name", ["q6_whole_profile", "q1_clean", "q1_step_accounting", "s13_run_metrics"])
 def test_raw_text_goes_when_its_job_is_done(spark, monkeypatch, name):
     paths, write = [], writers.write_raw_csv
 
